@@ -2,46 +2,46 @@
 
 from pyspark.sql import types as T
 
+STRING, BOOL, INT, LONG, TIME = T.StringType(), T.BooleanType(), T.IntegerType(), T.LongType(), T.TimestampType()
+STRINGS = T.ArrayType(STRING)
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
 
+def row(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-RECORD = _struct(
-    "source string, source_record_id string, identity string, text string, url string, published_at timestamp, "
-    "display_name string, username string, business_name string, first_name string, name_source string, "
-    "bio string, profile_url string, name_reliable boolean, urls array<string>, metadata map<string,string>")
 
-TERMS = _struct("grp string, kind string, ord int, term string")
+def many(**fields: T.DataType) -> T.ArrayType:
+    return T.ArrayType(row(**fields))
 
-CONTACTS = T.ArrayType(_struct("email string, source_url string"))
 
-SEMANTIC = _struct(
-    "is_insurance_relevant boolean, is_consumer boolean, is_advertisement boolean, is_broker_or_agent boolean, "
-    "south_africa_signal boolean, intent_level string, product_type string, score int, reason string")
+RECORD = row(
+    source=STRING, source_record_id=STRING, identity=STRING, text=STRING, url=STRING, published_at=TIME, display_name=STRING,
+    username=STRING, business_name=STRING, first_name=STRING, name_source=STRING, bio=STRING, profile_url=STRING,
+    name_reliable=BOOL, urls=STRINGS, metadata=T.MapType(STRING, STRING))
 
-COMMENT_PAGE = _struct(
-    "items array<struct<id: string, snippet: struct<publishedAt: string, "
-    "authorChannelId: struct<value: string>, authorChannelUrl: string, authorDisplayName: string, "
-    "textOriginal: string, textDisplay: string>>>")
+TERMS = row(grp=STRING, kind=STRING, ord=INT, term=STRING)
 
-_POST_BODY = (
-    "createdAt: string, text: string, facets: array<struct<features: array<struct<`$type`: string, uri: string>>>>, "
-    "embed: struct<external: struct<uri: string>>")
+SEMANTIC = row(
+    is_insurance_relevant=BOOL, is_consumer=BOOL, is_advertisement=BOOL, is_broker_or_agent=BOOL, south_africa_signal=BOOL,
+    intent_level=STRING, product_type=STRING, score=INT, reason=STRING)
 
-POST_PAGE = _struct(
-    f"posts array<struct<uri: string, author: struct<did: string, handle: string, displayName: string>, "
-    f"record: struct<{_POST_BODY}>>>")
+COMMENT_PAGE = row(items=many(id=STRING, snippet=row(
+    publishedAt=STRING, authorChannelId=row(value=STRING), authorChannelUrl=STRING, authorDisplayName=STRING,
+    textOriginal=STRING, textDisplay=STRING)))
 
-COMMIT_EVENT = _struct(
-    f"did string, time_us bigint, kind string, commit struct<operation: string, collection: string, rkey: string, "
-    f"record: struct<{_POST_BODY}>>")
+_BODY = row(
+    createdAt=STRING, text=STRING, facets=many(features=many(**{"$type": STRING, "uri": STRING})),
+    embed=row(external=row(uri=STRING)))
 
-CAPTURE = T.MapType(T.StringType(), T.StringType())
+POST_PAGE = row(posts=many(uri=STRING, author=row(did=STRING, handle=STRING, displayName=STRING), record=_BODY))
 
-ENVELOPE = _struct(
-    "batch_id string, campaign_id string, checksum string, spreadsheet_id string, drive_folder_id string, "
-    "shard_rows int, fields array<string>, "
-    "items array<struct<lead_id: bigint, tab: string, row: int, `values`: array<string>>>")
+COMMIT_EVENT = row(did=STRING, time_us=LONG, kind=STRING,
+                   commit=row(operation=STRING, collection=STRING, rkey=STRING, record=_BODY))
 
-SNAPSHOT = _struct("spreadsheet_sha256 string, captured_at string, tabs map<string,int>")
+CAPTURE = T.MapType(STRING, STRING)
+
+ENVELOPE = row(
+    batch_id=STRING, campaign_id=STRING, checksum=STRING, spreadsheet_id=STRING, drive_folder_id=STRING, shard_rows=INT,
+    fields=STRINGS, items=many(lead_id=LONG, tab=STRING, row=INT, values=STRINGS))
+
+SNAPSHOT = row(spreadsheet_sha256=STRING, captured_at=STRING, tabs=T.MapType(STRING, INT))
