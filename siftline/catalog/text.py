@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siftline.catalog.common import (AS_OF, EMAIL_SQL, LOOKUPS, book, canon, digest, hit, listed, query, quote, redact_sql)
+from siftline.catalog.common import EMAIL_SQL, LOOKUPS, book, canon, digest, query, quote, redact_sql
 from siftline.functions import drafts, emails, pages, profile, text, urls, values
 
 _LOOK = book().lookups
@@ -32,8 +32,7 @@ def _(t):
 
 @query("txt3_digest", f"SELECT doc_id, {digest('text')} AS digest FROM documents")
 def _(t):
-    return t.docs.select("doc_id", text.digest(F.upper(F.concat(F.lit("  "), "text"))).alias("digest")).select(
-        "doc_id", "digest") if False else t.docs.select("doc_id", text.digest(F.concat(F.lit(" \n"), "text")).alias("digest"))
+    return t.docs.select("doc_id", text.digest(F.concat(F.lit(" \n"), "text")).alias("digest"))
 
 
 @query("txt4_namespaced_keys", "SELECT pos, record_key, content_key, identity_hash FROM keyed", ctes="keyed")
@@ -58,8 +57,7 @@ def _(t):
     return t.pages.select("page_id", urls.public_url(url).alias("link"), made.alias("made"))
 
 
-@query("txt7_url_list", """WITH l AS (SELECT page_id, [url, url, 'ftp://x.y/'||page_id, url||'?a=1', 'https://h.example.com/'||page_id, url||'?b', url||'?c', url||'?d'] AS u FROM pages)
-    SELECT page_id, url||'|'||url||'?a=1'||'|https://h.example.com/'||page_id||'|'||url||'?b'||'|'||url||'?c' AS links FROM pages""")
+@query("txt7_url_list", """SELECT page_id, url||'|'||url||'?a=1'||'|https://h.example.com/'||page_id||'|'||url||'?b'||'|'||url||'?c' AS links FROM pages""")
 def _(t):
     u = F.col("url")
     more = lambda s: F.concat(u, F.lit(s))
@@ -88,9 +86,6 @@ def _(t):
     return t.docs.select("doc_id", text.redact(text.canonical_text(F.col("text"))).alias("redacted"))
 
 
-_FOUND = f"list_filter(list_distinct(regexp_extract_all({canon('text')}, '{EMAIL_SQL}')), lambda a: true)"
-
-
 @query("txt11_contacts", f"""SELECT doc_id, string_agg(e, '|' ORDER BY i) AS emails, count(*) AS n FROM (
     SELECT doc_id, e, min(i) AS i FROM (SELECT doc_id, unnest(l) AS e, generate_subscripts(l,1) AS i FROM
     (SELECT doc_id, regexp_extract_all({canon('text')}, '{EMAIL_SQL}') AS l FROM documents)) GROUP BY 1,2) GROUP BY doc_id""")
@@ -200,7 +195,7 @@ def _(t):
 def _(t):
     rows = t.customer.withColumn("business", F.concat("c_name", F.lit(" | "), "c_mktsegment", F.lit(" - Home of "), "c_mktsegment"))
     proposed = F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit('"'), F.lower("c_mktsegment"), F.lit('".'))).otherwise("Nowhere Ltd")
-    return rows.select("c_custkey", drafts.short_name(proposed, F.col("business"), F.col("c_name") if False else F.col("business")).alias("name"))
+    return rows.select("c_custkey", drafts.short_name(proposed, F.col("business"), F.col("business")).alias("name"))
 
 
 @query("txt23_clean_line", """SELECT c_custkey, CASE c_nationkey % 5 WHEN 0 THEN 'We noticed '||c_mktsegment||' - a shop.' WHEN 1 THEN '' WHEN 2 THEN '' WHEN 3 THEN ''
@@ -271,14 +266,14 @@ def _(t):
     return d.select("doc_id", F.explode(keys).alias("key"))
 
 
-@query("txt31_durations", """SELECT event_id, CAST(CASE event_id % 5 WHEN 0 THEN 3600.0*user_id + 2.5 WHEN 1 THEN user_id/1000.0 WHEN 2 THEN NULL WHEN 3 THEN user_id ELSE NULL END AS DOUBLE) AS seconds
-    FROM events WHERE user_id <= 160""")
+@query("txt31_durations", """SELECT event_id, CASE WHEN s <= 604800 THEN s END AS seconds FROM (SELECT event_id, CAST(CASE event_id % 5 WHEN 0 THEN 3600.0*user_id + 2.5
+    WHEN 1 THEN user_id/1000.0 WHEN 2 THEN NULL WHEN 3 THEN user_id ELSE NULL END AS DOUBLE) AS s FROM events)""")
 def _(t):
     k = F.col("event_id") % 5
     u = F.col("user_id").cast("string")
     shown = (F.when(k == 0, F.concat(u, F.lit("h2.5s"))).when(k == 1, F.concat(u, F.lit("ms"))).when(k == 2, F.concat(u, F.lit("h bad")))
              .when(k == 3, u).otherwise(F.concat(F.lit("-"), u, F.lit("1"))))
-    return t.events.filter("user_id <= 160").select("event_id", values.duration_seconds(shown).alias("seconds"))
+    return t.events.select("event_id", values.duration_seconds(shown).alias("seconds"))
 
 
 @query("txt32_backoff", """SELECT event_id, CAST(epoch_us(ts) + CAST(60e6*pow(2, event_id % 6) AS BIGINT) AS BIGINT) AS by_minutes,
@@ -330,5 +325,3 @@ def _(t):
     return rows.select("id", at("lead_id").alias("f_lead_id"), at("email").alias("f_email"), at("score").alias("f_score"), at("rank_score").alias("f_rank"),
                        at("created_at").alias("f_created"), at("validation_status").alias("f_status"), at("source_evidence").alias("f_evidence"), F.size("v").alias("n"))
 
-
-_ = (AS_OF, hit, listed)

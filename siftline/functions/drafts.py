@@ -25,7 +25,7 @@ def short_name(proposed: Column, business: Column, excerpt: Column) -> Column:
     name = F.regexp_replace(ascii_punctuation(proposed), r"^[\s\"'.,-]+|[\s\"'.,-]+$", "")
     usable = (name != "") & (F.length(name) <= NAME_LIMIT) & F.contains(F.lower(ascii_punctuation(excerpt)), F.lower(name))
     title = ascii_punctuation(business)
-    parts = F.filter(F.transform(F.split(title, r"\s+[|:-]\s+"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(title, r"\s+[|:-]\s+"), lambda p: F.trim(p)), lambda p: p != "")
     by_length = F.transform(parts, lambda p, i: F.struct(F.length(p).alias("n"), i.alias("i"), p.alias("p")))
     shortest = F.try_element_at(F.array_sort(by_length), F.lit(1))["p"]
     return F.when(usable, name).otherwise(F.left(F.coalesce(shortest, title), F.lit(NAME_LIMIT)))

@@ -84,11 +84,13 @@ def match_by_join(df: DataFrame, terms: DataFrame, key: str, text: str = "match_
     runs = F.split(F.col(text), r"[^\p{L}\p{N}_ ]+| {2,}")
     words = F.transform(runs, lambda r: F.filter(F.split(r, " "), lambda w: w != ""))
 
+    def grams_of(run: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(run) - n + 1)
+        made = F.transform(starts, lambda i: F.array_join(F.slice(run, i, n), " "))
+        return F.when(F.size(run) >= n, made).otherwise(F.array().cast("array<string>"))
+
     def grams(run: Column) -> Column:
-        parts = [F.transform(F.sequence(F.lit(1), F.size(run) - n + 1), lambda i, n=n: F.array_join(F.slice(run, i, n), " "))
-                 for n in range(1, longest + 1)]
-        empty = F.array().cast("array<string>")
-        return F.concat(*[F.when(F.size(run) >= n, p).otherwise(empty) for n, p in enumerate(parts, 1)])
+        return F.concat(*[grams_of(run, n) for n in range(1, longest + 1)])
 
     exploded = df.select(key, F.explode(F.array_distinct(F.flatten(F.transform(words, grams)))).alias("term"))
     small = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS

@@ -57,20 +57,19 @@ def rank_route(rules: Column, has_contact: Column, policy: dict, label: Column |
              .when(~low, F.lit("SEMANTIC"))
              .otherwise(F.lit("DEFERRED")))
 
-    def shaped(rank: Column, way: Column, lifted: Column, *gates: Column) -> Column:
-        names = ("contact", "product", "geography", "geography_signal")
-        return F.struct(rank.alias("rank_score"), way.alias("route"), lifted.alias("review_route"),
-                        F.lit(ranking["version"]).alias("version"),
-                        F.struct(*[g.alias(n) for g, n in zip(gates, names)]).alias("hard_gates"))
-
-    person = shaped(value, route, reviewable & low, contact, on_target, place_gate, placed)
-    if not business:
-        return person
-    direct = has_contact & placed & ~rules["rejected"] & ~conflicting(rules, policy)
-    company = shaped(F.lit(float(business.get("rank_score", 5.0))),
-                     F.when(direct, F.lit("DIRECT_FINAL")).otherwise(F.lit("REJECT")),
-                     F.lit(False), has_contact, F.lit(True), placed, placed)
-    return F.when(rules["product_type"] == business["product_type"], company).otherwise(person)
+    fields = {"rank_score": value, "route": route, "review_route": reviewable & low}
+    gates = {"contact": contact, "product": on_target, "geography": place_gate, "geography_signal": placed}
+    if business:
+        company = rules["product_type"] == business["product_type"]
+        direct = has_contact & placed & ~rules["rejected"] & ~conflicting(rules, policy)
+        theirs = {"rank_score": F.lit(float(business.get("rank_score", 5.0))),
+                  "route": F.when(direct, F.lit("DIRECT_FINAL")).otherwise(F.lit("REJECT")), "review_route": F.lit(False),
+                  "contact": has_contact, "product": F.lit(True), "geography": placed, "geography_signal": placed}
+        pick = lambda name, mine: F.when(company, theirs[name]).otherwise(mine)
+        fields = {name: pick(name, c) for name, c in fields.items()}
+        gates = {name: pick(name, c) for name, c in gates.items()}
+    return F.struct(*[c.alias(n) for n, c in fields.items()], F.lit(ranking["version"]).alias("version"),
+                    F.struct(*[c.alias(n) for n, c in gates.items()]).alias("hard_gates"))
 
 
 def semantic_accepted(result: Column, policy: dict) -> Column:

@@ -115,19 +115,22 @@ def rules_result(df: DataFrame, book: RuleBook, as_of, text: str = "text", bio:
     if policy["require_location"]:
         confident = confident & F.array_contains(signals, place)
     evidence = F.when(in_post, F.lit("post")).when(F.col("_place").isNotNull(), F.lit("profile_bio"))
-    consumer = F.struct(
-        F.col("_score").alias("score"), F.col("_product").alias("product_type"), signals.alias("signals"),
-        rejected.alias("rejected"), confident.alias("confident"), evidence.alias("geography_evidence"),
-        F.col("_place").alias("geography_excerpt"), conflicts(signals, cancelled, policy).alias("conflicting_signals"),
-        F.lit(policy["version"]).alias("version"))
-    chosen = consumer
+    fields = {
+        "score": F.col("_score"), "product_type": F.col("_product"), "signals": signals, "rejected": rejected,
+        "confident": confident, "geography_evidence": evidence, "geography_excerpt": F.col("_place"),
+        "conflicting_signals": conflicts(signals, cancelled, policy), "version": F.lit(policy["version"])}
     if business.get("sources"):
-        chosen = F.when(F.col("source").isin(list(business["sources"])), _business(business, policy, place, moment)).otherwise(consumer)
+        company = F.col("source").isin(list(business["sources"]))
+        judged = _business(business, policy, place, moment)
+        fields = {name: F.when(company, judged[name]).otherwise(value) for name, value in fields.items()}
+    # every field is a column of its own first: whoever reads the struct then reads plain columns
+    staged = staged.withColumns({f"_r_{name}": value for name, value in fields.items()})
+    result = F.struct(*[F.col(f"_r_{name}").alias(name) for name in fields])
     helpers = ["_text", "_matched", "_product", "_posted", "_place", "_signals", "_cancelled", "_score"]
-    return staged.withColumn(out, chosen).drop(*helpers)
+    return staged.withColumn(out, result).drop(*helpers, *[f"_r_{name}" for name in fields])
 
 
-def _business(business: dict, policy: dict, place: str, moment: Column) -> Column:
+def _business(business: dict, policy: dict, place: str, moment: Column) -> dict[str, Column]:
     """RUL-9: a business record has a fixed score and is judged by address, trade terms and age only."""
     marks = [F.when(F.array_contains("_matched", f"signal:{s}"), F.lit(s)) for s in business.get("reject_signals", [])]
     marks.append(F.when(trade_text(F.col("_text"), business), F.lit(business.get("reject_label", "insurance_trade"))))
@@ -136,9 +139,7 @@ def _business(business: dict, policy: dict, place: str, moment: Column) -> Colum
     none = F.array().cast("array<string>")
     signals = F.concat(F.array(F.lit("business_contact")), F.when(national, F.array(F.lit(place))).otherwise(none), hits)
     rejected = (F.size(hits) > 0) | ~national | ~recent(F.col("published_at"), moment, business.get("max_age_days", 400))
-    return F.struct(
-        F.lit(int(business.get("score", 50))).alias("score"), F.lit(business["product_type"]).alias("product_type"),
-        signals.alias("signals"), rejected.alias("rejected"), F.lit(False).alias("confident"),
-        F.when(national, F.lit("email_domain")).alias("geography_evidence"),
-        F.lit(None).cast("string").alias("geography_excerpt"), none.alias("conflicting_signals"),
-        F.lit(policy["version"]).alias("version"))
+    return {
+        "score": F.lit(int(business.get("score", 50))), "product_type": F.lit(business["product_type"]), "signals": signals,
+        "rejected": rejected, "confident": F.lit(False), "geography_evidence": F.when(national, F.lit("email_domain")),
+        "geography_excerpt": F.lit(None).cast("string"), "conflicting_signals": none, "version": F.lit(policy["version"])}
