@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siftline.functions.text import canonical_text, digest, keyed
 from siftline.operators.keys import attach, first_by
+from siftline.operators.pin import pinned
 from siftline.session import durable
 
 # After this many rounds a rest that was counted and is below the bound is finished in one ordered
@@ -30,7 +31,7 @@ REST_BOUND = 200_000
 
 def with_record_keys(records: DataFrame) -> DataFrame:
     """TXT-4: canonical text, record key, content key and identity hash of every record."""
-    return (records.withColumn("text", canonical_text(F.col("text")))
+    return (pinned(records, text=canonical_text(F.col("text")))
             .withColumn("record_key", keyed("record", F.col("source"), F.col("source_record_id")))
             .withColumn("content_key", F.concat(F.lit("content:"), digest(F.col("text"))))
             .withColumn("identity_hash", digest(F.concat_ws(":", "source", "identity"))))

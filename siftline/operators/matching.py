@@ -12,6 +12,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siftline.functions.phrases import implied, longest_phrase_pattern, phrase_pattern
+from siftline.operators.pin import pinned
 from siftline.rules import RuleBook
 
 _APOSTROPHES = str.maketrans("‘’‛ʼ", "''''")
@@ -56,7 +57,7 @@ def with_matches(df: DataFrame, book: RuleBook, text: str = "match_text", out: s
     """Adds the hit groups of every row.  The text is scanned once, whatever the number of groups."""
     groups = book.groups()
     terms = [t for members in groups.values() for t in members]
-    staged = df.withColumn("_found", found_terms(F.col(text), terms))
+    staged = pinned(df, _found=found_terms(F.col(text), terms))
     return staged.withColumn(out, matched_groups(F.col("_found"), groups)).drop("_found")
 
 

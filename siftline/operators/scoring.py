@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siftline.functions.text import matching_text, place_window
 from siftline.operators.matching import hits_any, with_matches
+from siftline.operators.pin import pinned
 from siftline.rules import RuleBook
 
 DAY_SECONDS = 86_400.0
@@ -85,7 +86,11 @@ def rules_result(df: DataFrame, book: RuleBook, as_of, text: str = "text", bio:
     business = policy.get("business_contact") or {}
     place = policy["location_signal"]
 
-    staged = df.withColumn("_text", matching_text(F.col(text)))
+    # whatever may leave generated code depends on source columns only: an Arrow batch above the matching step would have
+    # the matching expressions copied into its input
+    has_bio = bio is not None and bio in df.columns and bool(book.location_terms())
+    spot = place_window(F.col(bio), book.location_terms()) if has_bio else F.lit(None).cast("string")
+    staged = df.withColumns({"_text": matching_text(F.col(text)), "_spot": spot})
     if matched is None:
         staged = with_matches(staged, book, text="_text", out="_matched")
     else:
@@ -94,12 +99,7 @@ def rules_result(df: DataFrame, book: RuleBook, as_of, text: str = "text", bio:
     staged = staged.withColumn("_posted", signals_of(F.col("_matched"), book))
 
     in_post = F.array_contains("_posted", place)
-    if bio is not None and bio in df.columns and book.location_terms():
-        asked = F.when(~in_post & (F.col(bio) != ""), F.col(bio))
-        staged = staged.withColumn("_place", place_window(asked, book.location_terms()))
-        staged = staged.withColumn("_place", F.when(F.col("_place") != "", F.col("_place")))
-    else:
-        staged = staged.withColumn("_place", F.lit(None).cast("string"))
+    staged = staged.withColumn("_place", F.when(~in_post & (F.col("_spot") != ""), F.col("_spot")))
     added = F.when(F.col("_place").isNotNull(), F.array(F.lit(place))).otherwise(F.array().cast("array<string>"))
     staged = staged.withColumn("_signals", F.concat(F.col("_posted"), added))
     staged = staged.withColumn("_cancelled", overridden(F.col("_signals"), policy))
@@ -123,10 +123,9 @@ def rules_result(df: DataFrame, book: RuleBook, as_of, text: str = "text", bio:
         company = F.col("source").isin(list(business["sources"]))
         judged = _business(business, policy, place, moment)
         fields = {name: F.when(company, judged[name]).otherwise(value) for name, value in fields.items()}
-    # every field is a column of its own first: whoever reads the struct then reads plain columns
-    staged = staged.withColumns({f"_r_{name}": value for name, value in fields.items()})
+    staged = pinned(staged, **{f"_r_{name}": value for name, value in fields.items()})
     result = F.struct(*[F.col(f"_r_{name}").alias(name) for name in fields])
-    helpers = ["_text", "_matched", "_product", "_posted", "_place", "_signals", "_cancelled", "_score"]
+    helpers = ["_text", "_spot", "_matched", "_product", "_posted", "_place", "_signals", "_cancelled", "_score"]
     return staged.withColumn(out, result).drop(*helpers, *[f"_r_{name}" for name in fields])
 
 
