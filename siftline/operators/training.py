@@ -90,7 +90,7 @@ def train(rows: DataFrame, size: int = FEATURES) -> PipelineModel:
     """ML-3/ML-4: one balanced logistic regression per label over the text features."""
     stages = [StringIndexer(inputCol="label", outputCol="_y", stringOrderType="alphabetAsc", handleInvalid="skip"), *features(size=size),
               IDF(inputCol="_ltf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="features", p=2.0),
-              OneVsRest(classifier=LogisticRegression(maxIter=50, regParam=0.01, weightCol="weight"), featuresCol="features", labelCol="_y",
+              OneVsRest(classifier=LogisticRegression(maxIter=50, regParam=0.01, weightCol="weight", rawPredictionCol="_raw"), featuresCol="features", labelCol="_y",
                         predictionCol="_yhat", weightCol="weight", rawPredictionCol="_raw", parallelism=4)]
     return Pipeline(stages=stages).fit(balanced(rows))
 

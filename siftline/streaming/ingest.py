@@ -12,9 +12,12 @@ from siftline.operators.ranking import rank_route
 from siftline.operators.scoring import rules_result
 
 
-def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int | None = None,
+                only: str | None = None) -> DataFrame:
     """STR-14: stream over files with an explicit schema and a limit per micro-batch; the checkpoint is the cursor."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if only:
+        reader = reader.option("pathGlobFilter", only)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
@@ -45,6 +48,22 @@ def daily_counts(stream: DataFrame, ts: str = "ts", late: str = "1 day") -> Data
     return rows.select(F.to_date("w.start").alias("day"), "source", "name", "value")
 
 
+def write_updates(stream: DataFrame, path: str):
+    """Update-mode writer: the changed rows of a micro-batch go to a folder of its batch id."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return stream.writeStream.outputMode("update").foreachBatch(each)
+
+
+def latest_updates(spark: SparkSession, path: str, schema: str, keys: list[str]) -> DataFrame:
+    """Newest state per key from the folders of :func:`write_updates`."""
+    rows = spark.read.schema(schema + ", batch_id bigint").parquet(path)
+    values = [c for c in rows.columns if c not in keys and c != "batch_id"]
+    newest = F.max_by(F.struct(*values), F.col("batch_id")).alias("_v")
+    return rows.groupBy(*keys).agg(newest).select(*keys, "_v.*")
+
+
 def scored_stream(records: DataFrame, book, as_of: Column) -> DataFrame:
     """STR-4: filter, match, score, rank and route; stateless, so it runs on a stream unchanged."""
     kept = records.filter(discovery_match(matching_text(F.col("text")), book))
