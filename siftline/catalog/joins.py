@@ -44,7 +44,17 @@ def _(t):
 # H-1 on a pair of keys that both repeat: customer, and day with priority, of every order in order of its number.
 
 
-@query("h1_greedy_claims")
+def greedy_sql(rows: str) -> str:
+    """Greedy claims over ``rows(pos, a, b)`` by rounds of local minima."""
+    return f"""WITH RECURSIVE r AS MATERIALIZED ({rows}), g AS (SELECT pos, a, b, false AS kept FROM r UNION ALL
+      SELECT pos, a, b, win AS kept FROM (SELECT *, bool_or(win) OVER (PARTITION BY a) AS ta, bool_or(win) OVER (PARTITION BY b) AS tb FROM
+        (SELECT *, pos = min(pos) OVER (PARTITION BY a) AND pos = min(pos) OVER (PARTITION BY b) AS win FROM g WHERE NOT kept)) WHERE win OR NOT (ta OR tb))"""
+
+
+_ORDER_KEYS = "SELECT o_orderkey AS pos, 'c'||o_custkey AS a, 'd'||strftime(o_orderdate,'%Y%m%d')||'-'||left(o_orderpriority,1) AS b FROM orders"
+
+
+@query("h1_greedy_claims", greedy_sql(_ORDER_KEYS) + " SELECT pos, a, b FROM g WHERE kept")
 def _(t):
     rows = t.orders.select(F.col("o_orderkey").alias("pos"), F.concat(F.lit("c"), F.col("o_custkey")).alias("a"),
                            F.concat(F.lit("d"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("-"), F.substring("o_orderpriority", 1, 1)).alias("b"))
@@ -111,7 +121,11 @@ def _competing(t):
     return work(t).join(t.log.select(F.col("event_id").alias("candidate_id"), F.array(contact(first), contact(second)).alias("contacts")), "candidate_id")
 
 
-@query("h2_final_claims")
+_COMPETING = """SELECT row_number() OVER (ORDER BY round(value/50,3) DESC, CAST(floor(value) AS INTEGER) DESC, ts, event_id, slot) AS pos, CASE slot WHEN 0 THEN 'a'||CAST(floor(value) AS INTEGER) ELSE 'b'||user_id END||'@x.example.com' AS a,
+    'u'||user_id AS b, event_id FROM events, (SELECT unnest([0,1]) AS slot)"""
+
+
+@query("h2_final_claims", greedy_sql(_COMPETING) + " SELECT r.event_id AS candidate_id, r.a AS email FROM g JOIN r USING (pos) WHERE kept")
 def _(t):
     return admission.finalise(_competing(t), t.spark.createDataFrame([], "key string"), F.lit(False)).select("candidate_id", "email")
 

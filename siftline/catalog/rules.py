@@ -230,7 +230,7 @@ def with_bio(t):
 
     first = t.conversations.groupBy("conv_id").agg(F.min_by("text", "turn").alias("bio"), F.min("turn").alias("turn"))
     first = first.filter(F.col("turn") == 0)
-    return with_bios(t.records, first.select(F.concat(F.lit("u"), "conv_id").alias("identity"), "bio"), limit=100_000)
+    return with_bios(t.records, first.select(F.concat(F.lit("u"), "conv_id").alias("identity"), "bio"), limit=None)
 
 
 @query("rul3_signals_with_bio", "SELECT pos, array_to_string(CASE WHEN from_bio THEN list_concat(signals,['south_africa']) ELSE signals END,'|') AS signals, "
@@ -437,8 +437,8 @@ def _(t):
     return rows.select("c_custkey", _list(F.transform("m", lambda x: x["email"])).alias("emails"), _list(F.transform("m", lambda x: x["source_url"])).alias("places"))
 
 
-@query("set2_source_union", """SELECT source, count(*) AS records, CAST(sum(length(text)) AS BIGINT) AS chars FROM (SELECT source, left(text,16000) AS text FROM documents UNION ALL
-    SELECT 'turns' AS source, left(text,16000) FROM conversations UNION ALL SELECT 'pages' AS source, left(url,16000) FROM pages) GROUP BY source""")
+@query("set2_source_union", """SELECT source, count(*) AS records, CAST(sum(length(text)) AS BIGINT) AS chars FROM (SELECT source, text FROM documents UNION ALL
+    SELECT 'turns' AS source, text FROM conversations UNION ALL SELECT 'pages' AS source, url FROM pages) GROUP BY source""")
 def _(t):
     parts = [to_records(t.docs.select("source", "text")), to_records(t.conversations.select(F.lit("turns").alias("source"), "text")),
              to_records(t.pages.select(F.lit("pages").alias("source"), F.col("url").alias("text")))]

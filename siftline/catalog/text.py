@@ -207,7 +207,20 @@ def _(t):
     return t.customer.select("c_custkey", drafts.clean_line(line, name).alias("line"))
 
 
-@query("txt24_place_window")
+def _window_sql(term: str) -> str:
+    """Text around the first whole-word ``term`` in ``x``, null without one."""
+    n, edge = len(term), r"[^\p{L}\p{N}_]"
+    pre = f"length(regexp_extract(x,'(?s)^(.*?(?:^|{edge})){term}(?:$|{edge})',1))"
+    found = f"regexp_matches(x,'(?:^|{edge}){term}(?:$|{edge})')"
+    return f"""(SELECT left(trim(substr(x, lo2+1, hi2-lo2)),200) FROM (SELECT *, CASE WHEN lo > 0 AND strpos(substr(x,lo+1,s-lo),' ') > 0 THEN lo + strpos(substr(x,lo+1,s-lo),' ') ELSE lo END AS lo2,
+        CASE WHEN hi < length(x) AND strpos(substr(x,e+1,hi-e),' ') > 0 THEN e + (hi-e) - strpos(reverse(substr(x,e+1,hi-e)),' ') ELSE hi END AS hi2 FROM
+        (SELECT *, greatest(0, s-60) AS lo, least(length(x), e+60) AS hi FROM (SELECT {pre} AS s, {pre}+{n} AS e))) WHERE {found})"""
+
+
+_BIO = f"SELECT conv_id, turn, left({redact_sql('translate(' + canon('text') + chr(44) + quote('‘’‛ʼ') + chr(44) + quote(chr(39) * 4) + ')')},2000) AS x FROM conversations WHERE role='user'"
+
+
+@query("txt24_place_window", f"SELECT * FROM (SELECT conv_id, turn, coalesce({_window_sql('en')}, {_window_sql('thon')}) AS place FROM ({_BIO})) WHERE place IS NOT NULL")
 def _(t):
     bios = t.spread(t.conversations.filter(F.col("role") == "user"))
     return bios.select("conv_id", "turn", text.place_window(F.col("text"), book().location_terms()).alias("place")).filter("place IS NOT NULL")
@@ -284,7 +297,14 @@ def _(t):
     return t.log.select("event_id", at(6, "minutes").alias("by_minutes"), at(6, "hours").alias("by_hours"), at(12, "seconds").alias("by_seconds"))
 
 
-@query("txt33_signed_token")
+def _hmac_sql(message: str, key: bytes) -> str:
+    """HMAC-SHA256 written out: two hashes over the padded key."""
+    block = key.ljust(64, b"\0")
+    inner, outer = bytes(b ^ 0x36 for b in block).hex(), bytes(b ^ 0x5C for b in block).hex()
+    return f"left(sha256(from_hex('{outer}') || from_hex(sha256(from_hex('{inner}') || encode({message})))),32)"
+
+
+@query("txt33_signed_token", f"""SELECT 'camp:'||c_custkey AS lead_id, {_hmac_sql("'camp:'||c_custkey", b'a-test-key')} AS token, {_hmac_sql("'unsub:camp:'||c_custkey", b'a-test-key')} AS unsub, true AS valid FROM customer""")
 def _(t):
     rows = t.customer.select(F.concat(F.lit("camp:"), "c_custkey").alias("lead_id"))
     rows = rows.withColumn("token", values.signed_token(F.col("lead_id"), "a-test-key")).withColumn("unsub", values.signed_token(F.col("lead_id"), "a-test-key", "unsub:"))

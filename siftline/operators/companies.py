@@ -14,7 +14,6 @@ from siftline.operators.keys import first_by
 
 # Fixed value: path words of pages that carry contact details.
 CONTACT_PATH = r"(?i)contact|about|kontak|enquir|get-in-touch|reach-us"
-PAGE_BYTES = 2_000_000
 RESPONSE_KINDS = {"interest": ("", "interested"), "unsubscribe": ("unsub:", "unsubscribed")}
 
 
@@ -71,7 +70,7 @@ def contact_roles(leads: DataFrame, pages: DataFrame, lookups: dict, limit: int
     Pages are cut down to their mailboxes before the join, so no page text is shuffled.
     """
     seen = pages.withColumn("_host", host_of(F.col("url"))).select(
-        F.col("url").alias("source_url"), page_mailboxes(F.left("html", F.lit(PAGE_BYTES)), F.col("_host"), lookups, limit).alias("_page"))
+        F.col("url").alias("source_url"), page_mailboxes(F.col("html"), F.col("_host"), lookups, limit).alias("_page"))
     seen = seen.groupBy("source_url").agg(F.first("_page").alias("_page"))
     staged = leads.join(seen, "source_url", "left")
     others = F.filter(F.coalesce("_page", F.array().cast("array<string>")), lambda m: m != F.col("email"))

@@ -78,10 +78,11 @@ def commit_records(events: DataFrame, body: str | None = None, collection: str =
     return _post_rows(made, F.col("commit.record"), F.col("did"), F.col("commit.rkey"), none, none, none, F.col("commit.collection"))
 
 
-def with_bios(records: DataFrame, bios: DataFrame, limit: int = 1000) -> DataFrame:
-    """JN-9: author bio by identity, distinct ids, '' when missing."""
+def with_bios(records: DataFrame, bios: DataFrame, limit: int | None = 1000) -> DataFrame:
+    """JN-9: author bio by identity, distinct ids, '' when missing; bounded as the profile field is, or whole."""
     from siftline.operators.keys import lookup
 
     known = bios.groupBy("identity").agg(F.first("bio", ignorenulls=True).alias("_bio"))
     joined = lookup(records, known, "identity")
-    return joined.withColumn("bio", F.left(text_or_empty(F.col("_bio")), F.lit(limit))).drop("_bio")
+    bio = text_or_empty(F.col("_bio"))
+    return joined.withColumn("bio", F.left(bio, F.lit(limit)) if limit else bio).drop("_bio")

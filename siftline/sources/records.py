@@ -8,18 +8,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from siftline.schemas import RECORD
 
+# Fixed value: the bound collectors put on a record's text.
 TEXT_LIMIT = 16_000
 
 
-def read_records(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """SRC-1 from files with the record schema."""
-    return to_records(spark.read.schema(RECORD).format(fmt).load(path))
+def read_records(spark: SparkSession, path: str, fmt: str = "parquet", text_limit: int | None = TEXT_LIMIT) -> DataFrame:
+    """SRC-1 from files with the record schema, with the contract's bound on the text."""
+    return to_records(spark.read.schema(RECORD).format(fmt).load(path), text_limit)
 
 
-def to_records(rows: DataFrame) -> DataFrame:
+def to_records(rows: DataFrame, text_limit: int | None = None) -> DataFrame:
     """SRC-1: any table with some of the record columns, with defaults for the others.
 
-    The contract bounds a record's text; the bound is the source's and belongs to the result.
+    Texts stay whole unless a bound is asked for.
     """
     have = set(rows.columns)
     columns = []
@@ -34,8 +35,8 @@ def to_records(rows: DataFrame) -> DataFrame:
             given = F.coalesce(given, F.array().cast(kind))
         elif isinstance(kind, T.MapType):
             given = F.coalesce(given, F.create_map().cast(kind))
-        if field.name == "text":
-            given = F.left(given, F.lit(TEXT_LIMIT))
+        if field.name == "text" and text_limit:
+            given = F.left(given, F.lit(text_limit))
         columns.append(given.alias(field.name))
     others = [c for c in rows.columns if c not in RECORD.names]
     return rows.select(*others, *columns)
