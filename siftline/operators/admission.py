@@ -25,7 +25,7 @@ from siftline.session import durable
 
 # After this many rounds a rest that was counted and is below the bound is finished in one ordered
 # pass; a larger rest goes on in rounds.
-PATIENCE = 8
+PATIENCE = 2
 REST_BOUND = 200_000
 
 

@@ -7,6 +7,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siftline.functions.text import place_window, redact
+from siftline.operators.pin import pinned
 from siftline.operators.ranking import rank_route, semantic_accepted
 from siftline.operators.validation import usable_contacts
 from siftline.schemas import SEMANTIC
@@ -24,7 +25,7 @@ def parse_semantic(rows: DataFrame, body: str = "body", intents: list[str] | Non
     names = F.array(*[F.lit(f.name) for f in SEMANTIC.fields])
     keys = F.json_object_keys(body)
     parsed = F.from_json(F.col(body), SEMANTIC, {"mode": "PERMISSIVE"})
-    staged = rows.withColumn("_keys", keys).withColumn("_p", parsed)
+    staged = pinned(rows, _keys=keys, _p=parsed)
     p = F.col("_p")
     flags = [f.name for f in SEMANTIC.fields if f.dataType.typeName() == "boolean"]
     missing_flag = F.lit(False)
@@ -38,7 +39,7 @@ def parse_semantic(rows: DataFrame, body: str = "body", intents: list[str] | Non
                .when(~F.coalesce(p["score"].between(0, 100), F.lit(False)), F.lit("score"))
                .when(~F.coalesce(F.length(p["reason"]) <= 500, F.lit(False)), F.lit("reason")))
     clean = p.withField("reason", F.left(redact(p["reason"]), F.lit(500)))
-    staged = staged.withColumn("refused", refused)
+    staged = pinned(staged, refused=refused)
     return staged.withColumn("semantic", F.when(F.col("refused").isNull(), clean)).drop("_keys", "_p")
 
 
@@ -59,10 +60,9 @@ def decide(candidates: DataFrame, rules: DataFrame, semantic: DataFrame, book, a
     if model is not None:
         staged = staged.join(model.select("candidate_id", "label", "confidence"), "candidate_id", "left")
         label, confidence = F.col("label"), F.col("confidence")
-    staged = staged.withColumn("_usable", usable_contacts(F.col("contacts"), as_of))
+    staged = pinned(staged, _usable=usable_contacts(F.col("contacts"), as_of))
     held = F.size("_usable") > 0
-    staged = staged.withColumn("ranking", F.when(F.col("rules").isNotNull(),
-                                                 rank_route(F.col("rules"), held, policy, label, confidence)))
+    staged = pinned(staged, ranking=F.when(F.col("rules").isNotNull(), rank_route(F.col("rules"), held, policy, label, confidence)))
     route, accepted = F.col("ranking.route"), semantic_accepted(F.col("semantic"), policy)
     unchecked = ~held & ((F.size("contacts") > 0) | required)
     decision = (F.when(unchecked, F.lit("VALIDATE"))

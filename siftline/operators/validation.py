@@ -8,6 +8,7 @@ from siftline.functions.emails import domain_part, local_part, normal_email
 from siftline.functions.text import digest
 from siftline.functions.values import backoff
 from siftline.operators.keys import lookup
+from siftline.operators.pin import pinned
 
 FRESH_DAYS = 3
 USABLE = "DELIVERABLE_DOMAIN"
@@ -53,7 +54,7 @@ def contact_verdicts(rows: DataFrame, mx: DataFrame, lookups: dict, email: str =
                      allow_role: Column | None = None) -> DataFrame:
     """RUL-14: adds ``status`` and ``reason``; the first test that fails decides."""
     allow = allow_role if allow_role is not None else F.lit(False)
-    staged = rows.withColumn("_email", normal_email(F.col(email))).withColumn("domain", domain_part(F.col("_email")))
+    staged = pinned(rows, _email=normal_email(F.col(email))).withColumn("domain", domain_part(F.col("_email")))
     staged = lookup(staged, domain_facts(mx), "domain")
     role = local_part(F.col("_email")).isin(list(lookups["role_accounts"])) & ~allow
     ladder = [
@@ -69,7 +70,7 @@ def contact_verdicts(rows: DataFrame, mx: DataFrame, lookups: dict, email: str =
     verdict = pair("RISKY", TEMPORARY)
     for test, status, reason in reversed(ladder):
         verdict = F.when(F.coalesce(test, F.lit(False)), pair(status, reason)).otherwise(verdict)
-    staged = staged.withColumn("_v", verdict)
+    staged = pinned(staged, _v=verdict)
     return staged.select(*rows.columns, F.col("_v.status").alias("status"), F.col("_v.reason").alias("reason"))
 
 

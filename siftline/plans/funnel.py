@@ -11,6 +11,7 @@ from siftline.functions.profile import profile
 from siftline.functions.text import redact, text_or_empty
 from siftline.operators.admission import admit, finalise, first_identities, stored, with_known_contacts, with_record_keys
 from siftline.operators.decisions import decide
+from siftline.operators.pin import pinned
 from siftline.operators.ranking import rank_route
 from siftline.operators.scoring import rules_result
 from siftline.operators.validation import checked_contacts, validation_stage
@@ -30,7 +31,7 @@ class Funnel:
 def score_and_route(records: DataFrame, book, as_of) -> DataFrame:
     """Records with ``rules`` and ``ranking`` structs; no shuffle, one scan."""
     scored = rules_result(records, book, as_of, bio="bio" if "bio" in records.columns else None)
-    return scored.withColumn("ranking", rank_route(F.col("rules"), F.lit(False), book.policy))
+    return pinned(scored, ranking=rank_route(F.col("rules"), F.lit(False), book.policy))
 
 
 def to_candidates(records: DataFrame, book, as_of, claimed: DataFrame, order: str = "pos") -> DataFrame:
@@ -38,10 +39,12 @@ def to_candidates(records: DataFrame, book, as_of, claimed: DataFrame, order: st
     scored = rules_result(records, book, as_of).filter(~F.col("rules.rejected"))
     own = contacts(F.col("text"), F.col("url"))
     bio_url = F.when(text_or_empty(F.col("profile_url")) != "", F.col("profile_url")).otherwise(F.col("url"))
-    scored = scored.withColumn("_own", own).withColumn("_bio", contacts(F.col("bio"), bio_url))
-    scored = scored.withColumn("contacts", merge_contacts(F.col("_own"), F.col("_bio"))).drop("_own", "_bio")
+    scored = pinned(scored, _own=own, _bio=contacts(F.col("bio"), bio_url))
+    scored = pinned(scored, contacts=merge_contacts(F.col("_own"), F.col("_bio"))).drop("_own", "_bio")
+    # the texts are scored once; the joins below read the written result
+    scored = durable(scored, "qualified")
     fresh = with_known_contacts(scored, claimed, order).filter(~F.col("all_known")).drop("all_known")
-    firsts = first_identities(durable(fresh, "qualified"), claimed, order)
+    firsts = first_identities(fresh, claimed, order)
     place = F.when(F.col("rules.geography_evidence") == "profile_bio", F.struct(
         F.lit("profile_bio").alias("provenance"), F.col("rules.geography_excerpt").alias("excerpt"), bio_url.alias("source_url")))
     return firsts.select(
