@@ -11,6 +11,7 @@ from siftline.functions.text import ascii_punctuation, text_or_empty
 from siftline.functions.urls import host_of, url_part
 from siftline.functions.values import token_valid
 from siftline.operators.keys import first_by
+from siftline.session import durable
 
 # Fixed value: path words of pages that carry contact details.
 CONTACT_PATH = r"(?i)contact|about|kontak|enquir|get-in-touch|reach-us"
@@ -40,6 +41,8 @@ def company_records(pages: DataFrame, lookups: dict, limit: int = 3, pos: str =
     staged = pages.withColumn("host", host_of(F.col("url"))).filter(F.col("host") != "")
     staged = staged.withColumn("mailboxes", page_mailboxes(F.col("html"), F.col("host"), lookups))
     staged = staged.withColumn("title", page_title(F.col("html")))
+    # every page is parsed once; both branches below read the narrow result and no page text is shuffled
+    staged = durable(staged.select("host", pos, "url", "fetched_at", "mailboxes", "title"), "parsed")
     each = staged.select("host", pos, F.posexplode("mailboxes").alias("i", "email"))
     distinct = each.groupBy("host", "email").agg(F.min(F.struct(pos, "i")).alias("at"))
     order = Window.partitionBy("host").orderBy("at")
