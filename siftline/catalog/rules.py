@@ -33,12 +33,12 @@ def _ranked(t):
 
 # ---- the flagship: records through matching, scoring and routing --------------------------------
 
-@query("funnel_routes_by_source", """SELECT source, route, count(*) AS records, CAST(sum(score) AS BIGINT) AS score_total, round(avg(rank_score),6) AS rank_mean
+@query("funnel_routes_by_source", """SELECT source, route, count(*) AS records, CAST(sum(score) AS BIGINT) AS score_total, CAST(sum(CAST(round(rank_score*1000) AS BIGINT)) AS BIGINT) AS rank_milli_total
     FROM ranked GROUP BY source, route""", ctes="ranked")
 def _(t):
     rows = score_and_route(t.records, _B, AS_OF)
     return rows.groupBy("source", F.col("ranking.route").alias("route")).agg(
-        F.count(F.lit(1)).alias("records"), F.sum("rules.score").alias("score_total"), F.round(F.avg("ranking.rank_score"), 6).alias("rank_mean"))
+        F.count(F.lit(1)).alias("records"), F.sum("rules.score").alias("score_total"), F.sum(F.round(F.col("ranking.rank_score") * 1000).cast("long")).alias("rank_milli_total"))
 
 
 # ---- filters ------------------------------------------------------------------------------------

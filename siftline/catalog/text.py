@@ -279,14 +279,14 @@ def _(t):
     return d.select("doc_id", F.explode(keys).alias("key"))
 
 
-@query("txt31_durations", """SELECT event_id, CASE WHEN s <= 604800 THEN s END AS seconds FROM (SELECT event_id, CAST(CASE event_id % 5 WHEN 0 THEN 3600.0*user_id + 2.5
+@query("txt31_durations", """SELECT event_id, CASE WHEN s <= 604800 THEN round(s, 6) END AS seconds FROM (SELECT event_id, CAST(CASE event_id % 5 WHEN 0 THEN 3600.0*user_id + 2.5
     WHEN 1 THEN user_id/1000.0 WHEN 2 THEN NULL WHEN 3 THEN user_id ELSE NULL END AS DOUBLE) AS s FROM events)""")
 def _(t):
     k = F.col("event_id") % 5
     u = F.col("user_id").cast("string")
     shown = (F.when(k == 0, F.concat(u, F.lit("h2.5s"))).when(k == 1, F.concat(u, F.lit("ms"))).when(k == 2, F.concat(u, F.lit("h bad")))
              .when(k == 3, u).otherwise(F.concat(F.lit("-"), u, F.lit("1"))))
-    return t.events.select("event_id", values.duration_seconds(shown).alias("seconds"))
+    return t.events.select("event_id", F.round(values.duration_seconds(shown), 6).alias("seconds"))
 
 
 @query("txt32_backoff", """SELECT event_id, CAST(epoch_us(ts) + CAST(60e6*pow(2, event_id % 6) AS BIGINT) AS BIGINT) AS by_minutes,

@@ -25,7 +25,7 @@ def cell(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "∅"
-        return f"{value:.6g}" if value != int(value) else str(int(value))
+        return repr(value) if value != int(value) else str(int(value))
     if isinstance(value, bool):
         return str(value)
     if hasattr(value, "item"):

@@ -31,4 +31,4 @@ def test_every_sql_twin_has_a_query():
 
 
 def test_flagship(spark):
-    assert entry.entry(spark).columns == ["source", "route", "records", "score_total", "rank_mean"]
+    assert entry.entry(spark).columns == ["source", "route", "records", "score_total", "rank_milli_total"]
