@@ -31,6 +31,8 @@ def build_session(app: str = "siftline", master: str | None = None, cores: int |
     }
     if cores:
         settings["spark.sql.shuffle.partitions"] = str(cores)
+    if master and master.startswith("local"):
+        settings["spark.driver.memory"] = "8g"  # the local master runs everything inside the driver
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
