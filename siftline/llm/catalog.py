@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import credentials, line_rules, mixture, near_dupes
+from siftline.llm import credentials, line_rules, line_templates, mixture, near_dupes
 from siftline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_templates": lambda spark, folder: line_templates.report(table(spark, folder, "documents")),
     "op3_minhash_near_dedup": lambda spark, folder: near_dupes.near_duplicates(table(spark, folder, "documents")),
     "op6_credential_links": lambda spark, folder: credentials.report(table(spark, folder, "documents")),
     "op8_line_frequency_rules": lambda spark, folder: line_rules.judged(table(spark, folder, "documents")),
     "op10_mixture": lambda spark, folder: mixture.decisions(table(spark, folder, "documents")),
 }
 SQL: dict[str, str] = {
+    "op2_line_templates": line_templates.SQL,
     "op3_minhash_near_dedup": near_dupes.SQL,
     "op6_credential_links": credentials.SQL,
     "op8_line_frequency_rules": line_rules.SQL,
