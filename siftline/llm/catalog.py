@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import credentials, line_rules, line_templates, mixture, near_dupes, quality
+from siftline.llm import credentials, line_rules, line_templates, mixture, near_dupes, quality, toxicity
 from siftline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": lambda spark, folder: near_dupes.near_duplicates(table(spark, folder, "documents")),
     "op4_quality_classifier": lambda spark, folder: quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels")),
     "op6_credential_links": lambda spark, folder: credentials.report(table(spark, folder, "documents")),
+    "op7_toxicity": lambda spark, folder: toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels")),
     "op8_line_frequency_rules": lambda spark, folder: line_rules.judged(table(spark, folder, "documents")),
     "op10_mixture": lambda spark, folder: mixture.decisions(table(spark, folder, "documents")),
 }

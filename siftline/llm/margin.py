@@ -80,8 +80,11 @@ def calibrated(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(beta[0]), float(beta[1])
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int, cost: float = 1.0, passes: int = 20) -> Model:
-    """Ratios and weights from all rows; the curve from margins of rows that the fit behind them has not seen."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int, cost: float = 1.0, passes: int = 20, share: float = 1.0) -> Model:
+    """Ratios and weights from all rows; the curve from margins of rows that the fit behind them has not seen.
+
+    With ``share`` below 1 the weights are mixed with their mean size, which leans towards plain naive Bayes.
+    """
     labels = np.asarray(labels, dtype=np.float64)
     if len(rows) == 0 or labels.min() == labels.max():  # nothing to separate
         share = (labels.sum() + 1) / (len(labels) + 2)
@@ -91,6 +94,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int
         ratios = log_count_ratios([rows[i][0] for i in chosen], labels[chosen], size)
         scaled = [(rows[i][0], rows[i][1] * ratios[rows[i][0]]) for i in chosen]
         weights, bias = dual_descent(scaled, labels[chosen], size, cost, passes)
+        weights = share * weights + (1 - share) * (np.abs(weights[weights != 0]).mean() if weights.any() else 0.0)
         return weights * ratios, bias
 
     margins = np.zeros(len(rows))
