@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import credentials, line_rules, line_templates, mixture, near_dupes, quality, toxicity
+from siftline.llm import credentials, line_rules, line_templates, mixture, near_dupes, quality, segmentation, toxicity
 from siftline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": lambda spark, folder: segmentation.report(table(spark, folder, "documents")),
     "op2_line_templates": lambda spark, folder: line_templates.report(table(spark, folder, "documents")),
     "op3_minhash_near_dedup": lambda spark, folder: near_dupes.near_duplicates(table(spark, folder, "documents")),
     "op4_quality_classifier": lambda spark, folder: quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels")),
