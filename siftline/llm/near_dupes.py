@@ -183,6 +183,12 @@ def near_duplicates(docs: DataFrame, share: int = SHARE, miss: float = MISS) ->
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def deduplicated(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with one document per group; rows that repeat an id are one document."""
+    stay = near_duplicates(docs, **settings).filter("kept").select(F.col("doc_id").alias("_stay")).distinct()
+    return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(F.col("_stay")), "left_semi")
+
+
 def _confirmed_links(texts, keyed, members, sigs, scratch, share, miss) -> DataFrame:
     spark = texts.sparkSession
     empty = spark.createDataFrame([], "a long, b long")

@@ -140,12 +140,13 @@ def scored(docs: DataFrame, model: margin.Model, threshold: float = THRESHOLD) -
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                score = shared.value.score([indicators(t) for t in _texts(part)])
-                yield pa.RecordBatch.from_arrays([part.column("_doc"), pa.array(score, pa.float64())], names=["_doc", "score"])
+                packed = batch.column("_doc").slice(at, 256)
+                texts = [t or b"" for t in packed.field("text").cast(pa.binary()).to_pylist()]
+                score = shared.value.score([indicators(t) for t in texts])
+                yield pa.RecordBatch.from_arrays([packed, pa.array(score, pa.float64())], names=["_doc", "score"])
 
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), whole().alias("_t"))
-    rows = packed.mapInArrow(scores, packed.select("_doc").schema.add("score", "double"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    rows = rows.mapInArrow(scores, rows.schema.add("score", "double"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
