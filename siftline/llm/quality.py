@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from siftline.llm import margin
 from siftline.llm.common import PIECE, SPACES, _pieces, mixed, split_remainder, whole
@@ -146,7 +147,7 @@ def scored(docs: DataFrame, model: margin.Model, threshold: float = THRESHOLD) -
                 yield pa.RecordBatch.from_arrays([packed, pa.array(score, pa.float64())], names=["_doc", "score"])
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
-    rows = rows.mapInArrow(scores, rows.schema.add("score", "double"))
+    rows = rows.mapInArrow(scores, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 

@@ -29,6 +29,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from siftline.llm import margin
 from siftline.llm.common import PIECE, Scratch, mixed, split_remainder, whole
@@ -300,5 +301,5 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fitted.score(rows), pa.float64())], names=["doc_id", "score"])
 
     packed = docs.select("doc_id", whole().alias("_t"))
-    rows = packed.mapInArrow(scores, packed.select("doc_id").schema.add("score", "double"))
+    rows = packed.mapInArrow(scores, StructType([packed.schema["doc_id"], StructField("score", DoubleType())]))
     return rows.select("doc_id", (split_remainder(FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
