@@ -4,15 +4,16 @@ Words are lower-cased (A-Z) runs without white space; the set of a document has
 hashes, or the whole sequence as one where there are fewer words.  Documents are linked if 100 * |A & B| >= 75 * |A | B|.
 
 1. *Sketch.*  One pass over the texts gives a key of the set (64 bits), a signature of ``BANDS * ROWS`` minima cut into
-   band keys, and ``CHECKS`` 16-bit minima for the comparison.  Equal sets share the key and are one class from here on.
+   band keys, and one bit of every minimum for the comparison.  Equal sets share the key and are one class from here on.
 2. *Buckets.*  A bucket holds the classes of one band key; only buckets with two classes or more go on.
 3. *Stars instead of pairs.*  Each bucket compares its members with one centre, the member that meets most others.
-   Members that end up in one component need no further comparison.  What is left, members of a bucket in different
-   components, is counted exactly; while it is more than a few times the bucket rows the next centre is taken, then
-   the rest is compared in full.  Nothing is capped: every two members of a bucket are compared or already connected.
-4. *Verification.*  The 16-bit minima are compared ``STEP`` at a time.  With a uniform prior the similarity after m
-   matches of n is Beta(m+1, n-m+1); a pair is dropped once the chance of a similarity of 0.75 or more is below
-   ``MISS``.  Survivors are confirmed on the full sets, which are built again for the documents concerned only.
+   Members known to hang on one centre need no further comparison with each other.  What is left, members of a bucket
+   without a known connection, is counted exactly; while that is much more than the bucket rows the next centre is taken,
+   then the rest is compared.  Nothing is capped: every two members of a bucket are compared or already connected.
+4. *Verification.*  The bits are compared 64 at a time, inside the join that brings the members together.  A bit agrees
+   with chance (1 + similarity) / 2; with a uniform prior for that chance it is Beta(m+1, n-m+1) after m of n agreed.  A
+   pair is dropped as soon as the chance of a similarity of 0.75 or more falls below ``MISS``, so pairs without a future
+   never become rows.  Survivors are confirmed on the full sets.
 5. *Components* over confirmed links; the smallest doc_id of a component stays.
 
 With 64 bands of 7 rows a pair at similarity 0.75 shares a bucket with probability 0.9999, at 0.8 with 0.9999999.
@@ -28,9 +29,8 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from siftline.llm.common import Scratch, mixed, whole, word_hashes
 from siftline.llm.components import components
@@ -38,10 +38,11 @@ from siftline.llm.components import components
 SHINGLE = 5
 SHARE = 75  # per cent
 BANDS, ROWS = 64, 7
-CHECKS, STEP = 192, 32
+WORDS_OF_BITS = BANDS * ROWS // 64
 MISS = 1e-4
-PAIRS_PER_ROW = 8  # left-over comparisons per bucket row from which another star round is cheaper
+PAIRS_PER_ROW = 64  # left-over comparisons per bucket row from which another star round is cheaper
 _BLOCK = 32
+_BITS = [f"_b{i}" for i in range(WORDS_OF_BITS)]
 _FACTORS = (mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _PLACES = mixed(np.arange(101, 101 + SHINGLE, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _ROW_FACTORS = mixed(np.arange(301, 301 + ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -78,6 +79,11 @@ def bands(best: np.ndarray) -> np.ndarray:
     return mixed((rows * _ROW_FACTORS).sum(axis=1, dtype=np.uint64) + _BAND_SEEDS)
 
 
+def bits(best: np.ndarray) -> np.ndarray:
+    """One bit of every minimum, in words of 64."""
+    return np.packbits(mixed(best.astype(np.uint64)) & np.uint64(1) == 1).view(np.int64)
+
+
 def set_key(items: np.ndarray) -> int:
     """64-bit key of a set: equal sets have equal keys."""
     total = mixed(items.copy()).sum(dtype=np.uint64, keepdims=True) ^ mixed(np.array([items.size], dtype=np.uint64))
@@ -95,20 +101,21 @@ def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole_batch in batches:
         for at in range(0, whole_batch.num_rows, _ROWS_OUT):
             batch = whole_batch.slice(at, _ROWS_OUT)
-            n, key, sig, band = [], [], [], []
+            n, key, bit, band = [], [], [], []
             for words in word_hashes(_texts(batch, "_t")):
                 items = shingles(words)
                 n.append(items.size)
                 if items.size == 0:
-                    key.append(None), sig.append(None), band.append(None)
+                    key.append(None), bit.append([0] * WORDS_OF_BITS), band.append(None)
                     continue
                 best = minima(items)
                 key.append(set_key(items))
-                sig.append(best[:CHECKS].astype(np.uint16).tobytes())
+                bit.append(bits(best))
                 band.append(bands(best).view(np.int64))
+            columns = np.array(bit, dtype=np.int64).reshape(-1, WORDS_OF_BITS).T
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("_h"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(sig, pa.binary()),
-                 pa.array(band, pa.list_(pa.int64()))], names=["doc_id", "_h", "n", "key", "sig", "bands"])
+                [batch.column("doc_id"), batch.column("_h"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(band, pa.list_(pa.int64())),
+                 *[pa.array(np.ascontiguousarray(c)) for c in columns]], names=["doc_id", "_h", "n", "key", "bands", *_BITS])
 
 
 def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,41 +127,31 @@ def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["key", "items"])
 
 
-def bounds(share: int = SHARE, miss: float = MISS, checks: int = CHECKS, step: int = STEP) -> list[tuple[int, int]]:
-    """For n = step, 2 * step, ... compared minima the fewest matches with which a pair goes on.
+def bounds(share: int = SHARE, miss: float = MISS, checks: int = BANDS * ROWS, step: int = 64) -> list[tuple[int, int]]:
+    """For n = step, 2 * step, ... compared bits the largest number of differing ones with which a pair goes on.
 
-    The chance of a similarity of at least t under Beta(m+1, n-m+1) is that of at most m successes in n+1 trials of chance t.
+    The chance of more than t under Beta(m+1, n-m+1) is that of at most m successes in n+1 trials of chance t; here t is
+    the chance of a bit to agree, given that it is at least one half.
     """
-    t, out = share / 100, []
+    def at_most(m: int, trials: int, t: float) -> float:
+        return sum(comb(trials, i) * t**i * (1 - t) ** (trials - i) for i in range(m + 1))
+
+    t, out = (1 + share / 100) / 2, []
     for n in range(step, checks + 1, step):
-        below = 0.0
-        for m in range(n + 1):
-            below += comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
-            if below >= miss:
-                break
-        out.append((n, m))
+        m = n
+        while m and at_most(m - 1, n + 1, t) >= miss * at_most(m - 1, n + 1, 0.5):
+            m -= 1
+        out.append((n, n - m))
     return out
 
 
-def _plausible(share: int, miss: float):
-    limits = bounds(share, miss)
-
-    @F.pandas_udf("boolean")
-    def plausible(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype=bool)
-        left = np.frombuffer(b"".join(a), dtype=np.uint16).reshape(len(a), CHECKS)
-        right = np.frombuffer(b"".join(b), dtype=np.uint16).reshape(len(a), CHECKS)
-        alive = np.arange(len(a))
-        matches = np.zeros(len(a), dtype=np.int64)
-        for n, least in limits:  # only pairs that are still possible see the next batch of minima
-            matches[alive] += (left[alive, n - STEP : n] == right[alive, n - STEP : n]).sum(axis=1)
-            alive = alive[matches[alive] >= least]
-        keep = np.zeros(len(a), dtype=bool)
-        keep[alive] = True
-        return pd.Series(keep)
-
-    return plausible
+def plausible(left: str, right: str, share: int, miss: float) -> Column:
+    """Sequential test of two members in one expression: each batch of bits is looked at only if the ones before allow it."""
+    differing, test = F.lit(0), F.lit(True)
+    for i, (_, most) in enumerate(bounds(share, miss)):
+        differing = differing + F.bit_count(F.col(f"{left}._b{i}").bitwiseXOR(F.col(f"{right}._b{i}")))
+        test = test & (differing <= most)
+    return test
 
 
 def near_duplicates(docs: DataFrame, share: int = SHARE, miss: float = MISS) -> DataFrame:
@@ -162,22 +159,24 @@ def near_duplicates(docs: DataFrame, share: int = SHARE, miss: float = MISS) ->
     spark = docs.sparkSession
     scratch = Scratch(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("_t")).withColumn("_h", F.xxhash64("_t"))
-    sketch = scratch.keep(texts.mapInArrow(sketched, "doc_id long, _h long, n long, key long, sig binary, bands array<long>"), "sketch")
+    sketch = scratch.keep(texts.mapInArrow(sketched, "doc_id long, _h long, n long, key long, bands array<long>, " + ", ".join(f"{b} long" for b in _BITS)), "sketch")
     keyed = sketch.filter("key is not null")
 
     placed = keyed.select("key", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("key").alias("_a"), F.max("key").alias("_b")).filter("_a <> _b").select("bucket")
     members = scratch.keep(placed.join(shared, "bucket").distinct(), "members")
-    nodes = members.select("key").distinct()
-    sigs = scratch.keep(keyed.select("key", "sig").join(nodes, "key").groupBy("key").agg(F.first("sig").alias("sig")), "sigs")
-    links = _confirmed_links(texts, keyed, members, sigs, scratch, share, miss)
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_m"))
+    weight = members.join(sizes, "bucket").groupBy("key").agg(F.sum("_m").alias("w"))
+    holders = keyed.groupBy("key").agg(*[F.first(b).alias(b) for b in _BITS], F.min(F.struct("doc_id", "_h")).alias("_r"))
+    nodes = scratch.keep(holders.join(weight, "key"), "nodes")
+    links = _confirmed_links(members, nodes, _full_sets(texts, nodes, scratch), scratch, share, miss)
     labels = scratch.keep(components(links, scratch), "labels")
 
     classes = keyed.groupBy("key").agg(F.min("doc_id").alias("first"))
     rooted = classes.join(labels, F.col("key") == F.col("node"), "left").select("key", "first", F.coalesce("label", "key").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     resolved = scratch.keep(rooted.join(smallest, "root").select(F.col("key").alias("_key"), "component_id"), "resolved")
-    scratch.drop("members", "sigs", "links", "labels", "edges", "tested")
+    scratch.drop("members", "nodes", "sets", "links", "labels", "edges")
     out = sketch.select("doc_id", F.col("n").alias("n_shingles"), "key").join(resolved, F.col("key") == F.col("_key"), "left")
     out = out.withColumn("component_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -189,63 +188,68 @@ def deduplicated(docs: DataFrame, **settings) -> DataFrame:
     return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(F.col("_stay")), "left_semi")
 
 
-def _confirmed_links(texts, keyed, members, sigs, scratch, share, miss) -> DataFrame:
-    spark = texts.sparkSession
-    empty = spark.createDataFrame([], "a long, b long")
-    links, tested = empty, empty
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_m"))
-    weight = members.join(sizes, "bucket").groupBy("key").agg(F.sum("_m").alias("w"))
-    ranked = scratch.keep(members.join(weight, "key").withColumn("rank", F.struct("w", "key")).select("bucket", "key", "rank"), "ranked")
+def _full_sets(texts: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """The full sets of the classes in buckets.  One row stands for a class; its text is found by id and text hash."""
+    wanted = nodes.select(F.col("_r.doc_id").alias("_id"), F.col("_r._h").alias("_rh"))
+    found = texts.join(wanted, (F.col("_h") == F.col("_rh")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("_t")
+    return scratch.keep(found.mapInArrow(sets, "key long, items array<long>"), "sets")
+
+
+def _confirmed_links(members: DataFrame, nodes: DataFrame, full: DataFrame, scratch: Scratch, share: int, miss: float) -> DataFrame:
+    ranked = members.join(nodes.select("key", *_BITS, F.struct("w", "key").alias("rank")), "key")
+    links = tested = members.sparkSession.createDataFrame([], "a long, b long")
+    rows = scratch.keep(ranked.withColumn("label", F.col("key")), "rows")
     last = None
     while True:
-        labels = components(links, scratch).select(F.col("node").alias("key"), "label") if last is not None else None
-        rows = ranked.withColumn("label", F.col("key")) if labels is None else ranked.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        # a bucket is open while its members lie in different components
+        # a bucket is open while it has members without a known connection
         parts = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("_c"))
-        per = scratch.keep(parts.groupBy("bucket").agg(F.sum("_c").alias("_m"), F.sum(F.col("_c") * F.col("_c")).alias("_q"), F.max(F.struct("_c", "label")).alias("_top"))
-                           .filter("_m * _m > _q").select("bucket", F.col("_top.label").alias("_major"), ((F.col("_m") * F.col("_m") - F.col("_q")) / 2).alias("_left"), "_m"), "open")
+        per = (parts.groupBy("bucket").agg(F.sum("_c").alias("_m"), F.sum(F.col("_c") * F.col("_c")).alias("_q"), F.max(F.struct("_c", "label")).alias("_top"))
+               .filter("_m * _m > _q").select("bucket", F.col("_top.label").alias("_major"), ((F.col("_m") * F.col("_m") - F.col("_q")) / 2).alias("_left"), "_m"))
+        per = scratch.keep(per, "open")
         left, open_rows = per.agg(F.coalesce(F.sum("_left"), F.lit(0)), F.coalesce(F.sum("_m"), F.lit(0))).first()
         if not left:
             break
-        finish = left <= PAIRS_PER_ROW * open_rows
-        rows = scratch.keep(rows.join(per, "bucket").select("bucket", "key", "rank", "label", "_major"), "rows")
+        finish = last is not None and left <= PAIRS_PER_ROW * open_rows
+        x = rows.join(per.select("bucket", "_major"), "bucket")
         if finish:
-            minor = rows.filter("label <> _major").select("bucket", F.col("key").alias("_k"), F.col("label").alias("_l"))
-            pairs = minor.join(rows, "bucket").filter("_l <> label")
+            y = x.filter("label <> _major")
+            pairs = x.alias("x").join(y.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & plausible("x", "y", share, miss))
         else:
-            eligible = rows if last is None else rows.join(last, "bucket", "left").filter("_last is null or rank < _last")
-            centre = scratch.keep(eligible.groupBy("bucket").agg(F.max("rank").alias("_last")), "centre" if last is None else "centre_next")
-            pairs = rows.join(centre, "bucket").withColumn("_k", F.col("_last.key")).filter("_k <> key")
-            last = centre
-        pairs = pairs.select(F.least("_k", "key").alias("a"), F.greatest("_k", "key").alias("b")).distinct()
+            eligible = x if last is None else x.join(last, "bucket", "left").filter("_last is null or rank < _last")
+            last = scratch.keep(eligible.groupBy("bucket").agg(F.max("rank").alias("_last")), "centre" if last is None else "next centre")
+            y = x.join(last, "bucket").filter("rank = _last").select("bucket", "key", *_BITS)
+            pairs = x.alias("x").join(y.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") != F.col("y.key")) & plausible("x", "y", share, miss))
+        pairs = pairs.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
         pairs = scratch.keep(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = scratch.keep(links.unionByName(_confirm(texts, keyed, pairs, sigs, scratch, share, miss)), "links")
+        links = scratch.keep(links.unionByName(_confirmed(pairs, full, share)), "links")
         if finish:
             break
-        tested = scratch.keep(tested.unionByName(pairs), "tested")
-    scratch.drop("ranked", "open", "rows", "centre", "centre_next", "pairs", "tested")
+        tested = scratch.keep(tested.unionByName(pairs).distinct(), "tested")
+        rows = scratch.keep(ranked.join(_hung(links, nodes, scratch), "key", "left").withColumn("label", F.coalesce("label", "key")), "rows")
+    scratch.drop("open", "rows", "centre", "next centre", "pairs", "tested", "hung")
     return links
 
 
-def _confirm(texts, keyed, pairs, sigs, scratch, share, miss) -> DataFrame:
-    """Pairs that survive the comparison of signatures and hold on the full sets."""
-    left = sigs.select(F.col("key").alias("a"), F.col("sig").alias("_sa"))
-    right = sigs.select(F.col("key").alias("b"), F.col("sig").alias("_sb"))
-    met = pairs.join(left, "a").join(right, "b").filter(_plausible(share, miss)("_sa", "_sb")).select("a", "b")
-    alive = scratch.keep(met, "alive")
-    needed = alive.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    # one row stands for a class; its text is found by id and text hash, and its key is checked again
-    holders = keyed.join(needed, "key").groupBy("key").agg(F.min(F.struct("doc_id", "_h")).alias("_r")).select(
-        F.col("key").alias("_key"), F.col("_r.doc_id").alias("_id"), F.col("_r._h").alias("_rh"))
-    found = texts.join(holders, (F.col("_h") == F.col("_rh")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("_t")
-    full = scratch.keep(found.mapInArrow(sets, "key long, items array<long>").dropDuplicates(["key"]), "sets")
+def _hung(links: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``key`` and ``label``: the node of highest rank that a class is linked with, followed once more.
+
+    Equal labels mean a known connection; connected classes may still have different labels and are then compared again."""
+    rank = nodes.select("key", F.struct("w", "key").alias("rank"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    best = both.join(rank.withColumnRenamed("key", "b").withColumnRenamed("rank", "_rb"), "b").groupBy(F.col("a").alias("key")).agg(F.max("_rb").alias("_best"))
+    up = best.join(rank, "key").select("key", F.when(F.col("_best") > F.col("rank"), F.col("_best.key")).otherwise(F.col("key")).alias("up"))
+    up = scratch.keep(up, "hung")
+    further = up.select(F.col("key").alias("_k"), F.col("up").alias("_u"))
+    return up.join(further, F.col("up") == F.col("_k"), "left").select("key", F.coalesce("_u", "up").alias("label"))
+
+
+def _confirmed(pairs: DataFrame, full: DataFrame, share: int) -> DataFrame:
+    """Pairs that hold on the full sets."""
     a, b = full.select(F.col("key").alias("a"), F.col("items").alias("_ia")), full.select(F.col("key").alias("b"), F.col("items").alias("_ib"))
-    both = alive.join(b, "b").join(a, "a")
+    both = pairs.join(b, "b").join(a, "a")
     common = F.size(F.array_intersect("_ia", "_ib"))
-    united = F.size("_ia") + F.size("_ib") - common
-    links = scratch.keep(both.select("a", "b", common.alias("_c"), united.alias("_u")).filter(100 * F.col("_c") >= share * F.col("_u")).select("a", "b"), "confirmed")
-    scratch.drop("sets", "alive")
-    return links
+    counted = both.select("a", "b", common.alias("_c"), (F.size("_ia") + F.size("_ib")).alias("_n"))
+    return counted.filter(100 * F.col("_c") >= share * (F.col("_n") - F.col("_c"))).select("a", "b").distinct()
 
 
 SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz'),'[^\x20\x09-\x0D]+') AS w FROM documents),
