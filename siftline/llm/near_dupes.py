@@ -7,8 +7,8 @@ hashes, or the whole sequence as one where there are fewer words.  Documents are
    band keys, and one bit of every minimum for the comparison.  Equal sets share the key and are one class from here on.
 2. *Buckets.*  A bucket holds the classes of one band key; only buckets with two classes or more go on.
 3. *Stars instead of pairs.*  Each bucket compares its members with one centre, the member that meets most others.
-   Members known to hang on one centre need no further comparison with each other.  What is left, members of a bucket
-   without a known connection, is counted exactly; while that is much more than the bucket rows the next centre is taken,
+   Members in one component need no further comparison with each other.  What is left, members of a bucket
+   in different components, is counted exactly; while that is much more than the bucket rows the next centre is taken,
    then the rest is compared.  Nothing is capped: every two members of a bucket are compared or already connected.
 4. *Verification.*  The bits are compared 64 at a time, inside the join that brings the members together.  A bit agrees
    with chance (1 + similarity) / 2; with a uniform prior for that chance it is Beta(m+1, n-m+1) after m of n agreed.  A
@@ -40,7 +40,7 @@ SHARE = 75  # per cent
 BANDS, ROWS = 64, 7
 WORDS_OF_BITS = BANDS * ROWS // 64
 MISS = 1e-4
-PAIRS_PER_ROW = 64  # left-over comparisons per bucket row from which another star round is cheaper
+PAIRS_PER_ROW = 16  # left-over comparisons per bucket row from which another star round is cheaper
 _BLOCK = 32
 _BITS = [f"_b{i}" for i in range(WORDS_OF_BITS)]
 _FACTORS = (mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -191,7 +191,7 @@ def deduplicated(docs: DataFrame, **settings) -> DataFrame:
 def _full_sets(texts: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """The full sets of the classes in buckets.  One row stands for a class; its text is found by id and text hash."""
     wanted = nodes.select(F.col("_r.doc_id").alias("_id"), F.col("_r._h").alias("_rh"))
-    found = texts.join(wanted, (F.col("_h") == F.col("_rh")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("_t")
+    found = texts.join(wanted.hint("merge"), (F.col("_h") == F.col("_rh")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("_t")
     return scratch.keep(found.mapInArrow(sets, "key long, items array<long>"), "sets")
 
 
@@ -201,7 +201,7 @@ def _confirmed_links(members: DataFrame, nodes: DataFrame, full: DataFrame, scra
     rows = scratch.keep(ranked.withColumn("label", F.col("key")), "rows")
     last = None
     while True:
-        # a bucket is open while it has members without a known connection
+        # a bucket is open while its members lie in different components
         parts = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("_c"))
         per = (parts.groupBy("bucket").agg(F.sum("_c").alias("_m"), F.sum(F.col("_c") * F.col("_c")).alias("_q"), F.max(F.struct("_c", "label")).alias("_top"))
                .filter("_m * _m > _q").select("bucket", F.col("_top.label").alias("_major"), ((F.col("_m") * F.col("_m") - F.col("_q")) / 2).alias("_left"), "_m"))
@@ -225,24 +225,12 @@ def _confirmed_links(members: DataFrame, nodes: DataFrame, full: DataFrame, scra
         if finish:
             break
         tested = scratch.keep(tested.unionByName(pairs).distinct(), "tested")
-        rows = scratch.keep(ranked.join(_hung(links, nodes, scratch), "key", "left").withColumn("label", F.coalesce("label", "key")), "rows")
-    scratch.drop("open", "rows", "centre", "next centre", "pairs", "tested", "hung")
+        known = components(links, scratch).withColumnRenamed("node", "key")
+        rows = scratch.keep(ranked.join(known, "key", "left").withColumn("label", F.coalesce("label", "key")), "rows")
+    scratch.drop("open", "rows", "centre", "next centre", "pairs", "tested")
     return links
 
 
-def _hung(links: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """``key`` and ``label``: the node of highest rank that a class is linked with, followed once more.
-
-    Equal labels mean a known connection; connected classes may still have different labels and are then compared again."""
-    rank = nodes.select("key", F.struct("w", "key").alias("rank"))
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    best = both.join(rank.withColumnRenamed("key", "b").withColumnRenamed("rank", "_rb"), "b").groupBy(F.col("a").alias("key")).agg(F.max("_rb").alias("_best"))
-    up = best.join(rank, "key").select("key", F.when(F.col("_best") > F.col("rank"), F.col("_best.key")).otherwise(F.col("key")).alias("up"))
-    up = scratch.keep(up, "hung")
-    further = up.select(F.col("key").alias("_k"), F.col("up").alias("_u"))
-    return up.join(further, F.col("up") == F.col("_k"), "left").select("key", F.coalesce("_u", "up").alias("label"))
-
-
 def _confirmed(pairs: DataFrame, full: DataFrame, share: int) -> DataFrame:
     """Pairs that hold on the full sets."""
     a, b = full.select(F.col("key").alias("a"), F.col("items").alias("_ia")), full.select(F.col("key").alias("b"), F.col("items").alias("_ib"))
