@@ -7,8 +7,8 @@ hashes, or the whole sequence as one where there are fewer words.  Documents are
    band keys, and one bit of every minimum for the comparison.  Equal sets share the key and are one class from here on.
 2. *Buckets.*  A bucket holds the classes of one band key; only buckets with two classes or more go on.
 3. *Stars instead of pairs.*  Each bucket compares its members with one centre, the member that meets most others.
-   Members in one component need no further comparison with each other.  What is left, members of a bucket
-   in different components, is counted exactly; while that is much more than the bucket rows the next centre is taken,
+   Members known to be connected need no further comparison with each other.  What is left, members of a bucket
+   without a known connection, is counted exactly; while that is much more than the bucket rows the next centre is taken,
    then the rest is compared.  Nothing is capped: every two members of a bucket are compared or already connected.
 4. *Verification.*  The bits are compared 64 at a time, inside the join that brings the members together.  A bit agrees
    with chance (1 + similarity) / 2; with a uniform prior for that chance it is Beta(m+1, n-m+1) after m of n agreed.  A
@@ -201,7 +201,7 @@ def _confirmed_links(members: DataFrame, nodes: DataFrame, full: DataFrame, scra
     rows = scratch.keep(ranked.withColumn("label", F.col("key")), "rows")
     last = None
     while True:
-        # a bucket is open while its members lie in different components
+        # a bucket is open while it has members without a known connection
         parts = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("_c"))
         per = (parts.groupBy("bucket").agg(F.sum("_c").alias("_m"), F.sum(F.col("_c") * F.col("_c")).alias("_q"), F.max(F.struct("_c", "label")).alias("_top"))
                .filter("_m * _m > _q").select("bucket", F.col("_top.label").alias("_major"), ((F.col("_m") * F.col("_m") - F.col("_q")) / 2).alias("_left"), "_m"))
@@ -217,20 +217,34 @@ def _confirmed_links(members: DataFrame, nodes: DataFrame, full: DataFrame, scra
         else:
             eligible = x if last is None else x.join(last, "bucket", "left").filter("_last is null or rank < _last")
             last = scratch.keep(eligible.groupBy("bucket").agg(F.max("rank").alias("_last")), "centre" if last is None else "next centre")
-            y = x.join(last, "bucket").filter("rank = _last").select("bucket", "key", *_BITS)
-            pairs = x.alias("x").join(y.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") != F.col("y.key")) & plausible("x", "y", share, miss))
+            met = x.select("bucket", "key").join(last, "bucket").select("key", F.col("_last.key").alias("other")).filter("key <> other").distinct()
+            x, y = nodes.select("key", *_BITS).alias("x"), nodes.select("key", *_BITS).alias("y")
+            pairs = met.join(x, met["key"] == F.col("x.key")).join(y, (F.col("other") == F.col("y.key")) & plausible("x", "y", share, miss))
         pairs = pairs.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
         pairs = scratch.keep(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         links = scratch.keep(links.unionByName(_confirmed(pairs, full, share)), "links")
         if finish:
             break
         tested = scratch.keep(tested.unionByName(pairs).distinct(), "tested")
-        known = components(links, scratch).withColumnRenamed("node", "key")
-        rows = scratch.keep(ranked.join(known, "key", "left").withColumn("label", F.coalesce("label", "key")), "rows")
+        rows = scratch.keep(ranked.join(_connected(links), "key", "left").withColumn("label", F.coalesce("label", "key")), "rows")
     scratch.drop("open", "rows", "centre", "next centre", "pairs", "tested")
     return links
 
 
+def _connected(links: DataFrame, hops: int = 3) -> DataFrame:
+    """``key`` and ``label``, the smallest class within some hops and what that class has found.
+
+    Equal labels mean a connection.  Connected classes may still have different labels and are then compared again."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = both.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("key"), F.least("a", "label").alias("label"))
+    for _ in range(hops - 1):
+        near = labels.select(F.col("key").alias("b"), "label")
+        reached = both.join(near, "b").groupBy("a").agg(F.min("label").alias("_m"))
+        labels = labels.join(reached, F.col("key") == F.col("a")).select("key", F.least("label", "_m").alias("label"))
+    ends = labels.select(F.col("key").alias("_k"), F.col("label").alias("_l"))
+    return labels.join(ends, F.col("label") == F.col("_k")).select("key", F.col("_l").alias("label"))
+
+
 def _confirmed(pairs: DataFrame, full: DataFrame, share: int) -> DataFrame:
     """Pairs that hold on the full sets."""
     a, b = full.select(F.col("key").alias("a"), F.col("items").alias("_ia")), full.select(F.col("key").alias("b"), F.col("items").alias("_ib"))
