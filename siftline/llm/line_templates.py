@@ -52,7 +52,8 @@ def dropped_lines(docs: DataFrame, scratch: Scratch, min_documents: int = MIN_DO
     leaves = (lines.select("leaf", "_content").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("_n"))
               .filter(F.col("_n") >= min_documents).select("leaf"))
     # the words are written once for the lines that can recur; from here on shapes are known by two hashes
-    held = lines.join(leaves, "leaf").withColumn("shape", F.struct(F.xxhash64("leaf", "words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b")))
+    texts = lines.select("doc_id", "_content", "place", "leaf", F.array_join("words", " ").alias("_shape"))
+    held = texts.join(leaves, "leaf").withColumn("words", F.split("_shape", " ")).drop("_shape").withColumn("shape", F.struct(F.xxhash64("leaf", "words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b")))
     held = scratch.keep(held, "held")
     holders = held.groupBy("leaf", "shape", "_content").agg(F.min("doc_id").alias("first"))
     shapes = holders.groupBy("leaf", "shape").agg(F.count(F.lit(1)).alias("n"))
