@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siftline.llm.common import Scratch
+from siftline.llm.common import Scratch, text_batches
 from siftline.session import fresh_path
 
 REPEATED = 100  # bytes
@@ -216,6 +216,7 @@ def read_captures(keys: DataFrame, archives: DataFrame, folder: str) -> DataFram
 
 def archived(pages: DataFrame) -> DataFrame:
     """Writes all pages and reads all of them back through the index."""
+    text_batches(pages.sparkSession)
     folder = fresh_path(pages.sparkSession, "warc")
     archives = write_archives(pages, folder)
     keys = pages.select(F.col("page_id").cast("long").alias("page_id"), "url").select(capture_key().alias("key"))

@@ -30,6 +30,12 @@ def split_remainder(divisor: int, doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bounds the rows of a batch between Spark and Python: whole texts are long, and a batch is held on both sides."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 class Scratch:
     """Tables in the shared folder that are deleted as soon as no later step reads them.
 
@@ -89,7 +95,7 @@ def _piece_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mixed(sums), at[heads]
 
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from siftline.llm.common import WORD, Scratch, whole
+from siftline.llm.common import WORD, Scratch, text_batches, whole
 from siftline.operators.pin import pinned
 
 DEPTH = 3
@@ -94,6 +94,7 @@ def _without(texts: pd.Series, drops: pd.Series) -> pd.Series:
 
 def _joined(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` as ``_doc``, their text and what is left of it (``_left``; null if nothing was dropped)."""
+    text_batches(docs.sparkSession)
     lost = dropped_lines(docs, Scratch(docs.sparkSession), **settings)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").alias("_id"), F.xxhash64(whole()).alias("_h"))
     rows = rows.join(lost, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_h") == F.col("_content")), "left")

@@ -92,7 +92,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int
 
     def once(chosen: np.ndarray) -> tuple[np.ndarray, float]:
         ratios = log_count_ratios([rows[i][0] for i in chosen], labels[chosen], size)
-        scaled = [(rows[i][0], rows[i][1] * ratios[rows[i][0]]) for i in chosen]
+        scaled = [(rows[i][0], (rows[i][1] * ratios[rows[i][0]]).astype(np.float32)) for i in chosen]
         weights, bias = dual_descent(scaled, labels[chosen], size, cost, passes)
         weights = share * weights + (1 - share) * (np.abs(weights[weights != 0]).mean() if weights.any() else 0.0)
         return weights * ratios, bias

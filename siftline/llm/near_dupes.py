@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siftline.llm.common import Scratch, mixed, whole, word_hashes
+from siftline.llm.common import Scratch, mixed, text_batches, whole, word_hashes
 from siftline.llm.components import components
 
 SHINGLE = 5
@@ -90,7 +90,7 @@ def set_key(items: np.ndarray) -> int:
     return int(mixed(total).view(np.int64)[0])
 
 
-_ROWS_OUT = 512
+_ROWS_OUT = 128
 
 
 def _texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
@@ -157,6 +157,7 @@ def plausible(left: str, right: str, share: int, miss: float) -> Column:
 def near_duplicates(docs: DataFrame, share: int = SHARE, miss: float = MISS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
+    text_batches(spark)
     scratch = Scratch(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("_t")).withColumn("_h", F.xxhash64("_t"))
     sketch = scratch.keep(texts.mapInArrow(sketched, "doc_id long, _h long, n long, key long, bands array<long>, " + ", ".join(f"{b} long" for b in _BITS)), "sketch")

@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from siftline.llm import margin
-from siftline.llm.common import PIECE, SPACES, _pieces, mixed, split_remainder, whole
+from siftline.llm.common import PIECE, SPACES, _pieces, mixed, split_remainder, text_batches, whole
 
 SIZE = 1 << 18
-SAMPLE = 6_000
+SAMPLE = 4_000
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -112,7 +112,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fitted(table: pa.Table) -> pa.Table:
     """The model of the sample, made in one task; the sample is bounded."""
     table = table.sort_by("_o")
-    rows = [(np.frombuffer(i, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(np.float64))
+    rows = [(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32))
             for i, v in zip(table.column("i").to_pylist(), table.column("v").to_pylist(), strict=True)]
     return pa.table({"model": pa.array([pickle.dumps(margin.fit(rows, np.array(table.column("_y").to_pylist(), dtype=np.float64), SIZE))], pa.binary())})
 
@@ -125,6 +125,7 @@ def labelled_sample(labels: DataFrame, label: str, folds: int, held_out: int, si
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> margin.Model:
+    text_batches(docs.sparkSession)
     chosen = labelled_sample(labels, "quality", FOLDS, HELD_OUT, sample)
     # at most ``sample`` rows of three numbers are broadcast; of repeated ids the first text in order counts
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), whole().alias("_t")).join(F.broadcast(chosen), "_id")

@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from siftline.llm.common import Scratch, whole
+from siftline.llm.common import Scratch, text_batches, whole
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 15
@@ -450,6 +450,7 @@ def encoded(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFram
     lexicon = Lexicon.load(model)
     if chunk < 2 * lexicon.longest:
         raise ValueError("a chunk must be longer than any piece")
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model, lexicon))  # the vocabulary file: a fixed size
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("_t"))
     is_long = F.length("_t") >= 2 * chunk

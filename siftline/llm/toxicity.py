@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from siftline.llm import margin
-from siftline.llm.common import PIECE, Scratch, mixed, split_remainder, whole
+from siftline.llm.common import PIECE, Scratch, mixed, split_remainder, text_batches, whole
 from siftline.llm.quality import _STEP, labelled_sample
 
 SAMPLE = 8_000
@@ -285,6 +285,7 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = S
 
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted."""
+    text_batches(docs.sparkSession)
     model = language_model(docs)
     kept, linear = train(docs, labels, model)
     shared = docs.sparkSession.sparkContext.broadcast((model, kept, linear))
