@@ -8,7 +8,7 @@ from siftline.catalog.common import book, query
 from siftline.catalog.joins import placed
 from siftline.catalog.rules import _ranked, work
 from siftline.functions.emails import bucket
-from siftline.operators import budgets, companies, delivery, placement, recovery, reports, retention, timelines
+from siftline.operators import circuits, companies, delivery, placement, recovery, reports, retention, timelines
 
 _B = book()
 _NAMES = ["raw_scanned", "stored", "duplicates", "validated", "failures"]
@@ -404,7 +404,7 @@ _IDLE = "event_type='view'"
     SELECT user_id, epoch_us(a) AS draining_us, epoch_us(b) AS finalizing_us, epoch_us(c) AS completed_us, CASE WHEN c IS NOT NULL THEN 'COMPLETE' WHEN b IS NOT NULL THEN 'FINALIZING' WHEN a IS NOT NULL THEN 'DRAINING' ELSE 'RUNNING' END AS phase,
     epoch_us(a) + 86400000000 AS deadline_us FROM d LEFT JOIN f USING (user_id) LEFT JOIN c USING (user_id)""")
 def _(t):
-    out = budgets.campaign_phases(t.log, "user_id", "ts", F.col("value") >= 120, F.col("event_type") == "view", 24)
+    out = circuits.campaign_phases(t.log, "user_id", "ts", F.col("value") >= 120, F.col("event_type") == "view", 24)
     us = lambda n: F.unix_micros(n)
     return out.select("user_id", us("draining_at").alias("draining_us"), us("finalizing_at").alias("finalizing_us"), us("completed_at").alias("completed_us"), "phase", us("semantic_deadline").alias("deadline_us"))
 
@@ -413,7 +413,7 @@ def _(t):
     r AS (SELECT *, CASE WHEN bad THEN i - coalesce(max(CASE WHEN NOT bad THEN i END) OVER (PARTITION BY user_id ORDER BY i), 0) ELSE 0 END AS f FROM n), o AS (SELECT *, bad AND (mm OR f >= 3) AS opens FROM r)
     SELECT event_id, f AS consecutive_failures, opens, epoch_us(last_value(CASE WHEN opens THEN ts END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) + 600000000 AS open_until_us FROM o""")
 def _(t):
-    out = budgets.circuit_states(t.log, "user_id", ["ts"], "ts", ~F.col("event_type").isin("error", "signup"), (F.col("event_type") == "signup") & (F.col("value") > 80), 3, 600)
+    out = circuits.circuit_states(t.log, "user_id", ["ts"], "ts", ~F.col("event_type").isin("error", "signup"), (F.col("event_type") == "signup") & (F.col("value") > 80), 3, 600)
     return out.select("event_id", "consecutive_failures", "opens", F.unix_micros("open_until").alias("open_until_us"))
 
 
@@ -422,6 +422,6 @@ def _(t):
     SELECT user_id, strftime(ts,'%Y-%m-%d') AS day, count(*) AS calls, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS items, count(*) FILTER (bad) AS failures, count(*) FILTER (mm) AS mismatches, count(*) FILTER (bad AND (mm OR f >= 3)) AS circuit_opens FROM r GROUP BY 1,2""")
 def _(t):
     ok, mismatch = ~F.col("event_type").isin("error", "signup"), (F.col("event_type") == "signup") & (F.col("value") > 80)
-    out = budgets.worker_day(budgets.circuit_states(t.log, "user_id", ["ts"], "ts", ok, mismatch, 3, 600), "user_id", "ts", ok, mismatch, F.floor("value"))
+    out = circuits.worker_day(circuits.circuit_states(t.log, "user_id", ["ts"], "ts", ok, mismatch, 3, 600), "user_id", "ts", ok, mismatch, F.floor("value"))
     return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 

@@ -18,7 +18,7 @@ _B = book()
 
 # ---- sources ------------------------------------------------------------------------------------
 
-@query("src1_record_contract", "SELECT source, source_record_id, identity, md5(left(text,16000)) AS text, '' AS bio, false AS name_reliable, 0 AS n_urls FROM records", ctes="records")
+@query("src1_record_contract", "SELECT source, source_record_id, identity, md5(text) AS text, '' AS bio, false AS name_reliable, 0 AS n_urls FROM records", ctes="records")
 def _(t):
     path = fresh_path(t.spark, "records")
     records.to_records(t.records.drop("pos", "lang")).write.parquet(path)

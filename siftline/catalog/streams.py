@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from siftline.catalog.common import AS_OF, book, hit, query
 from siftline.catalog.joins import placed
 from siftline.catalog.storage import SAMPLE_SQL, captured
-from siftline.operators import budgets, delivery
+from siftline.operators import circuits, delivery
 from siftline.session import fresh_path
 from siftline.streaming import ingest, state
 
@@ -51,6 +51,8 @@ def _(t):
     stored, keys = fresh_path(t.spark, "stored"), fresh_path(t.spark, "keys")
     stream = ingest.file_stream(t.spark, path, rows.schema, files_per_batch=1)
     _ran(t, ingest.ingest(stream, stored, keys), "admission")
+    # a new checkpoint starts its batch ids again and reads everything again: nothing is stored twice, nothing lost
+    _ran(t, ingest.ingest(stream, stored, keys, run="second"), "admission-again")
     return t.spark.read.parquet(stored).select("content_key")
 
 
@@ -82,7 +84,7 @@ def _(t):
     stream = ingest.file_stream(t.spark, path, t.log.schema, files_per_batch=1)
     rows = stream.select("ts", F.concat(F.lit("src"), F.col("user_id") % 4).alias("source"), F.col("event_type").alias("name"), F.floor("value").alias("amount"))
     out = fresh_path(t.spark, "counters")
-    _ran(t, ingest.write_updates(ingest.daily_counts(rows, late="40 days"), out), "counters")
+    _ran(t, ingest.write_updates(ingest.daily_counts(rows), out), "counters")
     latest = ingest.latest_updates(t.spark, out, "day date, source string, name string, value bigint", ["day", "source", "name"])
     return latest.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
@@ -112,65 +114,12 @@ def _(t):
     return t.spark.read.schema(rows.schema).parquet(f"{out}/0").drop("pos")
 
 
-# Requests of five providers with the time of the events run 40 times faster, so that minute limits matter.
-_CAPS = budgets.Caps(minute_requests=2, minute_tokens=220, day_requests=700, day_tokens=55_000)
-_REQ = """l AS MATERIALIZED (SELECT event_type AS p, event_id AS seq, t, tok, row_number() OVER (PARTITION BY event_type ORDER BY t, event_id) AS i FROM
-    (SELECT event_type, event_id, (43200000000 + (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00'))//40)/1e6 AS t, CAST(floor(value) AS BIGINT) AS tok FROM events))"""
-_BUDGET = f"""WITH RECURSIVE {_REQ}, s AS (SELECT p, 0::BIGINT AS i, 0::BIGINT AS seq, -1::BIGINT AS d, 0::BIGINT AS req, 0::BIGINT AS tot, []::STRUCT(t DOUBLE, k BIGINT)[] AS recent, ''::VARCHAR AS code FROM (SELECT DISTINCT p FROM l)
-    UNION ALL SELECT p, i, seq, d, CASE WHEN code='ok' THEN req+1 ELSE req END, CASE WHEN code='ok' THEN tot+tok ELSE tot END, CASE WHEN code='ok' THEN list_append(recent, {{'t': t, 'k': tok}}) ELSE recent END, code FROM
-      (SELECT *, CASE WHEN tok > 220 THEN 'prompt_exceeds_minute_budget' WHEN req >= 700 THEN 'unit_cap' WHEN tot + tok > 55000 THEN 'token_cap'
-        WHEN len(recent) >= 2 OR coalesce(list_sum(list_transform(recent, lambda x: x.k)),0) + tok > 220 THEN 'minute_cap' ELSE 'ok' END AS code FROM
-        (SELECT l.p, l.i, l.seq, l.t, l.tok, CAST(floor(l.t/86400) AS BIGINT) AS d, CASE WHEN s.d=CAST(floor(l.t/86400) AS BIGINT) THEN s.req ELSE 0 END AS req, CASE WHEN s.d=CAST(floor(l.t/86400) AS BIGINT) THEN s.tot ELSE 0 END AS tot,
-          list_filter(s.recent, lambda x: x.t > l.t - 60) AS recent FROM s JOIN l ON l.p=s.p AND l.i=s.i+1)))
-    SELECT seq, code FROM s WHERE i > 0"""
-
-
-def requests(df):
-    faster = F.timestamp_micros(F.lit(43_200_000_000) + F.floor((F.unix_micros("ts") - F.lit(1_704_067_200_000_000)) / 40))
-    return df.select(F.col("event_type").alias("provider"), F.col("event_id").alias("seq"), faster.alias("ts"), F.floor("value").alias("tokens"))
-
-
-@query("str8_budget_admission", _BUDGET)
-def _(t):
-    return budgets.budget_decisions(requests(t.log), _CAPS).select("seq", "code")
-
-
-@query("str8_budget_stream", _BUDGET)
-def _(t):
-    return _to_table(t, state.budget_stream(requests(_events(t)), _CAPS), "budget").select("seq", "code")
-
-
-def _answers(df):
-    """Requests, and an answer of the provider to every error event: 429 with a delay and an empty token window."""
-    rows = requests(df.filter("event_type <> 'error'")).withColumn("provider", F.concat(F.lit("org"), F.col("seq") % 3)).withColumns({"kind": F.lit("request"), "status": F.lit(200)})
-    told = {"retry_after": F.lit(20.0), "remaining_tokens": F.lit(0.0), "reset_tokens": F.lit(90.5), "limit_tokens": F.lit(400.0)}
-    none = {name: F.lit(None).cast("double") for name in budgets.TOLD}
-    heard = requests(df.filter("event_type = 'error'")).withColumn("provider", F.concat(F.lit("org"), F.col("seq") % 3)).withColumns({"kind": F.lit("response"), "status": F.lit(429)})
-    return rows.withColumns(none).unionByName(heard.withColumns({**none, **told}))
-
-
-@query("str9_observed_limits")
-def _(t):
-    return budgets.budget_decisions(_answers(t.log), _CAPS).select("seq", "code", F.round("retry_at", 3).alias("retry_at"))
-
-
-@query("str9_same_in_small_chunks", "SELECT count(*) AS rows, 0 AS differences FROM events")
-def _(t):
-    """The same log folded in chunks of a day and of three hours must agree on every row."""
-    log = _answers(t.log)
-    a = budgets.budget_decisions(log, _CAPS)
-    b = budgets.budget_decisions(log, _CAPS, chunk_seconds=10_800).select("seq", F.col("code").alias("code_b"), F.col("retry_at").alias("retry_b"))
-    both = a.join(b, "seq", "full_outer")
-    same = (F.col("code") == F.col("code_b")) & F.col("retry_at").eqNullSafe(F.col("retry_b"))
-    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.coalesce(same, F.lit(False))).cast("int").alias("differences"))
-
-
 @query("str9_reset_headers", "SELECT event_id, CAST(user_id*60 + 0.5 AS DOUBLE) AS reset_requests, CAST(user_id AS DOUBLE) AS remaining_tokens, CAST(CASE WHEN event_type='error' THEN 120.0 END AS DOUBLE) AS retry_after FROM events")
 def _(t):
     u = F.col("user_id").cast("string")
     headers = F.create_map(F.lit("X-RateLimit-Reset-Requests"), F.concat(u, F.lit("m0.5s")), F.lit("x-ratelimit-remaining-tokens"), u,
                            F.lit("Retry-After"), F.when(F.col("event_type") == "error", "120").otherwise("soon"))
-    rows = budgets.with_observed_headers(t.events.select("event_id", headers.alias("headers")))
+    rows = circuits.with_observed_headers(t.events.select("event_id", headers.alias("headers")))
     return rows.select("event_id", "reset_requests", "remaining_tokens", "retry_after")
 
 

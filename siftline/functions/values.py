@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-import hmac
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 from siftline.functions.emails import bucket
 from siftline.functions.profile import greeting_name, salutation
@@ -81,12 +79,10 @@ def backoff(at: Column, attempts: Column, unit: str) -> Column:
 def signed_token(lead_id: Column, secret: str, prefix: str = "") -> Column:
     """TXT-33: first 32 hex characters of HMAC-SHA256 over prefix + id; the key is the caller's."""
     key = secret.encode()
-
-    @F.pandas_udf(T.StringType())
-    def sign(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda v: hmac.new(key, (prefix + v).encode(), hashlib.sha256).hexdigest()[:32], na_action="ignore")
-
-    return sign(lead_id)
+    key = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(k ^ pad for k in key)) for pad in (0x36, 0x5C))
+    message = F.concat(F.lit(prefix), lead_id).cast("binary")
+    return F.left(F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message), 256))), 256), F.lit(32))
 
 
 def token_valid(lead_id: Column, token: Column, secret: str, prefix: str = "") -> Column:

@@ -74,7 +74,7 @@ def contact_roles(leads: DataFrame, pages: DataFrame, lookups: dict, limit: int
     """
     seen = pages.withColumn("_host", host_of(F.col("url"))).select(
         F.col("url").alias("source_url"), page_mailboxes(F.col("html"), F.col("_host"), lookups, limit).alias("_page"))
-    seen = seen.groupBy("source_url").agg(F.first("_page").alias("_page"))
+    seen = seen.groupBy("source_url").agg(F.min("_page").alias("_page"))
     staged = leads.join(seen, "source_url", "left")
     others = F.filter(F.coalesce("_page", F.array().cast("array<string>")), lambda m: m != F.col("email"))
     staged = staged.withColumn("mailboxes", F.concat(F.array("email"), others))

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from siftline.operators.decisions import PRIORITY, sample_priority
 
 LEVELS = max(PRIORITY.values())
-TEXT_LIMIT = 8000
 
 
 def bounded_sample(captures: DataFrame, cap: int, order: str = "pos", source: str = "source", level: str = "priority",
@@ -36,9 +35,9 @@ def bounded_sample(captures: DataFrame, cap: int, order: str = "pos", source: st
     return rows.join(kept, [source, order], "left_semi")
 
 
-def capture_rows(records: DataFrame, outcome: Column) -> DataFrame:
-    return records.withColumn("outcome", outcome).withColumn("priority", sample_priority(F.col("outcome"))).withColumn(
-        "text", F.left("text", F.lit(TEXT_LIMIT)))
+def capture_rows(records: DataFrame, outcome: Column, text_limit: int | None = None) -> DataFrame:
+    rows = records.withColumn("outcome", outcome).withColumn("priority", sample_priority(F.col("outcome")))
+    return rows.withColumn("text", F.left("text", F.lit(text_limit))) if text_limit else rows
 
 
 def update_samples(samples: DataFrame, changes: DataFrame) -> DataFrame:

@@ -82,7 +82,7 @@ def with_bios(records: DataFrame, bios: DataFrame, limit: int | None = 1000) ->
     """JN-9: author bio by identity, distinct ids, '' when missing; bounded as the profile field is, or whole."""
     from siftline.operators.keys import lookup
 
-    known = bios.groupBy("identity").agg(F.first("bio", ignorenulls=True).alias("_bio"))
+    known = bios.groupBy("identity").agg(F.min("bio").alias("_bio"))
     joined = lookup(records, known, "identity")
     bio = text_or_empty(F.col("_bio"))
     return joined.withColumn("bio", F.left(bio, F.lit(limit)) if limit else bio).drop("_bio")

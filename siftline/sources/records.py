@@ -12,8 +12,8 @@ from siftline.schemas import RECORD
 TEXT_LIMIT = 16_000
 
 
-def read_records(spark: SparkSession, path: str, fmt: str = "parquet", text_limit: int | None = TEXT_LIMIT) -> DataFrame:
-    """SRC-1 from files with the record schema, with the contract's bound on the text."""
+def read_records(spark: SparkSession, path: str, fmt: str = "parquet", text_limit: int | None = None) -> DataFrame:
+    """SRC-1 from files with the record schema; texts stay whole unless a bound (collectors use ``TEXT_LIMIT``) is asked for."""
     return to_records(spark.read.schema(RECORD).format(fmt).load(path), text_limit)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,10 +43,10 @@ def within_age(stream: DataFrame, ts: str, as_of: Column, max_days: int) -> Data
     return stream.withWatermark(ts, f"{max_days} days").filter(age.between(-1, max_days))
 
 
-def daily_counts(stream: DataFrame, ts: str = "ts", late: str = "1 day") -> DataFrame:
-    """STR-5: running daily counters (update mode)."""
+def daily_counts(stream: DataFrame, ts: str = "ts", late: str | None = None) -> DataFrame:
+    """STR-5: running daily counters (update mode).  Without ``late`` every amount counts, however late, and state is kept."""
     day = F.window(ts, "1 day")
-    rows = stream.withWatermark(ts, late).groupBy(day.alias("w"), "source", "name").agg(F.sum("amount").alias("value"))
+    rows = (stream.withWatermark(ts, late) if late else stream).groupBy(day.alias("w"), "source", "name").agg(F.sum("amount").alias("value"))
     return rows.select(F.to_date("w.start").alias("day"), "source", "name", "value")
 
 
@@ -71,27 +73,31 @@ def scored_stream(records: DataFrame, book, as_of: Column) -> DataFrame:
     return scored.withColumn("ranking", rank_route(F.col("rules"), F.lit(False), book.policy))
 
 
-def ingest(stream: DataFrame, records_path: str, keys_path: str, order: str = "pos"):
+def ingest(stream: DataFrame, records_path: str, keys_path: str, order: str = "pos", run: str = "first", as_of: Column | None = None):
     """STR-1: writer that admits every micro-batch against the key table and stores rows and keys.
 
-    Rows, then keys, go to a folder of the batch id.  A batch that is run again after a failure overwrites
-    its own folders and never reads its own keys, so it stores the same rows once.
+    Rows, then keys, go to a folder of the run and the batch id.  A batch that is run again after a failure overwrites
+    its own folders and never reads its own keys, so it stores the same rows once.  Batch ids start again with a new
+    checkpoint: such a run needs a ``run`` of its own, and reads the keys of all others.  ``as_of`` dates the keys;
+    without it they carry the start of the writer.
     """
+    stamp = as_of if as_of is not None else F.lit(datetime.now(timezone.utc))
+
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         keyed = with_record_keys(batch)
         earlier = None
-        if batch_id > 0:
-            try:
-                earlier = spark.read.schema("key string, created_at timestamp, batch_id bigint").parquet(keys_path)
-                earlier = earlier.filter(F.col("batch_id") < batch_id)
-            except Exception as exc:  # no batch has stored a key yet
-                if "PATH_NOT_FOUND" not in str(exc):
-                    raise
+        try:
+            earlier = spark.read.schema("key string, created_at timestamp, run string, batch_id bigint").parquet(keys_path)
+            earlier = earlier.filter((F.col("run") != run) | (F.col("batch_id") < batch_id)).drop("run")
+        except Exception as exc:  # no batch has stored a key yet
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+        folder = f"run={run}/batch_id={batch_id}"
         verdicts = admit(keyed, earlier, order)
         rows = stored(keyed, verdicts, order)
-        rows.write.mode("overwrite").parquet(f"{records_path}/batch_id={batch_id}")
-        kept = spark.read.schema(rows.schema).parquet(f"{records_path}/batch_id={batch_id}")
-        new_keys(kept, F.current_timestamp()).write.mode("overwrite").parquet(f"{keys_path}/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{records_path}/{folder}")
+        kept = spark.read.schema(rows.schema).parquet(f"{records_path}/{folder}")
+        new_keys(kept, stamp).write.mode("overwrite").parquet(f"{keys_path}/{folder}")
 
     return stream.writeStream.foreachBatch(each)

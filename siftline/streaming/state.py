@@ -1,4 +1,4 @@
-"""STR-6..STR-10: keyed state on streams."""
+"""STR-6, STR-7, STR-10: keyed state on streams."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from siftline.operators.budgets import OUTCOME, TOLD, Budget, Caps, normal_log, step_rows
 from siftline.operators.samples import bounded_sample
 from siftline.operators.validation import FRESH_DAYS, TEMPORARY
 
@@ -20,14 +19,11 @@ def cached_results(results: DataFrame) -> DataFrame:
     """STR-6: per address hash, reuse a result younger than three days; temporary results are not kept.
 
     Input ``(email_hash, seq, ts, status, reason)``: what a check would give at that time.  State is one small
-    row per address and is dropped three days after the last check by event time.
+    row per address.  There is no watermark, so a row is answered however late it comes; a late row meets the newest result.
     """
     span = FRESH_DAYS * 86_400.0
 
     def each(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         held = state.get if state.exists else None
         rows = pd.concat(list(parts)).sort_values(["t", "seq"])
         out = []
@@ -42,34 +38,10 @@ def cached_results(results: DataFrame) -> DataFrame:
                 state.remove()
         else:
             state.update(held)
-            limit = int((held[2] + span) * 1000)
-            state.setTimeoutTimestamp(max(limit, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["email_hash", "seq", "status", "reason", "reused"])
 
-    rows = results.withWatermark("ts", "1 hour").withColumn("t", F.unix_micros("ts") / 1e6)
-    return rows.groupBy("email_hash").applyInPandasWithState(each, CACHE_OUT, CACHE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def budget_stream(log: DataFrame, caps: Caps, key: str = "provider", ts: str = "ts", seq: str = "seq") -> DataFrame:
-    """STR-8/STR-9 on a stream: the state of a provider is one JSON text.
-
-    Rows of a provider inside a micro-batch are ordered; micro-batches must arrive in time order, and
-    their size is what bounds the rows a provider's task sees.
-    """
-    rows = normal_log(log).select(key, seq, (F.unix_micros(ts) / 1e6).alias("t"), "kind", "tokens", "status", *TOLD)
-    key_type = rows.schema[key].dataType.simpleString()
-    seq_type = rows.schema[seq].dataType.simpleString()
-
-    def each(name, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(parts)).sort_values(["t", seq])
-        budget = Budget(state.get[0] if state.exists else None)
-        codes, retries = step_rows(pdf.itertuples(index=False), budget, caps)
-        state.update((budget.dump(float(pdf["t"].iloc[-1])),))
-        yield pd.DataFrame({key: pdf[key].to_numpy(), seq: pdf[seq].to_numpy(), "code": codes,
-                            "retry_at": pd.array(retries, dtype="Float64")})
-
-    return rows.groupBy(key).applyInPandasWithState(each, f"{key} {key_type}, {seq} {seq_type}, {OUTCOME}", "state string",
-                                                    "append", GroupStateTimeout.NoTimeout)
+    rows = results.withColumn("t", F.unix_micros("ts") / 1e6)
+    return rows.groupBy("email_hash").applyInPandasWithState(each, CACHE_OUT, CACHE_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def sample_stream(captures: DataFrame, path: str, cap: int, order: str = "pos"):

@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 FOLDER = "/root/testdata/sf0.001"
 SOME = ["funnel_routes_by_source", "txt4_namespaced_keys", "txt18_page_excerpt", "txt30_delivered_keys", "flt12_row_reasons", "rul3_signals_with_bio", "rul17_decision", "jn2_admission_verdicts",
         "jn14_coverage", "jn20_contact_roles", "h1_greedy_claims", "h2_final_claims", "h3_bounded_sample", "agg10_receipts", "agg18_company_records", "win3_global_positions", "win9_consecutive_switch",
-        "src9_envelope_items", "snk5_backup_manifest", "ml2_stratified_split", "str1_incremental_admission", "str6_cached_results", "str8_budget_stream"]
+        "src9_envelope_items", "snk5_backup_manifest", "ml2_stratified_split", "str1_incremental_admission", "str6_cached_results"]
 NAMES = list(entry.queries()) if os.environ.get("SIFTLINE_ALL") else SOME
 
 

@@ -4,8 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from siftline.operators import budgets, samples, timelines
-from siftline.operators.budgets import Budget, Caps
+from siftline.operators import samples, timelines
 
 START = datetime(2024, 1, 1, 12)
 
@@ -35,58 +34,6 @@ def test_bounded_sample_equals_the_fold(spark, seed):
     assert sorted(r.pos for r in samples.bounded_sample(df.filter("pos >= 40"), 7, held=held).collect()) == sample_fold(rows, 7)
 
 
-def ask(caps, steps):
-    budget = Budget()
-    out = []
-    for at, tokens in steps:
-        out.append(budget.ask(at, tokens, caps))
-        budget = Budget(budget.dump(at))  # the state travels as text between requests
-    return out
-
-
-def test_minute_cap():
-    t = 1_704_110_400.0
-    out = ask(Caps(2, 10**6, 10**6, 10**9), [(t, 1), (t, 1), (t, 1), (t + 60, 1)])
-    assert [c for c, _ in out] == ["ok", "ok", "minute_cap", "ok"] and out[2][1] == t + 60
-
-
-def test_token_caps():
-    t = 1_704_110_400.0
-    out = ask(Caps(100, 100, 100, 150), [(t, 90), (t, 20), (t + 61, 70), (t + 62, 101)])
-    assert [c for c, _ in out] == ["ok", "minute_cap", "token_cap", "prompt_exceeds_minute_budget"]
-
-
-def test_response_sets_a_cooldown():
-    t, budget = 1_704_110_400.0, Budget()
-    retry = budget.hear(t, 429, {"retry_after": 120.0, "remaining_tokens": 0, "reset_tokens": 179.56})
-    caps = Caps(10, 1000, 1000, 10**6)
-    assert retry == pytest.approx(t + 179.56)
-    assert budget.ask(t + 100, 1, caps)[0] == "cooldown" and budget.ask(t + 179.56, 1, caps)[0] == "ok"
-
-
-@pytest.mark.parametrize("chunk", [86_400, 3600])
-def test_chunked_fold_equals_one_pass(spark, chunk):
-    rng = random.Random(7)
-    caps, rows, t = Caps(3, 120, 60, 2500), [], START
-    for i in range(500):
-        t += timedelta(seconds=rng.randrange(0, 400))
-        kind = "response" if rng.random() < 0.08 else "request"
-        rows.append((rng.choice(["p", "p", "q"]), i, t, kind, rng.randrange(1, 70), 429 if kind == "response" and rng.random() < 0.5 else 200,
-                     float(rng.randrange(0, 9000)) if kind == "response" else None, float(rng.randrange(3)) if kind == "response" else None))
-    df = spark.createDataFrame(rows, "provider string, seq long, ts timestamp, kind string, tokens long, status int, retry_after double, remaining_tokens double")
-    out = {r.seq: (r.code, r.retry_at) for r in budgets.budget_decisions(df, caps, chunk_seconds=chunk).collect()}
-    want, state = {}, {}
-    from datetime import timezone
-    for p, i, at, kind, tokens, status, after, left in rows:
-        b, now = state.setdefault(p, Budget()), at.replace(tzinfo=timezone.utc).timestamp()
-        if kind == "response":
-            retry = b.hear(now, status, {k: v for k, v in (("retry_after", after), ("remaining_tokens", left)) if v is not None})
-            want[i] = ("cooldown" if retry is not None else "observed", retry)
-        else:
-            want[i] = b.ask(now, tokens, caps)
-    assert out == want
-
-
 def series(spark, marks, step=600):
     rows = [("k", i, START + timedelta(seconds=i * step), m) for i, m in enumerate(marks)]
     return spark.createDataFrame(rows, "k string, i long, ts timestamp, m string")
