@@ -8,8 +8,9 @@ hashes, or the whole sequence as one where there are fewer words.  Documents are
 2. *Buckets.*  A bucket holds the classes of one band key; only buckets with two classes or more go on.
 3. *Stars instead of pairs.*  Each bucket compares its members with one centre, the member that meets most others.
    Members known to be connected need no further comparison with each other.  What is left, members of a bucket
-   without a known connection, is counted exactly; while that is much more than the bucket rows the next centre is taken,
-   then the rest is compared.  Nothing is capped: every two members of a bucket are compared or already connected.
+   without a known connection, is counted exactly.  While that is much more than the bucket rows and a round at least
+   halves it, the next centre is taken, one outside the largest connected part; then the rest is compared.  Nothing is
+   capped: every two members of a bucket are compared or already connected.
 4. *Verification.*  The bits are compared 64 at a time, inside the join that brings the members together.  A bit agrees
    with chance (1 + similarity) / 2; with a uniform prior for that chance it is Beta(m+1, n-m+1) after m of n agreed.  A
    pair is dropped as soon as the chance of a similarity of 0.75 or more falls below ``MISS``, so pairs without a future
@@ -162,22 +163,21 @@ def near_duplicates(docs: DataFrame, share: int = SHARE, miss: float = MISS) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("_t")).withColumn("_h", F.xxhash64("_t"))
     sketch = scratch.keep(texts.mapInArrow(sketched, "doc_id long, _h long, n long, key long, bands array<long>, " + ", ".join(f"{b} long" for b in _BITS)), "sketch")
     keyed = sketch.filter("key is not null")
-
-    placed = keyed.select("key", F.explode("bands").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.min("key").alias("_a"), F.max("key").alias("_b")).filter("_a <> _b").select("bucket")
-    members = scratch.keep(placed.join(shared, "bucket").distinct(), "members")
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_m"))
-    weight = members.join(sizes, "bucket").groupBy("key").agg(F.sum("_m").alias("w"))
-    holders = keyed.groupBy("key").agg(*[F.first(b).alias(b) for b in _BITS], F.min(F.struct("doc_id", "_h")).alias("_r"))
-    nodes = scratch.keep(holders.join(weight, "key"), "nodes")
-    links = _confirmed_links(members, nodes, _full_sets(texts, nodes, scratch), scratch, share, miss)
+    same = [F.first(c).alias(c) for c in ("bands", *_BITS)]  # equal in all documents of a class
+    classes = scratch.keep(keyed.groupBy("key").agg(*same, F.min(F.struct("doc_id", "_h")).alias("_r"), F.min("doc_id").alias("first")), "classes")
+
+    placed = classes.select("key", F.explode("bands").alias("bucket"))
+    shared = placed.groupBy("bucket").agg(F.min("key").alias("_a"), F.max("key").alias("_b"), F.count(F.lit(1)).alias("_m"))
+    members = scratch.keep(placed.join(shared.filter("_a <> _b").select("bucket", "_m"), "bucket"), "members")
+    weight = members.groupBy("key").agg(F.sum("_m").alias("w"))
+    nodes = scratch.keep(classes.select("key", "_r", *_BITS).join(weight, "key"), "nodes")
+    links = _confirmed_links(members.select("bucket", "key"), nodes, _full_sets(texts, nodes, scratch), scratch, share, miss)
     labels = scratch.keep(components(links, scratch), "labels")
 
-    classes = keyed.groupBy("key").agg(F.min("doc_id").alias("first"))
-    rooted = classes.join(labels, F.col("key") == F.col("node"), "left").select("key", "first", F.coalesce("label", "key").alias("root"))
+    rooted = classes.select("key", "first").join(labels, F.col("key") == F.col("node"), "left").select("key", "first", F.coalesce("label", "key").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     resolved = scratch.keep(rooted.join(smallest, "root").select(F.col("key").alias("_key"), "component_id"), "resolved")
-    scratch.drop("members", "nodes", "sets", "links", "labels", "edges")
+    scratch.drop("classes", "members", "nodes", "sets", "links", "labels", "edges")
     out = sketch.select("doc_id", F.col("n").alias("n_shingles"), "key").join(resolved, F.col("key") == F.col("_key"), "left")
     out = out.withColumn("component_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -197,10 +197,11 @@ def _full_sets(texts: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFram
 
 
 def _confirmed_links(members: DataFrame, nodes: DataFrame, full: DataFrame, scratch: Scratch, share: int, miss: float) -> DataFrame:
-    ranked = members.join(nodes.select("key", *_BITS, F.struct("w", "key").alias("rank")), "key")
+    bits_of = nodes.select("key", *_BITS)
     links = tested = members.sparkSession.createDataFrame([], "a long, b long")
-    rows = scratch.keep(ranked.withColumn("label", F.col("key")), "rows")
-    last = None
+    ranked = scratch.keep(members.join(nodes.select("key", F.struct("w", "key").alias("rank")), "key"), "ranked")
+    rows = ranked.withColumn("label", F.col("key"))
+    last = before = None
     while True:
         # a bucket is open while it has members without a known connection
         parts = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("_c"))
@@ -210,16 +211,21 @@ def _confirmed_links(members: DataFrame, nodes: DataFrame, full: DataFrame, scra
         left, open_rows = per.agg(F.coalesce(F.sum("_left"), F.lit(0)), F.coalesce(F.sum("_m"), F.lit(0))).first()
         if not left:
             break
-        finish = last is not None and left <= PAIRS_PER_ROW * open_rows
+        finish = before is not None and (left <= PAIRS_PER_ROW * open_rows or 2 * left > before)
+        before = left
         x = rows.join(per.select("bucket", "_major"), "bucket")
         if finish:
+            x = x.join(bits_of, "key")
             y = x.filter("label <> _major")
             pairs = x.alias("x").join(y.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & plausible("x", "y", share, miss))
         else:
-            eligible = x if last is None else x.join(last, "bucket", "left").filter("_last is null or rank < _last")
-            last = scratch.keep(eligible.groupBy("bucket").agg(F.max("rank").alias("_last")), "centre" if last is None else "next centre")
-            met = x.select("bucket", "key").join(last, "bucket").select("key", F.col("_last.key").alias("other")).filter("key <> other").distinct()
-            x, y = nodes.select("key", *_BITS).alias("x"), nodes.select("key", *_BITS).alias("y")
+            # at first any member may be the centre, then one that the largest connected part has not reached
+            eligible = x if last is None else x.filter("label <> _major").join(last, "bucket", "left").filter("_last is null or rank < _last")
+            centre = eligible.groupBy("bucket").agg(F.max(F.struct("rank", "label")).alias("_centre")).select("bucket", F.col("_centre.rank").alias("_last"), F.col("_centre.label").alias("_own"))
+            centre = scratch.keep(centre, "centre" if last is None else "next centre")
+            last = centre.select("bucket", "_last")
+            met = x.select("bucket", "key", "label").join(centre, "bucket").filter("label <> _own").select("key", F.col("_last.key").alias("other")).distinct()
+            x, y = bits_of.alias("x"), bits_of.alias("y")
             pairs = met.join(x, met["key"] == F.col("x.key")).join(y, (F.col("other") == F.col("y.key")) & plausible("x", "y", share, miss))
         pairs = pairs.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
         pairs = scratch.keep(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
@@ -228,7 +234,7 @@ def _confirmed_links(members: DataFrame, nodes: DataFrame, full: DataFrame, scra
             break
         tested = scratch.keep(tested.unionByName(pairs).distinct(), "tested")
         rows = scratch.keep(ranked.join(_connected(links), "key", "left").withColumn("label", F.coalesce("label", "key")), "rows")
-    scratch.drop("open", "rows", "centre", "next centre", "pairs", "tested")
+    scratch.drop("open", "ranked", "rows", "centre", "next centre", "pairs", "tested")
     return links
 
 
