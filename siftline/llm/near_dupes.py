@@ -4,17 +4,18 @@ Words are lower-cased (A-Z) runs without white space; the set of a document has
 hashes, or the whole sequence as one where there are fewer words.  Documents are linked if 100 * |A & B| >= 75 * |A | B|.
 
 1. *Sketch.*  One pass over the texts gives a key of the set (64 bits), a signature of ``BANDS * ROWS`` minima cut into
-   band keys, and one bit of every minimum for the comparison.  Equal sets share the key and are one class from here on.
+   band keys, and four bits of every minimum for the comparison.  Equal sets share the key and are one class from here on.
 2. *Buckets.*  A bucket holds the classes of one band key; only buckets with two classes or more go on.
 3. *Stars instead of pairs.*  Each bucket compares its members with one centre, the member that meets most others.
    Members known to be connected need no further comparison with each other.  What is left, members of a bucket
    without a known connection, is counted exactly.  While that is much more than the bucket rows and a round at least
    halves it, the next centre is taken, one outside the largest connected part; then the rest is compared.  Nothing is
    capped: every two members of a bucket are compared or already connected.
-4. *Verification.*  The bits are compared 64 at a time, inside the join that brings the members together.  A bit agrees
-   with chance (1 + similarity) / 2; with a uniform prior for that chance it is Beta(m+1, n-m+1) after m of n agreed.  A
-   pair is dropped as soon as the chance of a similarity of 0.75 or more falls below ``MISS``, so pairs without a future
-   never become rows.  Survivors are confirmed on the full sets.
+4. *Verification.*  The minima are compared by their bits, in batches, inside the join that brings the members together.
+   Four bits agree with chance (1 + 15 * similarity) / 16; with a uniform prior for that chance it is Beta(m+1, n-m+1)
+   after m of n agreed.  A pair is dropped as soon as the chance of a similarity of 0.75 or more falls below ``MISS``, so
+   pairs without a future never become rows.  In the last join a pair becomes a row only in the first bucket that it
+   shares.  Survivors are confirmed on the full sets.
 5. *Components* over confirmed links; the smallest doc_id of a component stays.
 
 With 64 bands of 7 rows a pair at similarity 0.75 shares a bucket with probability 0.9999, at 0.8 with 0.9999999.
@@ -27,6 +28,7 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import comb
 
 import numpy as np
@@ -39,11 +41,13 @@ from siftline.llm.components import components
 SHINGLE = 5
 SHARE = 75  # per cent
 BANDS, ROWS = 64, 7
-WORDS_OF_BITS = BANDS * ROWS // 64
+PLANES = 4  # bits of a minimum that are compared
+BATCHES = BANDS * ROWS // 64  # of 64 minima
+CHECKS = (64, 128, 256, 448)  # compared minima after which a pair may be dropped
 MISS = 1e-4
 PAIRS_PER_ROW = 16  # left-over comparisons per bucket row from which another star round is cheaper
 _BLOCK = 32
-_BITS = [f"_b{i}" for i in range(WORDS_OF_BITS)]
+_BITS = [f"_b{i}" for i in range(BATCHES * PLANES)]
 _FACTORS = (mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _PLACES = mixed(np.arange(101, 101 + SHINGLE, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _ROW_FACTORS = mixed(np.arange(301, 301 + ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -81,8 +85,9 @@ def bands(best: np.ndarray) -> np.ndarray:
 
 
 def bits(best: np.ndarray) -> np.ndarray:
-    """One bit of every minimum, in words of 64."""
-    return np.packbits(mixed(best.astype(np.uint64)) & np.uint64(1) == 1).view(np.int64)
+    """For every batch of 64 minima a word of their first bits, one of their second bits, and so on."""
+    planes = (mixed(best.astype(np.uint64)) >> np.arange(PLANES, dtype=np.uint64)[:, None]) & np.uint64(1)
+    return np.packbits(planes.astype(bool), axis=1).view(np.int64).T.reshape(-1)
 
 
 def set_key(items: np.ndarray) -> int:
@@ -107,13 +112,13 @@ def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 items = shingles(words)
                 n.append(items.size)
                 if items.size == 0:
-                    key.append(None), bit.append([0] * WORDS_OF_BITS), band.append(None)
+                    key.append(None), bit.append([0] * len(_BITS)), band.append(None)
                     continue
                 best = minima(items)
                 key.append(set_key(items))
                 bit.append(bits(best))
                 band.append(bands(best).view(np.int64))
-            columns = np.array(bit, dtype=np.int64).reshape(-1, WORDS_OF_BITS).T
+            columns = np.array(bit, dtype=np.int64).reshape(-1, len(_BITS)).T
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("_h"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(band, pa.list_(pa.int64())),
                  *[pa.array(np.ascontiguousarray(c)) for c in columns]], names=["doc_id", "_h", "n", "key", "bands", *_BITS])
@@ -128,19 +133,20 @@ def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["key", "items"])
 
 
-def bounds(share: int = SHARE, miss: float = MISS, checks: int = BANDS * ROWS, step: int = 64) -> list[tuple[int, int]]:
-    """For n = step, 2 * step, ... compared bits the largest number of differing ones with which a pair goes on.
+def bounds(share: int = SHARE, miss: float = MISS, checks: tuple[int, ...] = CHECKS) -> list[tuple[int, int]]:
+    """For each number n of compared minima the largest number of differing ones with which a pair goes on.
 
     The chance of more than t under Beta(m+1, n-m+1) is that of at most m successes in n+1 trials of chance t; here t is
-    the chance of a bit to agree, given that it is at least one half.
+    the chance of the bits to agree, given that it is at least that of unrelated minima.
     """
     def at_most(m: int, trials: int, t: float) -> float:
         return sum(comb(trials, i) * t**i * (1 - t) ** (trials - i) for i in range(m + 1))
 
-    t, out = (1 + share / 100) / 2, []
-    for n in range(step, checks + 1, step):
+    by_chance = 0.5**PLANES
+    t, out = by_chance + (1 - by_chance) * share / 100, []
+    for n in checks:
         m = n
-        while m and at_most(m - 1, n + 1, t) >= miss * at_most(m - 1, n + 1, 0.5):
+        while m and at_most(m - 1, n + 1, t) >= miss * at_most(m - 1, n + 1, by_chance):
             m -= 1
         out.append((n, n - m))
     return out
@@ -148,13 +154,23 @@ def bounds(share: int = SHARE, miss: float = MISS, checks: int = BANDS * ROWS, s
 
 def plausible(left: str, right: str, share: int, miss: float) -> Column:
     """Sequential test of two members in one expression: each batch of bits is looked at only if the ones before allow it."""
-    differing, test = F.lit(0), F.lit(True)
-    for i, (_, most) in enumerate(bounds(share, miss)):
-        differing = differing + F.bit_count(F.col(f"{left}._b{i}").bitwiseXOR(F.col(f"{right}._b{i}")))
-        test = test & (differing <= most)
+    def differing(batch: int) -> Column:
+        words = [F.col(f"{left}._b{i}").bitwiseXOR(F.col(f"{right}._b{i}")) for i in range(batch * PLANES, (batch + 1) * PLANES)]
+        return F.bit_count(reduce(Column.bitwiseOR, words))
+
+    total, done, test = F.lit(0), 0, F.lit(True)
+    for n, most in bounds(share, miss):
+        total = reduce(Column.__add__, [differing(i) for i in range(done, n // 64)], total)
+        done, test = n // 64, test & (total <= most)
     return test
 
 
+def first_shared(left: str, right: str) -> Column:
+    """Whether the bucket of two members is the first that they share."""
+    same = F.zip_with(F.col(f"{left}.bands"), F.col(f"{right}.bands"), lambda p, q: p == q)
+    return F.element_at(F.col(f"{left}.bands"), F.array_position(same, True).cast("int")) == F.col(f"{left}.bucket")
+
+
 def near_duplicates(docs: DataFrame, share: int = SHARE, miss: float = MISS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -170,7 +186,7 @@ def near_duplicates(docs: DataFrame, share: int = SHARE, miss: float = MISS) ->
     shared = placed.groupBy("bucket").agg(F.min("key").alias("_a"), F.max("key").alias("_b"), F.count(F.lit(1)).alias("_m"))
     members = scratch.keep(placed.join(shared.filter("_a <> _b").select("bucket", "_m"), "bucket"), "members")
     weight = members.groupBy("key").agg(F.sum("_m").alias("w"))
-    nodes = scratch.keep(classes.select("key", "_r", *_BITS).join(weight, "key"), "nodes")
+    nodes = scratch.keep(classes.select("key", "_r", "bands", *_BITS).join(weight, "key"), "nodes")
     links = _confirmed_links(members.select("bucket", "key"), nodes, _full_sets(texts, nodes, scratch), scratch, share, miss)
     labels = scratch.keep(components(links, scratch), "labels")
 
@@ -215,9 +231,11 @@ def _confirmed_links(members: DataFrame, nodes: DataFrame, full: DataFrame, scra
         before = left
         x = rows.join(per.select("bucket", "_major"), "bucket")
         if finish:
-            x = x.join(bits_of, "key")
+            x = x.join(nodes.select("key", "bands", *_BITS), "key")
             y = x.filter("label <> _major")
-            pairs = x.alias("x").join(y.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & plausible("x", "y", share, miss))
+            once = (F.col("x.label") == F.col("x._major")) | (F.col("x.key") < F.col("y.key"))
+            pairs = x.alias("x").join(y.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & once
+                                      & plausible("x", "y", share, miss) & first_shared("x", "y"))
         else:
             # at first any member may be the centre, then one that the largest connected part has not reached
             eligible = x if last is None else x.filter("label <> _major").join(last, "bucket", "left").filter("_last is null or rank < _last")
