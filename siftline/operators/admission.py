@@ -137,12 +137,14 @@ def first_identities(records: DataFrame, claimed: DataFrame, order: str, identit
 
 def finalise(candidates: DataFrame, claimed: DataFrame, contact_required: Column) -> DataFrame:
     """H-2: finals of qualified candidates ``(candidate_id, identity_hash, rank_score, score, created_at,
-    contacts)``, where the first contact with a free address and a free identity wins.
+    contacts)``, where the first contact with a free address and a free identity wins.  ``claim_rank`` and
+    ``claim_score``, where present, order the claims instead of the final rank and score.
 
     A candidate without contacts competes for its identity alone when no contact is required of it.
     """
     # best rank first, then score, then age; the id makes the order total
-    turn = F.struct((-F.col("rank_score")).alias("r"), (-F.col("score")).alias("s"), F.col("created_at").alias("c"),
+    rank, score = [f"claim_{c}" if f"claim_{c}" in candidates.columns else d for c, d in (("rank", "rank_score"), ("score", "score"))]
+    turn = F.struct((-F.col(rank)).alias("r"), (-F.col(score)).alias("s"), F.col("created_at").alias("c"),
                     F.col("candidate_id").alias("i"))
     base = candidates.select("candidate_id", "identity_hash", "contacts", turn.alias("turn"), contact_required.alias("_required"))
     with_email = base.select("candidate_id", "identity_hash", "turn", F.posexplode("contacts").alias("slot", "contact"))

@@ -74,9 +74,13 @@ def decide(candidates: DataFrame, rules: DataFrame, semantic: DataFrame, book, a
                 .when(route == "DEFERRED", F.lit("DEFERRED"))
                 .otherwise(F.lit("REJECT")))
     judged = (route == "SEMANTIC") & F.col("semantic").isNotNull() & ~expired
+    stored_rank = rank_route(F.col("rules"), held, policy)["rank_score"]
     return staged.withColumns({
         "decision": decision,
         "route": route,
+        # claims are ordered by what was stored before this decision, not by a model's or a semantic score
+        "claim_rank": F.when(F.col("rules").isNotNull(), stored_rank) if model is not None else F.col("ranking.rank_score"),
+        "claim_score": F.col("score"),
         "rank_score": F.col("ranking.rank_score"),
         "score": F.when(judged, F.col("semantic.score")).otherwise(F.col("score")),
         "product_type": F.when(judged, F.col("semantic.product_type")).otherwise(F.col("product_type")),

@@ -79,9 +79,18 @@ def run(records: DataFrame, book, as_of, claimed: DataFrame, cache: DataFrame, m
     return Funnel(admitted, keyed, candidates, validated, decided, finals)
 
 
+def open_identities(funnel: Funnel) -> DataFrame:
+    """JN-4: identity keys of the candidates that were not rejected; an expiry releases them with ``released_keys``."""
+    refused = funnel.validated.filter(F.col("status") == "REJECTED").select("candidate_id")
+    refused = refused.unionByName(funnel.decided.filter(F.col("decision") == "REJECT").select("candidate_id"))
+    lost = funnel.decided.filter(F.col("decision") == "FINALISE").select("candidate_id").join(funnel.finals.select("candidate_id"), "candidate_id", "left_anti")
+    held = funnel.candidates.select("candidate_id", "identity_hash").join(refused.unionByName(lost), "candidate_id", "left_anti")
+    return held.select(F.concat(F.lit("candidate:"), "identity_hash").alias("key"))
+
+
 def claimed_after(funnel: Funnel) -> DataFrame:
-    """Permanent keys a run adds: record and content of stored records, e-mail and lead of finals."""
+    """Keys a run adds: record and content of stored records, e-mail and lead of finals, and open identities."""
     first = funnel.records.select(F.explode(F.array("record_key", "content_key")).alias("key"))
     mail = funnel.finals.filter("email_hash IS NOT NULL").select(F.concat(F.lit("email:"), "email_hash").alias("key"))
     lead = funnel.finals.select(F.concat(F.lit("lead:"), "identity_hash").alias("key"))
-    return first.unionByName(mail).unionByName(lead)
+    return first.unionByName(mail).unionByName(lead).unionByName(open_identities(funnel))

@@ -29,14 +29,14 @@ ROWS = [
 ]
 
 
-def run(spark, claimed):
+def run(spark, claimed, answered=14):
     rows = spark.createDataFrame([(i, "posts", str(i), who, text, f"https://x.example.org/{i}", datetime(2024, 1, 31)) for i, (who, text) in enumerate(ROWS)],
                                  "pos long, source string, source_record_id string, identity string, text string, url string, published_at timestamp")
     yes = ('{"is_insurance_relevant":true,"is_consumer":true,"is_advertisement":false,"is_broker_or_agent":false,"south_africa_signal":true,"intent_level":"HIGH",'
            '"product_type":"MOTOR","score":90,"reason":"asks"}')
     from siftline.operators.decisions import parse_semantic
 
-    semantic = parse_semantic(spark.range(14).select(F.col("id").alias("candidate_id"), F.lit(yes).alias("body"))).select("candidate_id", "semantic")
+    semantic = parse_semantic(spark.range(answered).select(F.col("id").alias("candidate_id"), F.lit(yes).alias("body"))).select("candidate_id", "semantic")
     cache = spark.createDataFrame([], "email_hash string, status string, reason string, checked_at timestamp")
     mx = spark.createDataFrame([("good.org", "answer", "mx.good.org."), ("none.org", "no_answer", None)], "domain string, outcome string, exchange string")
     return funnel.run(to_records(rows), book(require_contact=True), "2024-02-01 00:00:00", claimed, cache, mx, semantic)
@@ -55,6 +55,28 @@ def test_funnel_and_replay(spark):
     assert again.records.count() == 0 and again.finals.count() == 0
 
 
+def test_a_waiting_identity_is_not_admitted_again(spark):
+    first = run(spark, spark.createDataFrame([], "key string"), answered=0)
+    waiting = {r.identity_hash for r in first.decided.filter("decision = 'WAIT'").collect()}
+    assert waiting
+    keys = funnel.claimed_after(first).filter("key LIKE 'candidate:%'")
+    refused = {r.identity_hash for r in first.decided.filter("decision = 'REJECT'").collect()}
+    again = {r.identity_hash for r in run(spark, keys, answered=0).candidates.collect()}
+    assert not waiting & again and refused <= again
+
+
+def test_claims_follow_the_stored_score(spark):
+    """A higher semantic score of a younger candidate does not take an address from an older one."""
+    from siftline.operators.admission import finalise
+
+    contact = [("x@good.org", "u")]
+    rows = spark.createDataFrame([(1, "a", 6.5, 82, 6.5, 50, 1, contact), (2, "b", 6.5, 95, 6.5, 50, 2, contact)],
+                                 "candidate_id long, identity_hash string, rank_score double, score int, claim_rank double, claim_score int, created_at long,"
+                                 " contacts array<struct<email:string,source_url:string>>")
+    won = finalise(rows, spark.createDataFrame([], "key string"), F.lit(True)).collect()
+    assert [r.candidate_id for r in won] == [1]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
