@@ -2,9 +2,9 @@
 
 Main path in DataFrame functions only.  The text is read once; what the later steps need (a hash and a word count per
 line) is written as a narrow table.  A normalised line is lower-cased, its digits become ``0`` and its white space one
-space.  Per host (``source``) the distinct documents of every line are counted; equal texts are one document.  Above
-``max_documents`` the line is removed from every document but the one with the smallest id, so that each line stays
-somewhere.  A document that loses more than ``max_lost`` per cent of its words this way is rejected.
+space.  Per host (``source``) the distinct documents of every line are counted, copies of a text each by their own id;
+rows without an id count once per text.  Above ``max_documents`` the line is removed from every document but the one with
+the smallest id, so that each line stays somewhere.  A document that loses more than ``max_lost`` per cent of its words this way is rejected.
 
 Defined cases: a null text has no words and no lines; null hosts form one host; a null id never is the smallest one unless
 all ids of the line are null, and then every holder keeps the line; repeated rows get equal results; an empty table gives
@@ -71,8 +71,8 @@ def judged(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_lost: int =
     """Counts, base rules and verdict per row of ``docs``; ``n_removed`` has the words in removed lines."""
     rows = Scratch(docs.sparkSession).keep(measures(docs), "measures")
     lines = rows.select("_row", "doc_id", "source", "_content", F.explode("_lines").alias("_l")).select("*", "_l.h", "_l.w").drop("_l")
-    holders = lines.groupBy("source", "h", "_content").agg(F.min("doc_id").alias("_first"))
-    common = (holders.groupBy("source", "h").agg(F.count(F.lit(1)).alias("_n"), F.min("_first").alias("_first"))
+    holders = lines.select("source", "h", "doc_id", F.when(F.col("doc_id").isNull(), F.col("_content")).alias("_content")).distinct()
+    common = (holders.groupBy("source", "h").agg(F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("_first"))
               .filter(F.col("_n") > max_documents).select(F.col("source").alias("_s"), F.col("h").alias("_h"), "_first"))
     # all lines of a row are summed before the join, so that a row meets a common line once
     held = lines.groupBy("_row", "doc_id", "source", "h").agg(F.sum("w").alias("w"))

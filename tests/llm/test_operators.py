@@ -229,3 +229,9 @@ def test_pipeline_stages(spark):
         assert docs.columns == columns and docs.count()
     last = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
     assert last.filter("part = 0").count() == docs.count() and last.filter("not exact").count() == 0
+
+def test_common_lines_count_copies_by_their_id(spark):
+    text = "\n".join(prose(900 + k, 12) for k in range(6))
+    rows = [(i, text, "a") for i in range(30)] + [(100 + i, text, "b") for i in range(20)] + [(None, text, "c")] * 30
+    got = {(r.doc_id, r.n_removed, r.kept) for r in line_rules.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == {(0, 0, True), (None, 0, True)} | {(i, 72, False) for i in range(1, 30)} | {(100 + i, 0, True) for i in range(20)}
