@@ -7,11 +7,14 @@ documents have it there; other places are generalised to ``<*>``, provided that
 and two more than the leading ones, stay constant, else the line is its own template.  A template in ``MIN_DOCUMENTS``
 distinct documents or more recurs: all its lines go, except those of the document with the smallest id.
 
+A line that is equal word for word, as written, recurs without a template: from ``EXACT_DOCUMENTS`` distinct documents on
+if it has ``MIN_WORDS`` words, else from ``MIN_DOCUMENTS`` on.  It stays in the document with the smallest id likewise.
+
 The tree is not grown line by line: counts decide, so the order of the rows does not matter and no task needs a whole
-leaf.  Equal texts count as one document when templates are counted.
+leaf.  Documents are counted by id, copies of a text included; rows without an id count once per text.
 
-Defined cases: a null text has no lines and stays null; lines with fewer than ``MIN_WORDS`` words always stay; if every id
-that holds a template is null, all its lines stay; repeated rows get equal results; an empty table gives an empty result;
+Defined cases: a null text has no lines and stays null; lines with fewer than ``MIN_WORDS`` words are no templates; if every id
+that holds a template or line is null, all its lines stay; repeated rows get equal results; an empty table gives an empty result;
 other columns are kept by ``deduplicated`` and ignored by ``report``.
 """
 
@@ -27,6 +30,7 @@ from siftline.operators.pin import pinned
 DEPTH = 3
 MIN_WORDS = 3
 MIN_DOCUMENTS = 5
+EXACT_DOCUMENTS = 2
 SIMILAR = 70
 FIELD = "<*>"
 _VARIABLE = r"[0-9@]|://"
@@ -37,25 +41,44 @@ def _masked(words: Column) -> Column:
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
-    """A row per line with enough words: doc_id, _content (hash of the text), place, words and leaf."""
+    """A row per line with words: doc_id, _content (hash of the text), place, exact (hashes of the words as written), words
+    and leaf; the leaf is null for lines with too few words."""
     rows = docs.select(F.col("doc_id"), whole().alias("_t")).withColumn("_content", F.xxhash64("_t"))
     lines = rows.select("doc_id", "_content", F.posexplode(F.split("_t", "\n")).alias("place", "_line"))
-    words = F.regexp_extract_all("_line", F.lit(WORD), F.lit(0))
-    lines = pinned(lines.filter(F.col("_line").rlike(r"[^\x20\x09-\x0D]")), words=F.when(F.col("_line").rlike(_VARIABLE), _masked(words)).otherwise(words))
-    lines = lines.drop("_line").filter(F.size("words") >= MIN_WORDS)
-    return lines.withColumn("leaf", F.xxhash64(F.size("words"), *[F.element_at("words", i + 1) for i in range(DEPTH)]))
+    lines = pinned(lines.filter(F.col("_line").rlike(r"[^\x20\x09-\x0D]")), _raw=F.regexp_extract_all("_line", F.lit(WORD), F.lit(0)))
+    lines = pinned(lines, words=F.when(F.col("_line").rlike(_VARIABLE), _masked(F.col("_raw"))).otherwise(F.col("_raw")))
+    lines = lines.withColumn("exact", F.struct(F.xxhash64("_raw").alias("a"), F.xxhash64(F.lit(1), "_raw").alias("b"))).drop("_line", "_raw")
+    leaf = F.xxhash64(F.size("words"), *[F.get("words", F.lit(i)) for i in range(DEPTH)])
+    return lines.withColumn("leaf", F.when(F.size("words") >= MIN_WORDS, leaf))
+
+
+def _documents(lines: DataFrame, *keys: str) -> DataFrame:
+    """The distinct documents of every key: by id, and by text where the id is null."""
+    return lines.select(*keys, "doc_id", F.when(F.col("doc_id").isNull(), F.col("_content")).alias("_content")).distinct()
+
+
+def _equal_lines(lines: DataFrame, min_documents: int, exact_documents: int) -> DataFrame:
+    """doc_id, _content and place of the lines that stand word for word in a document with a smaller id, where they recur."""
+    least = F.when(F.col("long"), exact_documents).otherwise(min_documents)
+    lines = lines.withColumn("long", F.col("leaf").isNotNull())
+    recurring = (_documents(lines, "exact", "long").groupBy("exact", "long").agg(F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("first"))
+                 .filter((F.col("_n") >= least) & F.col("first").isNotNull()).select("exact", "first"))
+    found = lines.select("doc_id", "_content", "place", "exact").join(recurring, "exact")
+    return found.filter(~F.col("doc_id").eqNullSafe(F.col("first"))).select("doc_id", "_content", "place")
 
 
-def dropped_lines(docs: DataFrame, scratch: Scratch, min_documents: int = MIN_DOCUMENTS, similar: int = SIMILAR) -> DataFrame:
+def dropped_lines(docs: DataFrame, scratch: Scratch, min_documents: int = MIN_DOCUMENTS, similar: int = SIMILAR, exact_documents: int = EXACT_DOCUMENTS) -> DataFrame:
     """doc_id, _content and the places of the lines to drop, a row per document that loses any."""
     lines = parsed_lines(docs)
-    leaves = (lines.select("leaf", "_content").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("_n"))
+    narrow = scratch.keep(lines.drop("words"), "lines")
+    lines = lines.drop("exact").filter(F.col("leaf").isNotNull())
+    leaves = (_documents(narrow.filter(F.col("leaf").isNotNull()), "leaf").groupBy("leaf").agg(F.count(F.lit(1)).alias("_n"))
               .filter(F.col("_n") >= min_documents).select("leaf"))
     # the words are written once for the lines that can recur; from here on shapes are known by two hashes
     texts = lines.select("doc_id", "_content", "place", "leaf", F.array_join("words", " ").alias("_shape"))
     held = texts.join(leaves, "leaf").withColumn("words", F.split("_shape", " ")).drop("_shape").withColumn("shape", F.struct(F.xxhash64("leaf", "words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b")))
     held = scratch.keep(held, "held")
-    holders = held.groupBy("leaf", "shape", "_content").agg(F.min("doc_id").alias("first"))
+    holders = _documents(held, "leaf", "shape")
     shapes = holders.groupBy("leaf", "shape").agg(F.count(F.lit(1)).alias("n"))
     texts = held.groupBy("shape").agg(F.first("words").alias("words"))
     shapes = scratch.keep(shapes.join(texts, "shape"), "shapes")
@@ -70,13 +93,14 @@ def dropped_lines(docs: DataFrame, scratch: Scratch, min_documents: int = MIN_DO
     template = F.when(general, F.struct(F.xxhash64("leaf", "_fixed").alias("x"), F.xxhash64(F.lit(2), "leaf", "_fixed").alias("y"))).otherwise(own)
     named = scratch.keep(named.select("shape", template.alias("template")), "named")
 
-    carried = holders.join(named, "shape").groupBy("template", "_content").agg(F.min("first").alias("first"))
-    recurring = (carried.groupBy("template").agg(F.count(F.lit(1)).alias("_n"), F.min("first").alias("first"))
+    carried = _documents(holders.select("shape", "doc_id", "_content").join(named, "shape"), "template")
+    recurring = (carried.groupBy("template").agg(F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("first"))
                  .filter((F.col("_n") >= min_documents) & F.col("first").isNotNull()).select("template", "first"))
     doomed = named.join(recurring, "template").select("shape", "first")
     lost = held.select("doc_id", "_content", "place", "shape").join(doomed, "shape").filter(~F.col("doc_id").eqNullSafe(F.col("first")))
+    lost = lost.select("doc_id", "_content", "place").unionByName(_equal_lines(narrow, min_documents, exact_documents))
     out = scratch.keep(lost.groupBy("doc_id", "_content").agg(F.collect_set("place").alias("_drop")), "lost")
-    scratch.drop("held", "shapes", "named")
+    scratch.drop("lines", "held", "shapes", "named")
     return out
 
 

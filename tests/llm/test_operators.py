@@ -235,3 +235,14 @@ def test_common_lines_count_copies_by_their_id(spark):
     rows = [(i, text, "a") for i in range(30)] + [(100 + i, text, "b") for i in range(20)] + [(None, text, "c")] * 30
     got = {(r.doc_id, r.n_removed, r.kept) for r in line_rules.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert got == {(0, 0, True), (None, 0, True)} | {(i, 72, False) for i in range(1, 30)} | {(100 + i, 0, True) for i in range(20)}
+
+
+def test_recurring_lines_by_id_and_word_for_word(spark):
+    copied, twice, single = ["\n".join(prose(950 + k, 9) for k in range(2)), prose(960, 7), prose(961, 60)]
+    numbered = [f"{prose(970, 6)} no {k}" for k in range(8)]
+    rows = [(i, copied) for i in range(6)] + [(10, twice + "\n" + prose(962, 9)), (11, prose(963, 9) + "\n" + twice), (12, single)]
+    rows += [(20 + i, f"next page\n{prose(980 + i, 9)}") for i in range(5)] + [(30 + i, f"go on\n{prose(990 + i, 9)}\n{numbered[i]}") for i in range(4)]
+    rows += [(None, copied), (None, "next page")]
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_dropped) for r in line_templates.report(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = [(False, 0, 0)] + [(False, i, 2) for i in range(1, 6)] + [(False, 10, 0), (False, 11, 1), (False, 12, 0), (False, 20, 0)] + [(False, 20 + i, 1) for i in range(1, 5)]
+    assert got == want + [(False, 30 + i, 0) for i in range(4)] + [(True, 0, 1), (True, 0, 2)]
