@@ -3,9 +3,9 @@
 *Language model.*  Counts of four characters in a row over all texts (26 folded letters, other letters, word boundary);
 map tasks count densely, so what is shuffled is bounded by the alphabet.  Probabilities back off to shorter contexts.
 
-*Channel.*  Words of letters only stay as they are.  Other words become a lattice: a leetspeak sign may be one of its
+*Channel.*  Words of letters only, none of them doubled, stay as they are.  Other words become a lattice: a leetspeak sign may be one of its
 letters or nothing, a repeated letter may be one or two, a separator inside a word may be nothing or a boundary; runs of
-single characters with separators between them are one lattice.  Each choice has a cost; Viterbi over the last three
+single characters with separators or any white space between them are one lattice.  Each choice has a cost; Viterbi over the last three
 characters finds the cheapest reading under costs and language model.
 
 *Score.*  The words of a text, those read from lattices included, and their beginnings are indicators.  Those that differ
@@ -53,15 +53,16 @@ SEPARATORS = " .*_-~'"
 AS_LETTER, AS_NOTHING, SHORTENED, HALVED, JOINED, PARTED = 1.0, 3.0, 1.0, 9.0, 0.5, 2.0
 
 _EDGE = ".,;:?\"'()[]{}*#%&<>~^`=/\\_-|+"
+_PLAIN_EDGE = "".join(c for c in _EDGE if c not in LEET)
 _RUN_AT_EDGE = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$")
 _ADDRESS = re.compile(r"://|^[^@]+@[^@]+\.[a-z]+$|^[\d.,:/-]+$")
-_TRIPLE = re.compile(r"([^\W\d_])\1\1")
-_NOISE = re.compile(r"[0-9@$!|+(€£.*_~'-](?=[^\W\d_])|[0-9@$](?!\S)(?<=[^\W\d_].)")
-_ALONE = re.compile(r"(?:^| )[a-z0-9@$!][ .*_~-]{1,2}[a-z0-9@$!][ .*_~-]{1,2}[a-z0-9@$!][ .*_~-]")
+_DOUBLE = re.compile(r"([^\W\d_])\1")
+_SEPARATED = r"(?:\s+|\s?[.*_~,;:/\\-]{1,2}\s?)"
+_ALONE = re.compile(rf"(?:^|\s)[a-z0-9@$!]{_SEPARATED}[a-z0-9@$!]{_SEPARATED}[a-z0-9@$!](?![^\s.*_~,;:/\\!?-])")
 _QUOTES = re.compile("[\u2000-\u206f\u3000-\u303f«»¿¡]")
 _IS_LETTER = np.zeros(256, dtype=bool)
 _IS_LETTER[97:123] = _IS_LETTER[128:] = True
-_SPACED = re.compile(r"(?:(?<=\s)|^)(?:[a-z0-9@$!][ .*_~-]{1,2}){3,}[a-z0-9@$!](?![^\s.,;:!?])")
+_SPACED = re.compile(rf"(?:(?<=\s)|^)(?:[a-z0-9@$!]{_SEPARATED}){{2,}}[a-z0-9@$!](?![^\s.,;:!?])")
 
 
 def _folded(c: str) -> str:
@@ -166,32 +167,24 @@ class Restorer:
     def restored(self, text: str) -> str:
         """The text in lower case, followed by the readings of its disguised words."""
         text = text.lower()
-        tokens = {_token_at(text, m.start()) for m in _NOISE.finditer(text)}
-        raw = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
-        same = raw[1:] == raw[:-1]
-        if (same[1:] & same[:-1] & _IS_LETTER[raw[2:]]).any():
-            tokens.update(_token_at(text, m.start()) for m in _TRIPLE.finditer(text))
         readings = []
-        for token in sorted(tokens):
-            core = _RUN_AT_EDGE.sub("", token.lstrip(_EDGE).rstrip(_EDGE + "!")).strip(_EDGE).rstrip("!")
-            if len(core) >= 3 and not (core.isalpha() and not _TRIPLE.search(core)) and not _ADDRESS.search(core) and any(c.isalpha() for c in core):
-                readings.append(self.read(core))
+        for token in sorted(set(text.split())):
+            if token.isalpha() and not _DOUBLE.search(token):
+                continue
+            readings += [self.read(core) for core in _cores(token)]
         if _ALONE.search(text):
-            readings += [self.read(m[0]) for m in _SPACED.finditer(text)]
+            readings += [self.read(re.sub(r"[\s,;:/\\]+", " ", m[0])) for m in _SPACED.finditer(text) if any(c.isalpha() for c in m[0])]
         if not text.isascii():
             text = _QUOTES.sub(" ", text)
         return " ".join([text, *readings])
 
 
-def _token_at(text: str, at: int) -> str:
-    """The run without white space around a place; it is looked for in growing windows, so a long text costs no more."""
-    for reach in (64, 4096, len(text)):
-        low, high = max(0, at - reach), min(len(text), at + reach)
-        left, right = text[low:at].split(), text[at:high].split(None, 1)
-        before = left[-1] if left and not text[at - 1].isspace() else ""
-        if (len(before) < at - low or low == 0) and (len(right[0]) < high - at or high == len(text)):
-            return before + right[0]
-    return before + right[0]
+def _cores(token: str) -> list[str]:
+    """What is read of a run without white space: without the punctuation at its edges, and also with edge signs that can be letters."""
+    narrow = _RUN_AT_EDGE.sub("", token.lstrip(_EDGE).rstrip(_EDGE + "!")).strip(_EDGE).rstrip("!")
+    wide = token.strip(_PLAIN_EDGE)
+    made = [narrow] if wide.rstrip("!") == narrow else [narrow, wide]
+    return [core for core in made if len(core) >= 3 and not (core.isalpha() and not _DOUBLE.search(core)) and not _ADDRESS.search(core) and any(c.isalpha() for c in core)]
 
 
 def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

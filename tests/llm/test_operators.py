@@ -246,3 +246,17 @@ def test_recurring_lines_by_id_and_word_for_word(spark):
     got = sorted((r.doc_id is None, r.doc_id or 0, r.n_dropped) for r in line_templates.report(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     want = [(False, 0, 0)] + [(False, i, 2) for i in range(1, 6)] + [(False, 10, 0), (False, 11, 1), (False, 12, 0), (False, 20, 0)] + [(False, 20 + i, 1) for i in range(1, 5)]
     assert got == want + [(False, 30 + i, 0) for i in range(4)] + [(True, 0, 1), (True, 0, 2)]
+
+
+def test_disguised_words_are_selected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(4000)
+    restorer = toxicity.Restorer(toxicity.language_model(docs))
+    seen = []
+    restorer.read = lambda noisy, read=restorer.read: (seen.append(noisy), read(noisy))[1]
+    for text in ["idi07", '"idio7."', "idiot5,", "worthle$$", "worthle55", "sh!+", "stuupiidd", "iddiioott", "s/t/u/p/i/d", "s,t,u,p,i,d", "s\tt\tu\tp\ti\td", "s\nt\nu\np\ni\nd",
+                 "s   t   u   p   i   d", "b a d"]:
+        seen.clear()
+        restorer.restored(f"You are {text} really")
+        assert seen, text
+    read = {"idi07": "idiot", '"idio7."': "idiot", "s/t/u/p/i/d": "stupid", "s\tt\tu\tp\ti\td": "stupid", "s   t   u   p   i   d": "stupid"}
+    assert {k: w for k, w in read.items() if w not in restorer.restored(f"so {k} really").split()} == {}
