@@ -12,11 +12,13 @@ import unicodedata
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siftline.functions.phrases import implied, longest_phrase_pattern, phrase_pattern
+from siftline.functions.text import WORD
 from siftline.operators.pin import pinned
 from siftline.rules import RuleBook
 
 _APOSTROPHES = str.maketrans("‘’‛ʼ", "''''")
 BROADCAST_TERMS = 200_000
+_WORD_SIGNS = r"\p{L}\p{N}_"
 
 
 def fold_term(term: str) -> str:
@@ -71,16 +73,24 @@ def discovery_match(text: Column, book: RuleBook) -> Column:
     return hits_any(text, book.discovery_terms())
 
 
+def _word_sequence(text: Column) -> Column:
+    """The words of a text with one blank between them, whatever stands there."""
+    return F.trim(F.regexp_replace(text, rf"[^{_WORD_SIGNS}]+", " "))
+
+
 def match_by_join(df: DataFrame, terms: DataFrame, key: str, text: str = "match_text",
                   longest: int | None = None) -> DataFrame:
     """RUL-1 for dictionaries kept as a table ``(grp, ord, term)``: ``(key, matched)`` for rows with a hit.
 
-    Terms must be made of word characters and single spaces; terms with punctuation stay on the
-    expression path.  N-grams are distinct per row before the join, and the groups of a row are
+    Terms of word characters and single spaces are n-grams of a run of the text.  Other terms are looked for by their
+    word sequence, punctuation aside, and then confirmed in the text itself with word boundaries.  N-grams are distinct per row before the join, and the groups of a row are
     combined map-side, so a term that occurs in a third of all rows adds one small row per text.
     """
-    if longest is None:
-        longest = terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
+    lookup = terms.select("grp", "ord", "term").filter(F.col("term") != "").distinct()
+    lookup = lookup.withColumn("_signs", F.col("term").rlike(rf"[^{_WORD_SIGNS} ]|^ | $| {{2}}"))
+    lookup = lookup.withColumn("_gram", F.when(F.col("_signs"), _word_sequence(F.col("term"))).otherwise(F.col("term")))
+    signs, most = lookup.agg(F.max("_signs"), F.max(F.size(F.split("_gram", " ")))).first()
+    longest = most or 1 if longest is None or signs else longest
     # a phrase must be spaced by exactly one blank in the text, as in the expression form
     runs = F.split(F.col(text), r"[^\p{L}\p{N}_ ]+| {2,}")
     words = F.transform(runs, lambda r: F.filter(F.split(r, " "), lambda w: w != ""))
@@ -93,9 +103,19 @@ def match_by_join(df: DataFrame, terms: DataFrame, key: str, text: str = "match_
     def grams(run: Column) -> Column:
         return F.concat(*[grams_of(run, n) for n in range(1, longest + 1)])
 
-    exploded = df.select(key, F.explode(F.array_distinct(F.flatten(F.transform(words, grams)))).alias("term"))
     small = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-    lookup = terms.select("grp", "ord", "term").distinct()
-    hit = exploded.join(F.broadcast(lookup) if small else lookup, "term")
+
+    def hits(runs_of_words: Column, signs: bool) -> DataFrame:
+        made = F.flatten(F.transform(runs_of_words, grams))
+        made = F.concat(made, F.array(F.lit(""))) if signs else made  # a term without any word is tried on every text
+        own = lookup.filter(F.col("_signs") == signs).drop("_signs")
+        return df.select(key, F.explode(F.array_distinct(made)).alias("_gram")).join(F.broadcast(own) if small else own, "_gram")
+
+    hit = hits(words, False).select(key, "ord", "grp")
+    if signs:
+        tried = hits(F.array(F.split(_word_sequence(F.col(text)), " ")), True).groupBy(F.col(key).alias("_key")).agg(F.collect_set(F.struct("ord", "grp", "term")).alias("_t"))
+        tried = df.select(key, text).join(tried, F.col(key).eqNullSafe(F.col("_key")))
+        exact = lambda t: F.regexp_like(F.col(text), F.concat(F.lit(f"(?<!{WORD})\\Q"), F.replace(t["term"], F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(f"\\E(?!{WORD})")))
+        hit = hit.unionByName(tried.select(key, F.explode(F.filter("_t", exact)).alias("_t")).select(key, "_t.ord", "_t.grp"))
     grouped = hit.groupBy(key).agg(F.collect_set(F.struct("ord", "grp")).alias("_g"))
     return grouped.select(key, F.transform(F.array_sort("_g"), lambda g: g["grp"]).alias("matched"))

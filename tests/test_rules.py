@@ -117,3 +117,12 @@ def test_semantic_results_are_parsed_strictly(spark):
     df = spark.createDataFrame(list(enumerate(bodies)), "i int, body string")
     out = [r.refused for r in decisions.parse_semantic(df).orderBy("i").collect()]
     assert out == [None, "score", "intent", "flag_type", "fields", "not_an_object", "not_an_object", "reason"]
+
+
+def test_join_form_finds_terms_with_punctuation(spark):
+    terms = ["i'm a broker", "e-mail", "c++", "cover", "co.za", "???", "a  b", "\\\\e x"]
+    texts = ["so i'm a broker, yes", "im a broker", "send e-mail", "e mail", "ae-mails", "c++ and cover", "c+", "shop.co.za", "what ???", "a  b", "a b", "by \\\\e x", "e x"]
+    table = spark.createDataFrame([(t, i, t) for i, t in enumerate(terms)], "grp string, ord int, term string")
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, match_text string")
+    got = {r.i: r.matched for r in matching.match_by_join(df, table, "i").collect()}
+    assert got == {0: ["i'm a broker"], 2: ["e-mail"], 5: ["c++", "cover"], 7: ["co.za"], 8: ["???"], 9: ["a  b"], 11: ["\\\\e x"]}
