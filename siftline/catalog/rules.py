@@ -206,7 +206,8 @@ def _(t):
     SELECT conv_id, turn, count(*) AS hits FROM g JOIN p USING (term) GROUP BY 1,2""".replace("REPLACETEXT", canon("text")))
 def _(t):
     words = F.split(F.trim(F.regexp_replace(text.canonical_text(F.col("text")), r"[^\p{L}\p{N}_]+", " ")), " ")
-    phrases = t.benchmark.select(words.alias("w")).filter(F.size("w") >= 2).select(F.concat_ws(" ", F.get("w", F.lit(0)), F.get("w", F.lit(1))).alias("term")).distinct()
+    pairs = F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1)))
+    phrases = t.benchmark.select(words.alias("w")).filter(F.size("w") >= 2).select(F.explode(F.array_distinct(pairs)).alias("term")).distinct()
     terms = phrases.select(F.col("term").alias("grp"), F.lit(0).alias("ord"), "term")
     rows = t.spread(t.conversations).select(F.struct("conv_id", "turn").alias("key"), text.matching_text(F.col("text")).alias("match_text"))
     hits = matching.match_by_join(rows, terms, "key")

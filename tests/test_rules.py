@@ -126,3 +126,13 @@ def test_join_form_finds_terms_with_punctuation(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, match_text string")
     got = {r.i: r.matched for r in matching.match_by_join(df, table, "i").collect()}
     assert got == {0: ["i'm a broker"], 2: ["e-mail"], 5: ["c++", "cover"], 7: ["co.za"], 8: ["???"], 9: ["a  b"], 11: ["\\\\e x"]}
+
+
+def test_every_phrase_of_a_benchmark_text_is_looked_for(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(1, "one two three, four one two")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    turns = [(1, 0, "u", "so three four then one two one two"), (1, 1, "u", "two one"), (2, 0, "u", "One  two three")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    rows = entry.queries()["rul1_phrases_of_benchmark"](spark, str(tmp_path)).collect()
+    assert sorted((r.conv_id, r.turn, r.hits) for r in rows) == [(1, 0, 2), (2, 0, 2)]
