@@ -263,7 +263,7 @@ def _(t):
 
 def _trained(t):
     parts = durable(training.split(_labelled(t)), "parts")
-    model = training.train(parts.filter("part = 'train'").drop("part"), size=5000)
+    model = training.train(parts.filter("part = 'train'").drop("part"))
     return model, parts.filter("part = 'test'").drop("part")
 
 

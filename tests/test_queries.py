@@ -32,3 +32,18 @@ def test_every_sql_twin_has_a_query():
 
 def test_flagship(spark):
     assert entry.entry(spark).columns == ["source", "route", "records", "score_total", "rank_milli_total"]
+
+
+def test_model_queries_train_with_the_package_size(monkeypatch):
+    from siftline.catalog import storage
+
+    class Rows:
+        filter = drop = lambda self, *a: self
+
+    seen = {}
+    monkeypatch.setattr(storage, "_labelled", lambda t: Rows())
+    monkeypatch.setattr(storage, "durable", lambda df, name: df)
+    monkeypatch.setattr(storage.training, "split", lambda rows: rows)
+    monkeypatch.setattr(storage.training, "train", lambda rows, size=storage.training.FEATURES: seen.update(size=size))
+    storage._trained(None)
+    assert seen == {"size": 30_000}
