@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import archive, credentials, line_rules, line_templates, mixture, near_dupes, neighbours, quality, segmentation, toxicity
+from siftline.llm import archive, credentials, fill_middle, line_rules, line_templates, mixture, near_dupes, neighbours, quality, segmentation, toxicity, whitening
 from siftline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_frequency_rules": lambda spark, folder: line_rules.judged(table(spark, folder, "documents")),
     "op9_capture_index": lambda spark, folder: archive.archived(table(spark, folder, "pages")),
     "op10_mixture": lambda spark, folder: mixture.decisions(table(spark, folder, "documents")),
+    "op11_whitening": lambda spark, folder: whitening.report(table(spark, folder, "embeddings")),
+    "op12_fill_middle": lambda spark, folder: fill_middle.report(table(spark, folder, "documents")),
 }
 SQL: dict[str, str] = {
     "op2_line_templates": line_templates.SQL,
@@ -28,4 +30,5 @@ SQL: dict[str, str] = {
     "op8_line_frequency_rules": line_rules.SQL,
     "op9_capture_index": archive.SQL,
     "op10_mixture": mixture.SQL,
+    "op12_fill_middle": fill_middle.SQL,
 }
