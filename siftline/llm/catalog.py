@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import archive, credentials, fill_middle, line_rules, line_templates, mixture, near_dupes, neighbours, quality, segmentation, toxicity, whitening
+from siftline.llm import archive, credentials, fill_middle, line_rules, line_templates, main_text, mixture, near_dupes, neighbours, quality, segmentation, toxicity, whitening
 from siftline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixture": lambda spark, folder: mixture.decisions(table(spark, folder, "documents")),
     "op11_whitening": lambda spark, folder: whitening.report(table(spark, folder, "embeddings")),
     "op12_fill_middle": lambda spark, folder: fill_middle.report(table(spark, folder, "documents")),
+    "op13_main_text": lambda spark, folder: main_text.report(table(spark, folder, "pages")),
 }
 SQL: dict[str, str] = {
     "op2_line_templates": line_templates.SQL,

@@ -154,7 +154,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = (arranged(f, t, a, b) for f, t, a, b in zip(forms, texts.cast(pa.binary()).to_pylist(), found["one"].tolist(), found["two"].tolist(), strict=True))
         plain = np.array([f == "plain" for f in forms], dtype=bool)
         columns = [batch.column("_doc"), pa.array(found["n"]), form, *(pa.array(found[c], mask=plain) for c in ("prefix_chars", "middle_chars")),
-                   pa.array(made, pa.binary()).cast(pa.string())]
+                   pa.array(made, pa.binary()).view(pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=["_doc", *(f.name for f in _ADDED)])
 
 
