@@ -19,12 +19,11 @@ results; an empty table gives an empty result; other columns are ignored.  Texts
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +53,6 @@ AS_LETTER, AS_NOTHING, SHORTENED, HALVED, JOINED, PARTED = 1.0, 3.0, 1.0, 9.0, 0
 
 _EDGE = ".,;:?\"'()[]{}*#%&<>~^`=/\\_-|+"
 _PLAIN_EDGE = "".join(c for c in _EDGE if c not in LEET)
-_RUN_AT_EDGE = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$")
 _ADDRESS = re.compile(r"://|^[^@]+@[^@]+\.[a-z]+$|^[\d.,:/-]+$")
 _DOUBLE = re.compile(r"([^\W\d_])\1")
 _SEPARATED = r"(?:\s+|\s?[.*_~,;:/\\-]{1,2}\s?)"
@@ -75,26 +73,40 @@ def _code(c: str) -> int:
     return ord(base) - 96 if "a" <= base <= "z" else 27 if c.isalpha() else 0
 
 
-_CODES = np.array([_code(chr(i)) for i in range(0x250)] + [27], dtype=np.int64)
+_CODES = np.array([_code(chr(i)) for i in range(0x250)] + [27], dtype=np.uint8)
+
+
+def _groups(texts: list[str], size: int) -> Iterator[str]:
+    """The texts as lower-case strings of about ``size`` characters, a boundary after each text; long texts are cut."""
+    held, n = [], 0
+    for text in texts:
+        for at in range(0, max(len(text), 1), size):
+            piece = text[at : at + size]
+            held.append(piece if at + size < len(text) else piece + "\n")
+            n += len(piece)
+            if n >= size:
+                yield "".join(held).lower()
+                held, n = [], 0
+    yield "".join(held).lower()
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(LETTERS**ORDER, dtype=np.int64)
+    carry = np.zeros(ORDER - 1, dtype=np.uint8)
     for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            carry = np.zeros(ORDER - 1, dtype=np.int64)
-            for text in batch.column("_t").slice(at, 64).to_pylist():
-                for start in range(0, len(text), 1 << 20):
-                    raw = np.frombuffer(text[start : start + (1 << 20)].lower().encode("utf-32-le", "replace"), dtype="<u4")
-                    codes = _CODES[np.minimum(raw, 0x250)]
-                    codes = np.concatenate([carry, codes, [0] if start + (1 << 20) >= len(text) else []]).astype(np.int64)
-                    twice = (codes[1:] == 0) & (codes[:-1] == 0)
-                    twice[: ORDER - 2] = False
-                    codes = codes[np.concatenate([[True], ~twice])]
-                    if codes.size >= ORDER:
-                        grams = codes[: codes.size - 3] * LETTERS**3 + codes[1:-2] * LETTERS**2 + codes[2:-1] * LETTERS + codes[3:]
-                        total += np.bincount(grams, minlength=total.size)
-                        carry = codes[-(ORDER - 1) :]
+        for text in _groups(batch.column("_t").to_pylist(), 1 << 18):
+            raw = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
+            codes = np.concatenate([carry, _CODES.take(raw, mode="clip")])
+            twice = (codes[1:] | codes[:-1]) == 0
+            twice[: ORDER - 2] = False
+            codes = codes[np.concatenate([[True], ~twice])]
+            if codes.size >= ORDER:
+                grams = codes[: 1 - ORDER].astype(np.int64)
+                for k in range(1, ORDER):
+                    grams *= LETTERS
+                    grams += codes[k : codes.size - ORDER + 1 + k]
+                total += np.bincount(grams, minlength=total.size)
+                carry = codes[1 - ORDER :]
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["gram", "n"])
 
@@ -116,62 +128,164 @@ def costs(counts: np.ndarray, weight: float = 4.0) -> np.ndarray:
     return -np.log(chance).astype(np.float32)
 
 
-def lattice(noisy: str) -> list[list[tuple[str, float]]]:
-    """Choices at each place: what is written there and what it costs; a space is a boundary."""
-    places: list[list[tuple[str, float]]] = []
-    for sign, run in groupby(noisy):
-        n = len(list(run))
-        if sign in LEET:
-            choices = [("", AS_NOTHING)]
-            for letter in LEET[sign]:
-                choices.append((letter, AS_LETTER + (SHORTENED if n > 1 else 0)))
-                if n > 1:
-                    choices.append((letter * 2, AS_LETTER + (SHORTENED if n > 2 else 0)))
-        elif sign.isalpha():
-            letter = _folded(sign)
-            choices = [(letter, (0.0, 0.0, HALVED)[n] if n < 3 else SHORTENED)] + ([(letter * 2, SHORTENED if n > 2 else 0.0)] if n > 1 else [])
-        elif sign in SEPARATORS:
-            choices = [("", JOINED), (" ", PARTED)]
-        else:
-            choices = [("", JOINED), (" ", JOINED)]
-        places.append(choices)
-    return places
+def choices(sign: str, n: int) -> list[tuple[str, float]]:
+    """What ``n`` times the same sign can stand for and what that costs; a space is a boundary.  From three on ``n`` does not matter."""
+    if sign in LEET:
+        made = [("", AS_NOTHING)]
+        for letter in LEET[sign]:
+            made.append((letter, AS_LETTER + (SHORTENED if n > 1 else 0)))
+            if n > 1:
+                made.append((letter * 2, AS_LETTER + (SHORTENED if n > 2 else 0)))
+        return made
+    if sign.isalpha():
+        letter = _folded(sign)
+        return [(letter, (0.0, 0.0, HALVED)[n] if n < 3 else SHORTENED)] + ([(letter * 2, SHORTENED if n > 2 else 0.0)] if n > 1 else [])
+    return [("", JOINED), (" ", PARTED if sign in SEPARATORS else JOINED)]
+
+
+class Channel:
+    """The cheapest readings of lattices: Viterbi whose states are the last three characters, with a back pointer per state.
+
+    What a state can become at a place is worked out once and kept.  Where one state is left, or all states have one ancestor,
+    everything before is settled and written, so time and memory follow the length of what is read.
+    """
+
+    SETTLE, KEPT = 256, 1 << 18
+
+    def __init__(self, model: np.ndarray):
+        self.model = model
+        self.bases: dict[str, int] = {}  # by up to three equal signs
+        self.choices: list[list[tuple[str, float]]] = [[(" ", 0.0)]]
+        self.steps: dict[int, list[tuple[int, float, str]]] = {}
+
+    def base(self, run: str) -> int:
+        """The number of a run's kind times the number of states."""
+        if len(self.bases) >= 1 << 12:
+            self.bases, self.choices, self.steps = {}, self.choices[:1], {}
+        self.bases[run] = base = len(self.choices) * _SPAN
+        self.choices.append(choices(run[0], len(run)))
+        return base
+
+    def step(self, place: int) -> list[tuple[int, float, str]]:
+        """From state and kind of place, in one number, to the states that follow, with cost and letters."""
+        if len(self.steps) >= self.KEPT:
+            self.steps.clear()
+        kind, state = divmod(place, _SPAN)
+        made = []
+        for letters, extra in self.choices[kind]:
+            at, total = state, extra
+            for c in letters:
+                code = _code(c)
+                if code or at % LETTERS:
+                    total += float(self.model[at * LETTERS + code])
+                    at = (at * LETTERS + code) % _SPAN
+            made.append((at, total, letters))
+        self.steps[place] = made
+        return made
+
+    def decode(self, noisy: str) -> str:
+        out: list[str] = []
+        back: list[dict[int, tuple[int, str]]] = []
+        paths = {0: 0.0}
+        settle = self.SETTLE
+        i, n = 0, len(noisy)
+        while i <= n:
+            j = i + 1
+            if i < n:
+                sign = noisy[i]
+                while j < n and noisy[j] == sign:
+                    j += 1
+                run = noisy[i : min(j, i + 3)]
+                base = self.bases.get(run)
+                if base is None:
+                    base = self.base(run)
+            else:
+                base = 0  # the boundary at the end
+            i = j
+            if len(paths) == 1:
+                (state,) = paths
+                if back:
+                    self._written(out, back, state, len(back))
+                    back, settle = [], self.SETTLE
+                found = self.steps.get(base + state) or self.step(base + state)
+                if len(found) == 1:
+                    out.append(found[0][2])
+                    paths = {found[0][0]: 0.0}
+                    continue
+            elif len(back) >= settle:
+                common, at = self._ancestor(back, paths)
+                if at:
+                    self._written(out, back, common, at)
+                    back = back[at:]
+                settle = self.SETTLE + 2 * len(back)
+            after: dict[int, float] = {}
+            origin: dict[int, tuple[int, str]] = {}
+            for state, cost in paths.items():
+                for following, extra, letters in self.steps.get(base + state) or self.step(base + state):
+                    total = cost + extra
+                    best = after.get(following)
+                    if best is None or total < best:
+                        after[following] = total
+                        origin[following] = (state, letters)
+            paths = after
+            back.append(origin)
+        self._written(out, back, min(paths, key=lambda state: (paths[state], state)), len(back))
+        return "".join(out).strip()
+
+    @staticmethod
+    def _written(out: list[str], back: list[dict[int, tuple[int, str]]], state: int, upto: int) -> None:
+        """Adds the letters of the first ``upto`` places on the way to ``state``."""
+        letters = []
+        for k in range(upto - 1, -1, -1):
+            state, own = back[k][state]
+            letters.append(own)
+        out.extend(reversed(letters))
+
+    @staticmethod
+    def _ancestor(back: list[dict[int, tuple[int, str]]], paths: dict[int, float]) -> tuple[int, int]:
+        """The last state that all paths have in common, and how many places lie before it."""
+        states = set(paths)
+        for k in range(len(back) - 1, -1, -1):
+            states = {back[k][s][0] for s in states}
+            if len(states) == 1:
+                return states.pop(), k
+        return 0, 0
 
 
 def decode(noisy: str, model: np.ndarray) -> str:
-    """The cheapest reading of a lattice: Viterbi whose states are the last three characters."""
-    paths: dict[int, tuple[float, str]] = {0: (0.0, "")}
-    for choices in [*lattice(noisy), [(" ", 0.0)]]:
-        after: dict[int, tuple[float, str]] = {}
-        for state, (cost, written) in paths.items():
-            for letters, extra in choices:
-                place, total = state, cost + extra
-                for c in letters:
-                    code = _code(c)
-                    if code or place % LETTERS:
-                        total += float(model[place * LETTERS + code])
-                        place = (place * LETTERS + code) % _SPAN
-                best = after.get(place)
-                if best is None or (total, written + letters) < best:
-                    after[place] = (total, written + letters)
-        paths = after
-    return min(paths.values())[1].strip()
+    return Channel(model).decode(noisy)
 
 
 class Restorer:
-    """Words of a text with disguised words read through the channel; readings are kept per worker, within a bound."""
+    """Words of a text with disguised words read through the channel; readings of words are kept, within a bound."""
+
+    KEPT, LONGEST = 1 << 18, 64
 
     def __init__(self, model: np.ndarray):
-        self.read = lru_cache(maxsize=1 << 15)(lambda noisy: decode(noisy, model))
+        self.read = Channel(model).decode
+        self.known: dict[str, str] = {}
+
+    def reading(self, token: str) -> str:
+        """The readings of a run without white space that is no plain word."""
+        found = " ".join([self.read(core) for core in _cores(token)])
+        if len(token) <= self.LONGEST:
+            if len(self.known) >= self.KEPT:
+                self.known.clear()
+            self.known[token] = found
+        return found
 
     def restored(self, text: str) -> str:
         """The text in lower case, followed by the readings of its disguised words."""
         text = text.lower()
-        readings = []
-        for token in sorted(set(text.split())):
-            if token.isalpha() and not _DOUBLE.search(token):
-                continue
-            readings += [self.read(core) for core in _cores(token)]
+        readings, known = [], self.known
+        for token in dict.fromkeys(text.split()):
+            found = known.get(token)
+            if found is None:
+                if token.isalpha() and not _DOUBLE.search(token):
+                    continue
+                found = self.reading(token)
+            if found:
+                readings.append(found)
         if _ALONE.search(text):
             readings += [self.read(re.sub(r"[\s,;:/\\]+", " ", m[0])) for m in _SPACED.finditer(text) if any(c.isalpha() for c in m[0])]
         if not text.isascii():
@@ -179,9 +293,33 @@ class Restorer:
         return " ".join([text, *readings])
 
 
+_RESTORERS: dict[str, Restorer] = {}
+
+
+def restorer_for(name: str, model: np.ndarray) -> Restorer:
+    """The restorer of a worker: it outlives tasks, so that words are read once a worker and not once a task."""
+    if name not in _RESTORERS:
+        _RESTORERS.clear()
+        _RESTORERS[name] = Restorer(model)
+    return _RESTORERS[name]
+
+
+def name_of(model: np.ndarray) -> str:
+    return hashlib.sha256(model.tobytes()).hexdigest()
+
+
+def _without_runs(token: str) -> str:
+    """``token`` without three or more equal signs at its start or end."""
+    for strip, at in ((str.lstrip, 0), (str.rstrip, -1)):
+        if token and not (token[at].isalnum() or token[at] == "_" or token[at].isspace()):
+            left = strip(token, token[at])
+            token = left if len(token) - len(left) >= 3 else token
+    return token
+
+
 def _cores(token: str) -> list[str]:
     """What is read of a run without white space: without the punctuation at its edges, and also with edge signs that can be letters."""
-    narrow = _RUN_AT_EDGE.sub("", token.lstrip(_EDGE).rstrip(_EDGE + "!")).strip(_EDGE).rstrip("!")
+    narrow = _without_runs(token.lstrip(_EDGE).rstrip(_EDGE + "!")).strip(_EDGE).rstrip("!")
     wide = token.strip(_PLAIN_EDGE)
     made = [narrow] if wide.rstrip("!") == narrow else [narrow, wide]
     return [core for core in made if len(core) >= 3 and not (core.isalpha() and not _DOUBLE.search(core)) and not _ADDRESS.search(core) and any(c.isalpha() for c in core)]
@@ -247,13 +385,13 @@ def _fitted(table: pa.Table) -> pa.Table:
 
 def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = SAMPLE):
     """Kept feature hashes and the linear model."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), name_of(model)
     chosen = labelled_sample(labels, "toxic", FOLDS, HELD_OUT, sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), whole().alias("_t")).join(F.broadcast(chosen), "_id")
     texts = texts.groupBy("_id", "_o", "_y").agg(F.min("_t").alias("_t"))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(shared.value)
+        restorer = restorer_for(name, shared.value)
         for batch in _small(batches):
             rows = features([restorer.restored(t) for t in batch.column("_t").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("_o"), batch.column("_y"), pa.array([r.tobytes() for r in rows], pa.binary()),
@@ -281,11 +419,11 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     text_batches(docs.sparkSession)
     model = language_model(docs)
     kept, linear = train(docs, labels, model)
-    shared = docs.sparkSession.sparkContext.broadcast((model, kept, linear))
+    shared, name = docs.sparkSession.sparkContext.broadcast((model, kept, linear)), name_of(model)
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         costs_, known, fitted = shared.value
-        restorer = Restorer(costs_)
+        restorer = restorer_for(name, costs_)
         for batch in _small(batches):
             rows = []
             for own in features([restorer.restored(t) for t in batch.column("_t").to_pylist()]):

@@ -260,3 +260,46 @@ def test_disguised_words_are_selected(spark):
         assert seen, text
     read = {"idi07": "idiot", '"idio7."': "idiot", "s/t/u/p/i/d": "stupid", "s\tt\tu\tp\ti\td": "stupid", "s   t   u   p   i   d": "stupid"}
     assert {k: w for k, w in read.items() if w not in restorer.restored(f"so {k} really").split()} == {}
+
+
+def test_long_words_are_read_in_time(spark):
+    import string
+    import time
+
+    model = toxicity.language_model(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(4000))
+    rng = random.Random(1)
+    words = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(1_000_000)), " ".join(rng.choice("acgt") for _ in range(400_000)),
+             "a" + "." * 1_000_000 + "a", "ab" * 500_000, "0a1b2c" * 100_000]
+    for word in words:
+        start = time.process_time()
+        assert toxicity.Restorer(model).restored(word).startswith(word.lower())
+        assert time.process_time() - start < 10
+
+
+def plain_reading(noisy, model):
+    """Cheapest of all ways through the lattice, by trying every one."""
+    from itertools import groupby, product
+
+    best = None
+    for way in product(*[toxicity.choices(sign, len(list(run))) for sign, run in groupby(noisy)]):
+        cost, at = 0.0, 0
+        for letters, extra in [*way, (" ", 0.0)]:
+            cost += extra
+            for c in letters:
+                code = toxicity._code(c)
+                if code or at % toxicity.LETTERS:
+                    cost += float(model[at * toxicity.LETTERS + code])
+                    at = (at * toxicity.LETTERS + code) % toxicity.LETTERS**3
+        written = "".join(letters for letters, _ in way).strip()
+        best = min(best, (round(cost, 6), written)) if best else (round(cost, 6), written)
+    return best
+
+
+def test_readings_against_all_ways(spark, monkeypatch):
+    model = toxicity.language_model(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(4000))
+    monkeypatch.setattr(toxicity.Channel, "SETTLE", 2)  # settle often, so that short words go through it
+    rng = random.Random(8)
+    channel = toxicity.Channel(model)
+    for _ in range(400):
+        noisy = "".join(rng.choice("abcdeiostt0134578@$!. -") * rng.choice((1, 1, 1, 2, 3)) for _ in range(rng.randint(1, 8)))
+        assert channel.decode(noisy) == plain_reading(noisy, model)[1], noisy
