@@ -92,10 +92,10 @@ words AS (SELECT *, regexp_extract_all(text,'[^\x20\x09-\x0D]+') AS w,
 grams AS (SELECT doc_id, i, w[i:i+2] AS g FROM words, unnest(range(1, len(w)-1)) AS u(i)),
 twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1),
 reps AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i,i+1,i+2]) AS p FROM twice) GROUP BY doc_id),
-lines AS (SELECT doc_id, source, sha256(text) AS content, unnest(l) AS x FROM words),
-normal AS (SELECT doc_id, source, content, trim(regexp_replace(regexp_replace(lower(x),'[0-9]+','0','g'),'[\x20\x09-\x0D]+',' ','g'),' ') AS h,
+lines AS (SELECT doc_id, source, coalesce('i'||doc_id, 't'||sha256(text)) AS who, unnest(l) AS x FROM words),
+normal AS (SELECT doc_id, source, who, trim(regexp_replace(regexp_replace(lower(x),'[0-9]+','0','g'),'[\x20\x09-\x0D]+',' ','g'),' ') AS h,
   len(regexp_extract_all(x,'[^\x20\x09-\x0D]+')) AS n FROM lines),
-common AS (SELECT source, h, min(doc_id) AS first FROM normal GROUP BY source, h HAVING count(DISTINCT content) > 20),
+common AS (SELECT source, h, min(doc_id) AS first FROM normal GROUP BY source, h HAVING count(DISTINCT who) > 20),
 lost AS (SELECT n.doc_id, sum(n.n)::BIGINT AS n FROM normal n JOIN common c ON n.source IS NOT DISTINCT FROM c.source AND n.h = c.h
   WHERE n.doc_id <> c.first GROUP BY n.doc_id),
 counted AS (SELECT w.doc_id, len(w.w)::BIGINT AS n_words, length(regexp_replace(w.text,'[\x20\x09-\x0D]+','','g'))::BIGINT AS word_chars,
