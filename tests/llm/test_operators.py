@@ -303,3 +303,48 @@ def test_readings_against_all_ways(spark, monkeypatch):
     for _ in range(400):
         noisy = "".join(rng.choice("abcdeiostt0134578@$!. -") * rng.choice((1, 1, 1, 2, 3)) for _ in range(rng.randint(1, 8)))
         assert channel.decode(noisy) == plain_reading(noisy, model)[1], noisy
+
+
+COPIES = [(i, "\n".join(prose(700 + k, 12) for k in range(6)), "a") for i in range(30)] + [(100 + i, "\n".join(prose(720 + k, 9) for k in range(3)) + f"\nown {prose(730 + i, 5)}", "b") for i in range(4)]
+COPIES += [(None, "\n".join(prose(700 + k, 12) for k in range(6)), "a"), (200, "next page\nx", "b"), (201, None, "b"), (202, "", None)] + [(210 + i, f"next page\n{prose(740 + i, 60)} no {i}", "c") for i in range(6)]
+
+
+@pytest.mark.parametrize("name, made", [("op2_line_templates", line_templates.report), ("op8_line_frequency_rules", line_rules.judged)])
+def test_sql_twins_count_copies_by_their_id(spark, name, made):
+    import pandas as pd
+    from compare import rows_of
+
+    rows = [r for r in COPIES if name != "op2_line_templates" or r[0] is not None]  # the twin joins its counts by id
+    con = duckdb.connect()
+    documents = pd.DataFrame(rows, columns=["doc_id", "text", "source"]).astype({"doc_id": "Int64"})
+    con.register("documents", documents)
+    cur = con.execute(catalog.SQL[name])
+    got = made(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    want = rows_of([d[0] for d in cur.description], cur.fetchall())
+    if name == "op8_line_frequency_rules":  # null ids do not meet in the twin's joins
+        want, rows_ = [r for r in want if "∅" not in r], [tuple(r) for r in got.filter("doc_id is not null").collect()]
+    else:
+        rows_ = [tuple(r) for r in got.collect()]
+    assert rows_of(got.columns, rows_) == want
+
+
+def test_near_copies_are_kept_for_the_next_stage(spark):
+    lines = [prose(800 + k, 12) for k in range(8)]
+    license_ = prose(850, 60)
+
+    def changed(n, seed):
+        own = [line.split() for line in lines]
+        for k in range(n):
+            own[k % 8][5] = "".join(chr(97 + (seed * 8 + k) // 26**p % 26) for p in range(4))
+        return "\n".join(" ".join(w) for w in own)
+
+    rows = [(1, f"{license_}\n" + "\n".join(lines)), (2, f"{license_}\n" + changed(1, 1)), (3, f"{license_}\n" + changed(2, 2)), (4, f"{license_}\n{prose(870, 50)}"),
+            (5, f"{license_}\n{prose(871, 200)}"), (6, "\n".join(lines[:4]) + f"\n{prose(872, 90)}"), (0, f"{license_}\n{prose(873, 80)}")]
+    rows += [(100 + i, changed(1, 20 + i)) for i in range(700)]  # a hot partner
+    left = {r.doc_id: r.text for r in line_templates.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    assert left[0] == texts[0] and left[1] == "\n".join(lines) and left[4] == prose(870, 50) and left[5] == prose(871, 200) and left[6] == prose(872, 90)
+    # copies lose what the document that they copy has lost, and nothing else
+    assert left[2] == changed(1, 1) and left[3] == changed(2, 2) and all(left[100 + i] == changed(1, 20 + i) for i in range(700))
+    kept = near_dupes.deduplicated(spark.createDataFrame(list(left.items()), "doc_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == {0, 1, 4, 5, 6}
