@@ -33,6 +33,18 @@ def _parts(t, df, name: str, count: int):
     return path
 
 
+def _in_order(t, df, order: str, name: str, count: int):
+    """Rows written as files one after the other, each holding the next part of the range of ``order``."""
+    path = fresh_path(t.spark, name)
+    cuts = df.select(F.percentile_approx(order, F.array(*[F.lit((k + 1) / count) for k in range(count - 1)])).alias("c")).first()["c"]
+    bounds = [None, *(cuts or []), None]
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        part = df if low is None else df.filter(F.col(order) > F.lit(low))
+        part = part if high is None else part.filter(F.col(order) <= F.lit(high))
+        part.coalesce(1).write.mode("append").parquet(path)
+        yield path
+
+
 def _ran(t, writer, name: str):
     ingest.run_to_end(writer, fresh_path(t.spark, name + "-checkpoint"))
 
@@ -50,9 +62,9 @@ def _(t):
     path = _parts(t, rows.unionByName(again), "arrivals", 3)
     stored, keys = fresh_path(t.spark, "stored"), fresh_path(t.spark, "keys")
     stream = ingest.file_stream(t.spark, path, rows.schema, files_per_batch=1)
-    _ran(t, ingest.ingest(stream, stored, keys), "admission")
+    _ran(t, ingest.ingest(stream, stored, keys, parts=16, segments=3), "admission")
     # a new checkpoint starts its batch ids again and reads everything again: nothing is stored twice, nothing lost
-    _ran(t, ingest.ingest(stream, stored, keys, run="second"), "admission-again")
+    _ran(t, ingest.ingest(stream, stored, keys, parts=16, segments=3), "admission-again")
     return t.spark.read.parquet(stored).select("content_key")
 
 
@@ -98,20 +110,28 @@ _CACHE = """WITH RECURSIVE l AS MATERIALIZED (SELECT user_id, event_id, epoch_us
 
 @query("str6_cached_results", _CACHE)
 def _(t):
-    kind = F.col("event_type")
-    rows = _events(t).select(F.concat(F.lit("u"), "user_id").alias("email_hash"), F.col("event_id").alias("seq"), "ts", F.lit("RISKY").alias("status"),
-                             F.when(kind == "error", "dns_temporary").otherwise(kind).alias("reason"))
-    return _to_table(t, state.cached_results(rows), "cached").select("seq", "reason", "reused")
+    out, checkpoint = fresh_path(t.spark, "cached"), fresh_path(t.spark, "cached-checkpoint")
+    for path in _in_order(t, t.log, "ts", "checks", 3):  # three micro-batches, each after a restart
+        log = ingest.file_stream(t.spark, path, t.log.schema, files_per_batch=1)
+        kind = F.col("event_type")
+        rows = log.select(F.concat(F.lit("u"), "user_id").alias("email_hash"), F.col("event_id").alias("seq"), "ts", F.lit("RISKY").alias("status"),
+                          F.when(kind == "error", "dns_temporary").otherwise(kind).alias("reason"))
+        ingest.run_to_end(state.cached_results(rows).writeStream.format("parquet").option("path", out), checkpoint, timers=True)
+    return t.spark.read.schema(state.CACHE_OUT).parquet(out).select("seq", "reason", "reused")
 
 
 @query("str7_stream_sample", SAMPLE_SQL)
 def _(t):
     rows = captured(t)
     rows = rows.withColumn("pos", F.col("doc_id"))
-    path = _parts(t, rows, "captures", 1)
     out = fresh_path(t.spark, "sample")
-    _ran(t, state.sample_stream(ingest.file_stream(t.spark, path, rows.schema), out, 10), "sample")
-    return t.spark.read.schema(rows.schema).parquet(f"{out}/0").drop("pos")
+    cut = F.lit(rows.select(F.percentile_approx("pos", 0.66).alias("c")).first()["c"])
+    *_, path = _in_order(t, rows.filter(F.col("pos") <= cut), "pos", "captures", 2)
+    _ran(t, state.sample_stream(ingest.file_stream(t.spark, path, rows.schema, files_per_batch=1), out, 10), "sample")
+    # a new checkpoint is a new run and goes on from the sample of the first one
+    *_, path = _in_order(t, rows.filter((F.col("pos") > cut) | F.col("pos").isNull()), "pos", "later-captures", 1)
+    _ran(t, state.sample_stream(ingest.file_stream(t.spark, path, rows.schema), out, 10, run="second", after="sample"), "sample-again")
+    return t.spark.read.schema(rows.schema).parquet(state.last_table(t.spark, f"{out}/run=second")).drop("pos")
 
 
 @query("str9_reset_headers", "SELECT event_id, CAST(user_id*60 + 0.5 AS DOUBLE) AS reset_requests, CAST(user_id AS DOUBLE) AS remaining_tokens, CAST(CASE WHEN event_type='error' THEN 120.0 END AS DOUBLE) AS retry_after FROM events")
@@ -131,7 +151,7 @@ def _(t):
     stream = lambda: ingest.file_stream(t.spark, path, items.schema, files_per_batch=1)
     ingest.run_to_end(state.deliver_stream(stream(), out), checkpoint)
     ingest.run_to_end(state.deliver_stream(stream(), out), checkpoint)  # a restart finds nothing left to do
-    ingest.run_to_end(state.deliver_stream(stream(), out), fresh_path(t.spark, "replayed"))  # a full replay writes the same folders
+    ingest.run_to_end(state.deliver_stream(stream(), out, run="replay"), fresh_path(t.spark, "replayed"))  # a full replay delivers nothing again
     return t.spark.read.parquet(out).groupBy("tab").agg(F.count(F.lit(1)).alias("n"), F.sum("lead_id").alias("ids"))
 
 

@@ -12,6 +12,9 @@ from siftline.operators.admission import admit, new_keys, stored, with_record_ke
 from siftline.operators.matching import discovery_match
 from siftline.operators.ranking import rank_route
 from siftline.operators.scoring import rules_result
+from siftline.session import fresh_path
+from siftline.streaming.keystore import KeyStore
+from siftline.streaming.runs import removed, run_folder, subfolders
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int | None = None,
@@ -25,9 +28,23 @@ def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", fi
     return reader.load(path)
 
 
-def run_to_end(writer, checkpoint: str) -> StreamingQuery:
-    """Process everything there is, in limited batches, and stop."""
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def run_to_end(writer, checkpoint: str, timers: bool = False) -> StreamingQuery:
+    """Process everything there is, in limited batches, and stop.
+
+    State with timers of processing time asks for one more batch without end; with ``timers`` such empty batches are off for
+    this query, and timers fire with the batches that bring rows.
+    """
+    spark = SparkSession.active()
+    before = spark.conf.get(IDLE)
+    if timers:
+        spark.conf.set(IDLE, "false")
+    try:
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(IDLE, before)
     query.awaitTermination()
     return query
 
@@ -50,18 +67,18 @@ def daily_counts(stream: DataFrame, ts: str = "ts", late: str | None = None) ->
     return rows.select(F.to_date("w.start").alias("day"), "source", "name", "value")
 
 
-def write_updates(stream: DataFrame, path: str):
-    """Update-mode writer: the changed rows of a micro-batch go to a folder of its batch id."""
+def write_updates(stream: DataFrame, path: str, run: str = "updates"):
+    """Update-mode writer: the changed rows of a micro-batch go to a folder of its run and batch id."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{run_folder(batch, path, run, batch_id)}")
 
     return stream.writeStream.outputMode("update").foreachBatch(each)
 
 
 def latest_updates(spark: SparkSession, path: str, schema: str, keys: list[str]) -> DataFrame:
-    """Newest state per key from the folders of :func:`write_updates`."""
-    rows = spark.read.schema(schema + ", batch_id bigint").parquet(path)
-    values = [c for c in rows.columns if c not in keys and c != "batch_id"]
+    """Newest state per key from the folders of the one run of :func:`write_updates`."""
+    rows = spark.read.schema(schema + ", run string, batch_id bigint").parquet(path)
+    values = [c for c in rows.columns if c not in keys and c not in ("run", "batch_id")]
     newest = F.max_by(F.struct(*values), F.col("batch_id")).alias("_v")
     return rows.groupBy(*keys).agg(newest).select(*keys, "_v.*")
 
@@ -73,31 +90,32 @@ def scored_stream(records: DataFrame, book, as_of: Column) -> DataFrame:
     return scored.withColumn("ranking", rank_route(F.col("rules"), F.lit(False), book.policy))
 
 
-def ingest(stream: DataFrame, records_path: str, keys_path: str, order: str = "pos", run: str = "first", as_of: Column | None = None):
-    """STR-1: writer that admits every micro-batch against the key table and stores rows and keys.
+def ingest(stream: DataFrame, records_path: str, keys_path: str, order: str = "pos", run: str | None = None, as_of: Column | None = None,
+           parts: int = 256, words: int = 1024, segments: int = 64):
+    """STR-1: writer that admits every micro-batch against the key store and stores rows and keys.
 
-    Rows, then keys, go to a folder of the run and the batch id.  A batch that is run again after a failure overwrites
-    its own folders and never reads its own keys, so it stores the same rows once.  Batch ids start again with a new
-    checkpoint: such a run needs a ``run`` of its own, and reads the keys of all others.  ``as_of`` dates the keys;
-    without it they carry the start of the writer.
+    Rows, then keys, go to the folder of the run and the batch id.  A batch that is run again after a failure replaces
+    what it wrote and never reads its own keys, so it stores the same rows once.  A run is named after its stream unless
+    ``run`` names it; a new checkpoint under an old name is refused.  ``as_of`` dates the keys; without it they carry the
+    start of the writer.  The store is compacted when it has ``segments`` of them.
     """
     stamp = as_of if as_of is not None else F.lit(datetime.now(timezone.utc))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        keyed = with_record_keys(batch)
-        earlier = None
-        try:
-            earlier = spark.read.schema("key string, created_at timestamp, run string, batch_id bigint").parquet(keys_path)
-            earlier = earlier.filter((F.col("run") != run) | (F.col("batch_id") < batch_id)).drop("run")
-        except Exception as exc:  # no batch has stored a key yet
-            if "PATH_NOT_FOUND" not in str(exc):
-                raise
-        folder = f"run={run}/batch_id={batch_id}"
-        verdicts = admit(keyed, earlier, order)
-        rows = stored(keyed, verdicts, order)
+        folder = run_folder(batch, records_path, run, batch_id)
+        name = folder.split("/")[0].removeprefix("run=")
+        store = KeyStore(spark, keys_path, parts, words)
+        arrived = fresh_path(spark, "arrived")
+        with_record_keys(batch).write.parquet(arrived)
+        keyed = spark.read.parquet(arrived)
+        earlier = store.known(keyed.select(F.explode(F.array("record_key", "content_key")).alias("key")), name, batch_id)
+        rows = stored(keyed, admit(keyed, earlier, order), order)
         rows.write.mode("overwrite").parquet(f"{records_path}/{folder}")
         kept = spark.read.schema(rows.schema).parquet(f"{records_path}/{folder}")
-        new_keys(kept, stamp).write.mode("overwrite").parquet(f"{keys_path}/{folder}")
+        store.add(new_keys(kept, stamp), name, batch_id)
+        if len(subfolders(spark, f"{keys_path}/keys")) >= segments:
+            store.compacted()
+        removed(spark, arrived)
 
     return stream.writeStream.foreachBatch(each)
