@@ -7,15 +7,19 @@ later row can still win with the other key.  The exact distributed form used her
 * a row that shares a key with a kept row is dropped;
 * everything else waits for the next round.
 
+Rounds alone would follow a chain (each row shares one key with the row before and the other with the row after) link by
+link.  From the third round on chains are contracted: a row that is the earliest on one key and the second on the other
+has exactly one row before it and is kept if and only if that one is not.  Pointers to it are doubled until they end at a row
+that is kept in this round (its distance then decides) or at one that still waits for several others.
+
 Only narrow rows (order and keys) take part.  Every round starts from a written table, per-key minima are
-combined map-side, and hot keys are split off by :func:`siftline.operators.keys.attach`.
+combined map-side, and hot keys are split off by :func:`siftline.operators.keys.attach`.  No step gathers rows in one task.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siftline.functions.text import canonical_text, digest, keyed
@@ -23,10 +27,8 @@ from siftline.operators.keys import attach, first_by
 from siftline.operators.pin import pinned
 from siftline.session import durable
 
-# After this many rounds a rest that was counted and is below the bound is finished in one ordered
-# pass; a larger rest goes on in rounds.
+# Rounds without contraction: most rows are decided in them, and chains only show in what is left.
 PATIENCE = 2
-REST_BOUND = 200_000
 
 
 def with_record_keys(records: DataFrame) -> DataFrame:
@@ -37,26 +39,30 @@ def with_record_keys(records: DataFrame) -> DataFrame:
             .withColumn("identity_hash", digest(F.concat_ws(":", "source", "identity"))))
 
 
-def _finish(pool: DataFrame, order: str, keys: list[str]) -> DataFrame:
-    """Ordered pass over a rest whose size was checked."""
-    def run(batches):
-        taken: list[set] = [set() for _ in keys]
-        for part in batches:
-            wins = []
-            for values in part[keys].itertuples(index=False):
-                free = all(v not in t for v, t in zip(values, taken))
-                if free:
-                    for v, t in zip(values, taken):
-                        t.add(v)
-                wins.append(free)
-            yield part[pd.Series(wins, index=part.index, dtype=bool)]
-
-    columns = [order, *keys]
-    return pool.select(*columns).repartition(1).sortWithinPartitions(order).mapInPandas(run, pool.select(*columns).schema)
+def _contracted(marked: DataFrame, order: str, keys: list[str], total: int) -> DataFrame:
+    """Orders of the rows that are kept because an even number of links leads from them to a winner of this round."""
+    staged = marked
+    for i, key in enumerate(keys):
+        second = marked.filter(F.col(order) > F.col(f"_m{i}")).groupBy(key).agg(F.min(order).alias(f"_s{i}"), F.count(F.lit(1)).alias("n"))
+        staged = attach(staged, second, key, total)
+    pred = F.lit(None)
+    for i in range(len(keys)):
+        others = [F.col(order) == F.col(f"_m{k}") for k in range(len(keys)) if k != i]
+        pred = F.when(reduce(lambda a, b: a & b, [F.col(order) == F.col(f"_s{i}"), *others]), F.col(f"_m{i}")).otherwise(pred)
+    links = durable(staged.select(F.col(order).alias("_row"), pred.alias("_to"), F.lit(True).alias("_odd")).filter(F.col("_to").isNotNull()), "links")
+    while True:
+        ahead = links.select(F.col("_row").alias("_to"), F.col("_to").alias("_next"), F.col("_odd").alias("_more"))
+        joined = links.join(ahead, "_to", "left")
+        links = durable(joined.select("_row", F.coalesce("_next", "_to").alias("_to"), (F.col("_odd") != F.coalesce("_more", F.lit(False))).alias("_odd"),
+                                      F.col("_next").isNotNull().alias("_moved")), "links")
+        if not links.filter("_moved").limit(1).count():
+            break
+        links = links.drop("_moved")
+    winners = marked.filter("_win").select(F.col(order).alias("_to"))
+    return links.filter("NOT _odd").join(winners, "_to", "left_semi").select(F.col("_row").alias(order))
 
 
-def greedy_claims(rows: DataFrame, order: str, keys: list[str], patience: int = PATIENCE,
-                  rest_bound: int = REST_BOUND) -> DataFrame:
+def greedy_claims(rows: DataFrame, order: str, keys: list[str], patience: int = PATIENCE) -> DataFrame:
     """Rows ``(order, *keys)`` kept by all-or-nothing claims taken in ``order`` (any sortable column)."""
     # later repeats of the same key combination can never win
     pool = durable(rows.groupBy(*keys).agg(F.min(order).alias(order)), "pool")
@@ -64,9 +70,6 @@ def greedy_claims(rows: DataFrame, order: str, keys: list[str], patience: int =
     rounds = 0
     total = pool.count()
     while total:
-        if rounds >= patience and total <= rest_bound:
-            kept.append(durable(_finish(pool, order, keys), "rest"))
-            break
         marked = pool
         for i, key in enumerate(keys):
             least = pool.groupBy(key).agg(F.min(order).alias(f"_m{i}"), F.count(F.lit(1)).alias("n"))
@@ -75,7 +78,11 @@ def greedy_claims(rows: DataFrame, order: str, keys: list[str], patience: int =
         wins = reduce(lambda a, b: a & b, [F.col(order) == F.col(f"_m{i}") for i in range(len(keys))])
         marked = durable(marked.withColumn("_win", wins), "marked")
         winners = marked.filter("_win")
+        if rounds >= patience:
+            more = marked.join(_contracted(marked, order, keys, total), order, "left_semi")
+            winners = durable(winners.unionByName(more), "winners")
         kept.append(winners.select(order, *keys))
+        # winners share no key with each other, so there is at most one per key
         waiting = marked.filter("NOT _win").select(order, *keys)
         for i, key in enumerate(keys):
             taken = winners.select(key, F.lit(True).alias(f"_t{i}"), F.col(f"_n{i}").alias("n"))

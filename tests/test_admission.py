@@ -31,15 +31,30 @@ def test_rounds_equal_the_fold(spark, seed):
     n, span = rng.randrange(2, 60), rng.randrange(2, 14)
     rows = [(i, f"a{rng.randrange(span)}", f"b{rng.randrange(span)}") for i in range(n)]
     assert run(spark, rows, patience=99) == fold(rows)  # rounds only
-    assert run(spark, rows, patience=0) == fold(rows)  # ordered pass only
+    assert run(spark, rows, patience=0) == fold(rows)  # chains are contracted in every round
     assert run(spark, rows, patience=1) == fold(rows)
 
 
-def test_long_alternating_chain(spark):
-    rows = []
-    for i in range(12):
-        rows.append((i, f"k{(i + 1) // 2}", f"m{i // 2}"))
-    assert run(spark, rows, patience=99) == fold(rows) == run(spark, rows)
+def chain(n, first=0, name=""):
+    return [(first + i, f"k{name}{(i + 1) // 2}", f"m{name}{i // 2}") for i in range(n)]
+
+
+def test_long_alternating_chains(spark):
+    rows = chain(10_000)
+    rng = random.Random(4)
+    for c in range(30):  # shorter ones, some of which hang on others
+        rows += chain(rng.randrange(2, 60), 10_000 + 100 * c, f"-{c}-" if c % 3 else "")
+    assert run(spark, rows) == fold(rows)
+    assert run(spark, chain(12), patience=99) == fold(chain(12))  # link by link
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_chains_in_reverse_and_shuffled_order(spark, seed):
+    rng = random.Random(seed)
+    links = [(a, b) for _, a, b in chain(300)]
+    order = list(range(300))[::-1] if seed == 0 else rng.sample(range(300), 300)
+    rows = [(o, a, b) for o, (a, b) in zip(order, links)]
+    assert run(spark, rows, patience=0) == fold(rows) == run(spark, rows)
 
 
 def test_hot_keys_take_their_own_join(spark, monkeypatch):
