@@ -17,21 +17,25 @@ AS_OF = "2024-02-01 00:00:00"
 KEYWORDS = {
     "products": {"MOTOR": ["of the", "in the"], "HOME": ["de la", "der"], "CONTENTS": ["la"], "TRAVEL": ["the"]},
     "signals": {
-        "quote": ["that", "to the"], "recommendation": ["this", "est"], "switch": ["was"], "premium": ["by"],
-        "vehicle": ["with"], "property": ["sur", "mit"], "broker_request": ["una", "is the"],
-        "south_africa": ["en", "thon"], "broker": ["thth the", "eau"], "seller": ["thnt the"], "job": ["ther is"],
-        "solicitation": ["es"],
+        "asks": ["that", "to the"], "hints": ["this", "est"], "moves": ["was"], "costs": ["by"],
+        "wheels": ["with"], "walls": ["sur", "mit"], "wants_agent": ["una", "is the"],
+        "nearby": ["en", "thon"], "agent": ["thth the", "eau"], "trader": ["thnt the"], "vacancy": ["ther is"],
+        "pitch": ["es"],
     },
     "relevance_terms": ["is", "le", "a"],
 }
 SCORING = {
-    "weights": {"quote": 35, "recommendation": 30, "switch": 25, "premium": 20, "vehicle": 15, "property": 15,
-                "broker_request": 30, "south_africa": 15, "broker": -60, "seller": -80, "job": -50},
+    "weights": {"asks": 33, "hints": 28, "moves": 24, "costs": 22, "wheels": 14, "walls": 17,
+                "wants_agent": 31, "nearby": 18, "agent": -55, "trader": -75, "vacancy": -45},
+    "location_signal": "nearby",
     "source_weights": {"src1": 5, "src2": -5},
-    "negative_signals": ["broker", "seller", "job"],
+    "negative_signals": ["agent", "trader", "vacancy"],
+    "negative_overrides": {"agent": "wants_agent"},
+    "review_only_signals": ["wants_agent", "pitch"],
+    "ranking": {"semantic_review": {"intent_signals": ["asks", "hints", "moves", "wants_agent"]}},
     "target_products": ["MOTOR", "HOME", "CONTENTS"],
     "business_contact": {"sources": ["src7"], "product_type": "BUSINESS_CONTACT", "max_age_days": 400, "score": 50,
-                         "rank_score": 5.0, "tld": "com", "reject_signals": ["broker"], "reject_terms": ["thha", "and of"],
+                         "rank_score": 5.0, "tld": "com", "reject_signals": ["agent"], "reject_terms": ["thha", "and of"],
                          "reject_label": "trade"},
 }
 LOOKUPS = {
@@ -192,15 +196,15 @@ CTES = {
     "scored": (["consumer"], f"""SELECT pos, source, identity, url, text, mtext, published_at,
         CASE WHEN biz THEN {_BIZ['score']} ELSE score END AS score,
         CASE WHEN biz THEN 'BUSINESS_CONTACT' ELSE product END AS product_type,
-        CASE WHEN biz THEN list_concat(list_concat(['business_contact'], CASE WHEN national THEN ['south_africa'] ELSE [] END), hits) ELSE signals END AS signals,
+        CASE WHEN biz THEN list_concat(list_concat(['business_contact'], CASE WHEN national THEN ['nearby'] ELSE [] END), hits) ELSE signals END AS signals,
         CASE WHEN biz THEN len(hits) > 0 OR NOT national OR {_DAYS} > {_BIZ['max_age_days']} OR {_DAYS} < -1
           ELSE (product='UNKNOWN' AND NOT relevance) OR negative OR {_DAYS} > {_P['max_age_days']} OR {_DAYS} < -1 OR score < {_P['discard_below']} END AS rejected,
-        CASE WHEN biz THEN false ELSE score >= {_P['accept_without_llm_above']} AND product <> 'UNKNOWN' AND list_contains(signals,'south_africa') END AS confident,
-        CASE WHEN biz THEN CASE WHEN national THEN 'email_domain' END WHEN list_contains(signals,'south_africa') THEN 'post' END AS geography_evidence,
+        CASE WHEN biz THEN false ELSE score >= {_P['accept_without_llm_above']} AND product <> 'UNKNOWN' AND list_contains(signals,'nearby') END AS confident,
+        CASE WHEN biz THEN CASE WHEN national THEN 'email_domain' END WHEN list_contains(signals,'nearby') THEN 'post' END AS geography_evidence,
         CASE WHEN biz THEN [] ELSE conflicting END AS conflicting_signals
         FROM (SELECT *, source='src7' AS biz, regexp_matches(mtext,'@[a-z0-9.-]+\\.com(?:[^\\p{{L}}\\p{{N}}_.-]|$)') AS national,
-          {compact(["CASE WHEN list_contains(signals,'broker') THEN 'broker' END", f"CASE WHEN {hit('mtext', _BIZ['reject_terms'])} THEN 'trade' END"])} AS hits FROM consumer)"""),
-    "gated": (["scored"], f"""SELECT *, product_type IN ('MOTOR','HOME','CONTENTS') AS on_target, list_contains(signals,'south_africa') AS placed,
+          {compact(["CASE WHEN list_contains(signals,'agent') THEN 'agent' END", f"CASE WHEN {hit('mtext', _BIZ['reject_terms'])} THEN 'trade' END"])} AS hits FROM consumer)"""),
+    "gated": (["scored"], f"""SELECT *, product_type IN ('MOTOR','HOME','CONTENTS') AS on_target, list_contains(signals,'nearby') AS placed,
         product_type='BUSINESS_CONTACT' AS biz FROM scored"""),
     "valued": (["gated"], f"SELECT *, {_rank_value('1.0')} AS value FROM gated"),
     "ranked": (["valued"], f"""SELECT *, CASE WHEN biz THEN 5.0 ELSE value END AS rank_score,

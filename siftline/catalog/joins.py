@@ -304,7 +304,7 @@ def _(t):
     return out.select("lead_id", "website", "delivered_email", "delivered_role", "best_email", F.col("other_mailboxes").alias("others"), "status")
 
 
-_PLACE_TERMS = KEYWORDS["signals"]["south_africa"]
+_PLACE_TERMS = KEYWORDS["signals"]["nearby"]
 
 
 @query("jn21_rebuilt_place", f"SELECT conv_id, turn, {hit('left(' + redact_sql('translate(' + canon('text') + chr(44) + quote('‘’‛ʼ') + chr(44) + quote(chr(39) * 4) + ')') + ',2000)', _PLACE_TERMS)} AS placed FROM conversations WHERE role='user'")

@@ -200,7 +200,7 @@ def _(t):
 
 
 @query("rul1_phrases_of_benchmark", r"""WITH w AS (SELECT item_id, string_split(trim(regexp_replace(replace(lower(text),'ß','ss'),'[^\p{L}\p{N}_]+',' ','g')),' ') AS l FROM benchmark),
-    p AS (SELECT DISTINCT l[1]||' '||l[2] AS term FROM w WHERE len(l) >= 2), d AS (SELECT conv_id, turn, regexp_split_to_array(REPLACETEXT,'[^\p{L}\p{N}_ ]+') AS runs FROM conversations),
+    p AS (SELECT DISTINCT unnest(list_transform(range(1, len(l)), lambda i: l[i]||' '||l[i+1])) AS term FROM w WHERE len(l) >= 2), d AS (SELECT conv_id, turn, regexp_split_to_array(REPLACETEXT,'[^\p{L}\p{N}_ ]+') AS runs FROM conversations),
     r AS (SELECT conv_id, turn, unnest(list_transform(runs, lambda r: list_filter(string_split(r,' '), lambda x: x <> ''))) AS ws FROM d),
     g AS (SELECT DISTINCT conv_id, turn, unnest(list_transform(range(1, greatest(len(ws),1)), lambda i: ws[i]||' '||ws[i+1])) AS term FROM r)
     SELECT conv_id, turn, count(*) AS hits FROM g JOIN p USING (term) GROUP BY 1,2""".replace("REPLACETEXT", canon("text")))
@@ -221,8 +221,8 @@ def _(t):
 
 
 _BIO = f"""bios AS (SELECT 'u'||conv_id AS identity, text AS bio FROM conversations WHERE turn=(SELECT min(turn) FROM conversations)),
-    b AS MATERIALIZED (SELECT c.*, coalesce(bio,'') AS bio, {hit("left(translate(" + canon('bio') + ", '‘’‛ʼ', ''''''''''),2000)", KEYWORDS['signals']['south_africa'])} AS bio_hit FROM signalled c LEFT JOIN bios USING (identity)),
-    x AS (SELECT *, NOT list_contains(posted,'south_africa') AND bio_hit AS from_bio FROM b)"""
+    b AS MATERIALIZED (SELECT c.*, coalesce(bio,'') AS bio, {hit("left(translate(" + canon('bio') + ", '‘’‛ʼ', ''''''''''),2000)", KEYWORDS['signals']['nearby'])} AS bio_hit FROM signalled c LEFT JOIN bios USING (identity)),
+    x AS (SELECT *, NOT list_contains(posted,'nearby') AND bio_hit AS from_bio FROM b)"""
 
 
 def with_bio(t):
@@ -234,8 +234,8 @@ def with_bio(t):
     return with_bios(t.records, first.select(F.concat(F.lit("u"), "conv_id").alias("identity"), "bio"), limit=None)
 
 
-@query("rul3_signals_with_bio", "SELECT pos, array_to_string(CASE WHEN from_bio THEN list_concat(signals,['south_africa']) ELSE signals END,'|') AS signals, "
-       "CASE WHEN list_contains(posted,'south_africa') THEN 'post' WHEN from_bio THEN 'profile_bio' END AS evidence FROM x WHERE source <> 'src7'", ctes="signalled", more=_BIO)
+@query("rul3_signals_with_bio", "SELECT pos, array_to_string(CASE WHEN from_bio THEN list_concat(signals,['nearby']) ELSE signals END,'|') AS signals, "
+       "CASE WHEN list_contains(posted,'nearby') THEN 'post' WHEN from_bio THEN 'profile_bio' END AS evidence FROM x WHERE source <> 'src7'", ctes="signalled", more=_BIO)
 def _(t):
     rows = scoring.rules_result(with_bio(t), _B, AS_OF).filter("source <> 'src7'")
     return rows.select("pos", _list("rules.signals").alias("signals"), F.col("rules.geography_evidence").alias("evidence"))
@@ -270,7 +270,7 @@ def _(t):
 
 @query("rul9_business_score", f"""WITH c AS (SELECT doc_id, source, {canon('text')} AS mtext FROM (SELECT doc_id, source, 'Business website. Contact: info@shop'||doc_id||CASE WHEN lang='en' THEN '.com' ELSE '.org' END
     ||CASE WHEN n_chars % 3 = 0 THEN ' thha' ELSE '' END AS text FROM documents))
-    SELECT doc_id, 50 AS score, 'BUSINESS_CONTACT' AS product, array_to_string(list_concat(list_concat(['business_contact'], CASE WHEN mtext LIKE '%.com%' THEN ['south_africa'] ELSE [] END),
+    SELECT doc_id, 50 AS score, 'BUSINESS_CONTACT' AS product, array_to_string(list_concat(list_concat(['business_contact'], CASE WHEN mtext LIKE '%.com%' THEN ['nearby'] ELSE [] END),
       CASE WHEN mtext LIKE '% thha' THEN ['trade'] ELSE [] END),'|') AS signals, mtext NOT LIKE '%.com%' OR mtext LIKE '% thha' AS rejected FROM c""")
 def _(t):
     made = F.concat(F.lit("Business website. Contact: info@shop"), "doc_id", F.when(F.col("lang") == "en", ".com").otherwise(".org"),
@@ -295,7 +295,7 @@ def _(t):
     return _ranked(t).select("pos", "ranking.hard_gates.*", "ranking.review_route")
 
 
-@query("rul13_business_route", "SELECT pos, CASE WHEN list_contains(signals,'south_africa') AND NOT rejected THEN 'DIRECT_FINAL' ELSE 'REJECT' END AS route, CAST(5.0 AS DOUBLE) AS rank_score FROM scored WHERE source='src7'", ctes="scored")
+@query("rul13_business_route", "SELECT pos, CASE WHEN list_contains(signals,'nearby') AND NOT rejected THEN 'DIRECT_FINAL' ELSE 'REJECT' END AS route, CAST(5.0 AS DOUBLE) AS rank_score FROM scored WHERE source='src7'", ctes="scored")
 def _(t):
     rows = _scored(t).filter("source = 'src7'").withColumn("ranking", ranking.rank_route(F.col("rules"), F.lit(True), _B.policy))
     return rows.select("pos", "ranking.route", "ranking.rank_score")

@@ -217,7 +217,7 @@ def _window_sql(term: str) -> str:
         (SELECT *, greatest(0, s-60) AS lo, least(length(x), e+60) AS hi FROM (SELECT {pre} AS s, {pre}+{n} AS e))) WHERE {found})"""
 
 
-_BIO = f"SELECT conv_id, turn, left({redact_sql('translate(' + canon('text') + chr(44) + quote('‘’‛ʼ') + chr(44) + quote(chr(39) * 4) + ')')},2000) AS x FROM conversations WHERE role='user'"
+_BIO = f"SELECT conv_id, turn, {redact_sql('translate(' + canon('text') + chr(44) + quote('‘’‛ʼ') + chr(44) + quote(chr(39) * 4) + ')')} AS x FROM conversations WHERE role='user'"
 
 
 @query("txt24_place_window", f"SELECT * FROM (SELECT conv_id, turn, coalesce({_window_sql('en')}, {_window_sql('thon')}) AS place FROM ({_BIO})) WHERE place IS NOT NULL")

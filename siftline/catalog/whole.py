@@ -33,7 +33,7 @@ _CHAIN = f"""{_FACTS}, st AS MATERIALIZED (SELECT pos, identity_hash, text AS st
       FROM (SELECT pos, email, split_part(email,'@',1) AS local, split_part(email,'@',2) AS domain FROM (SELECT pos, unnest(regexp_extract_all(stored_text, '{EMAIL_SQL}')) AS email FROM ca)) x
       JOIN (SELECT DISTINCT split_part(email,'@',2) AS domain FROM (SELECT unnest(regexp_extract_all(stored_text, '{EMAIL_SQL}')) AS email FROM ca)) d ON d.domain=x.domain LEFT JOIN f ON f.domain=x.domain) GROUP BY pos),
     va AS MATERIALIZED (SELECT ca.*, CASE WHEN em.pos IS NULL AND biz THEN 'NO_CONTACT' WHEN em.pos IS NULL OR em.ok THEN 'CLASSIFY' WHEN em.tmp THEN 'VALIDATE' WHEN biz THEN 'CONTACT_REVIEW' ELSE 'CLASSIFY' END AS status FROM ca LEFT JOIN em USING (pos)),
-    de AS MATERIALIZED (SELECT va.*, CASE WHEN biz THEN CASE WHEN list_contains(signals,'south_africa') THEN 'FINALISE' ELSE 'REJECT' END WHEN route='DIRECT_FINAL' THEN 'FINALISE' WHEN route='SEMANTIC' AND e.event_type <> 'click' THEN 'WAIT'
+    de AS MATERIALIZED (SELECT va.*, CASE WHEN biz THEN CASE WHEN list_contains(signals,'nearby') THEN 'FINALISE' ELSE 'REJECT' END WHEN route='DIRECT_FINAL' THEN 'FINALISE' WHEN route='SEMANTIC' AND e.event_type <> 'click' THEN 'WAIT'
       WHEN route='SEMANTIC' AND user_id % 2 = 0 AND event_id % 101 >= 80 THEN 'FINALISE' WHEN route='DEFERRED' THEN 'DEFERRED' ELSE 'REJECT' END AS decision FROM va JOIN events e ON e.event_id=va.pos WHERE status='CLASSIFY')"""
 
 

@@ -30,7 +30,7 @@ HANDLE = f"(?<!{WORD})@{WORD}+"
 PHONE = rf"(?<!{WORD})\+?\p{{Nd}}(?:[\p{{Nd}}().-]|{SPACE}){{7,}}\p{{Nd}}"
 REDACTIONS = ((EMAIL, "[EMAIL]"), (LINK, "[URL]"), (HANDLE, "[HANDLE]"), (PHONE, "[PHONE]"))
 EXCERPT_LIMIT = 2000
-PLACE_REACH = 60
+PLACE_REACH, PLACE_LIMIT = 60, 200
 
 
 def text_or_empty(c: Column) -> Column:
@@ -109,11 +109,11 @@ def clean_label(c: Column, limit: int = 160) -> Column:
     return F.left(whole, F.lit(limit))
 
 
-def redact(c: Column, limit: int = EXCERPT_LIMIT) -> Column:
-    """TXT-10: contact details replaced by marks over the whole text, then cut."""
+def redact(c: Column, limit: int | None = EXCERPT_LIMIT) -> Column:
+    """TXT-10: contact details replaced by marks over the whole text, then cut; without a limit nothing is cut."""
     for pattern, mark in REDACTIONS:
         c = F.regexp_replace(c, pattern, mark)
-    return F.left(c, F.lit(limit))
+    return c if limit is None else F.left(c, F.lit(limit))
 
 
 def formula_safe(c: Column) -> Column:
@@ -147,42 +147,34 @@ def source_evidence(excerpt: Column, place_excerpt: Column, place_url: Column) -
     return F.when(place_excerpt.isNull(), F.left(text_or_empty(excerpt), F.lit(EXCERPT_LIMIT))).otherwise(with_place)
 
 
-def _window_around(text: str, start: int, end: int) -> str:
-    low, high = max(0, start - PLACE_REACH), min(len(text), end + PLACE_REACH)
-    if low > 0:
-        gap = text.find(" ", low, start)
-        low = gap + 1 if gap >= 0 else low
-    if high < len(text):
-        gap = text.rfind(" ", end, high)
-        high = gap if gap >= 0 else high
-    return text[low:high].strip()[:200]
+def _once(value: Column, make) -> Column:
+    """``make(value)`` with the value computed once, however often ``make`` uses it."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
 
 
 def place_window(bio: Column, terms: list[str]) -> Column:
-    """TXT-24: whole words around the first place term (in term order) of the redacted bio, else null."""
-    text = redact(matching_text(bio))
-    if not terms:
-        return F.lit(None).cast("string")
-    ordered = [unicodedata.normalize("NFKC", t).casefold() for t in terms]
+    """TXT-24: whole words around the first place term (in term order) of the whole redacted bio, else null."""
+    from siftline.functions.phrases import WORD, phrase_pattern
 
-    @F.pandas_udf(T.StringType())
-    def windows(values: pd.Series) -> pd.Series:
-        searches = [re.compile(rf"(?<!\w){re.escape(t)}(?!\w)") for t in ordered]
+    ordered = [unicodedata.normalize("NFKC", t).casefold() for t in terms]
+    if not ordered:
+        return F.lit(None).cast("string")
 
-        def first(value):
-            for search in searches:
-                spot = search.search(value)
-                if spot:
-                    return _window_around(value, *spot.span())
-            return None
+    def around(text: Column, term: str) -> Column:
+        # what stands before the first hit; its length is the place of the term
+        head = F.regexp_extract(text, f"(?s)^(.*?)(?<!{WORD}){re.escape(term)}(?!{WORD})", 1)
 
-        return values.map(first, na_action="ignore")
+        def cut(before: Column) -> Column:
+            after = F.substring(text, F.length(before) + F.lit(len(term) + 1), F.length(text))
+            near = F.right(before, F.lit(PLACE_REACH))
+            left = F.when(F.length(before) > PLACE_REACH, F.regexp_replace(near, "^[^ ]* ", "")).otherwise(near)
+            far = F.left(after, F.lit(PLACE_REACH))
+            right = F.when(F.length(after) > PLACE_REACH, F.regexp_replace(far, " [^ ]*$", "")).otherwise(far)
+            return F.left(F.trim(F.concat(left, F.lit(term), right)), F.lit(PLACE_LIMIT))
 
-    # only bios that hold a term reach Python; the hit test itself is a built-in
-    from siftline.functions.phrases import phrase_pattern
+        return F.when(text.rlike(phrase_pattern([term])), _once(head, cut))
 
-    hit = text.rlike(phrase_pattern(ordered))
-    return windows(F.when(hit, text))
+    return _once(redact(matching_text(bio), None), lambda text: F.coalesce(*[around(text, t) for t in ordered]))
 
 
 def decode_entities(c: Column) -> Column:
