@@ -363,6 +363,32 @@ def _(t):
     return out.select(F.col("candidate_id").alias("pos"), "route", "decision", "score")
 
 
+@query("rul17_second_look", """WITH c AS (SELECT r.pos, r.route, r.biz, f.email, f.identity_hash, f.id, f.c_nationkey FROM ranked r JOIN finals f ON f.candidate_id = r.pos),
+    l AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus='P' AND o_orderdate >= DATE '1995-06-01'),
+    j AS (SELECT c.*, email IS NOT NULL AND c.id IN (SELECT id FROM l) AS mailed, c_nationkey = 7 AS led FROM c)
+    SELECT pos, CASE WHEN email IS NULL AND biz THEN NULL WHEN led THEN 'identity_duplicates' WHEN mailed THEN 'email_duplicates' END AS duplicate,
+      CASE WHEN email IS NULL AND biz THEN 'VALIDATE' WHEN led OR mailed THEN 'REJECT' WHEN route='DIRECT_FINAL' OR (biz AND direct) THEN 'FINALISE' WHEN route='SEMANTIC' THEN 'WAIT' WHEN route='DEFERRED' THEN 'DEFERRED' ELSE 'REJECT' END AS decision,
+      CASE WHEN email IS NULL OR (mailed AND NOT (email IS NULL AND biz)) THEN 0 ELSE 1 END AS n_contacts
+    FROM (SELECT j.*, list_contains(s.signals,'nearby') AND NOT s.rejected AS direct FROM j JOIN scored s USING (pos))""", ctes="ranked finals")
+def _(t):
+    """Keys that were taken since the snapshot: addresses of some customers, identities of one nation."""
+    rows = _scored(t)
+    contact = F.struct("email", F.col("source_url"), F.lit(validation.USABLE).alias("status"), F.lit(AS_OF.replace(" ", "T") + "+00:00").alias("validated_at"))
+    none = F.array().cast("array<struct<email:string,source_url:string,status:string,validated_at:string>>")
+    people = t.finals.select(F.col("candidate_id").alias("pos"), "id", "email", "identity_hash", F.when(F.col("email").isNotNull(), F.array(contact)).otherwise(none).alias("contacts"))
+    cand = rows.join(people, "pos").select(F.col("pos").alias("candidate_id"), "identity_hash", "contacts", F.col("rules.product_type").alias("product_type"), F.col("rules.score").alias("score"))
+    late = t.orders.filter("o_orderstatus = 'P' AND o_orderdate >= '1995-06-01'").select(F.col("o_orderkey").alias("id"))
+    mailed = people.join(late, "id", "left_semi").filter("email IS NOT NULL").select(F.concat(F.lit("email:"), text.digest(F.col("email"))).alias("key"))
+    led = t.customer.filter("c_nationkey = 7").select(F.concat(F.lit("lead:"), F.sha2("c_name", 256)).alias("key"))
+    old = people.select(F.concat(F.lit("lead:"), "identity_hash").alias("key"))
+    table = mailed.unionByName(led).withColumn("created_at", as_of()).unionByName(old.withColumn("created_at", F.lit("2024-01-01").cast("timestamp")))
+    answers = t.spark.createDataFrame([], semantic_json(t).schema)
+    semantic = decisions.parse_semantic(answers).select(F.lit(0).cast("long").alias("candidate_id"), "semantic")
+    added = decisions.keys_since(table, F.lit("2024-01-15").cast("timestamp"))
+    out = decisions.decide(cand, rows.select(F.col("pos").alias("candidate_id"), "rules"), semantic, _B, as_of(), added=added)
+    return out.select(F.col("candidate_id").alias("pos"), "duplicate", "decision", F.size("contacts").alias("n_contacts"))
+
+
 @query("rul18_validation_stage", f"""WITH {_FACTS}, c AS (SELECT *, split_part(email,'@',2) AS domain, product_type='MOTOR' AS required FROM finals),
     v AS (SELECT c.*, {_VERDICT} AS reason, email IS NOT NULL AND c.id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus='P') AS claimed FROM c LEFT JOIN f USING (domain))
     SELECT id, CASE WHEN email IS NULL THEN 'no_contact_allowed' WHEN reason='syntax_and_mx_passed' AND NOT claimed THEN 'contacts_validated' WHEN reason='dns_temporary' AND NOT claimed THEN 'retry'
@@ -370,6 +396,10 @@ def _(t):
       CASE WHEN email IS NULL THEN 'CLASSIFY' WHEN reason='syntax_and_mx_passed' AND NOT claimed THEN 'CLASSIFY' WHEN reason='dns_temporary' AND NOT claimed THEN 'VALIDATE' WHEN claimed THEN 'REJECTED' ELSE 'CLASSIFY' END AS status,
       CASE WHEN email IS NOT NULL AND reason='dns_temporary' AND NOT claimed THEN 1 ELSE 0 END AS attempts FROM v""", ctes="finals")
 def _(t):
+    return _staged(t).select(F.col("candidate_id").alias("id"), "outcome", "status", "attempts")
+
+
+def _staged(t, rules=None):
     contact = F.struct(F.col("email").alias("email"), F.col("source_url").alias("source_url"))
     none = F.array().cast("array<struct<email:string,source_url:string>>")
     cand = t.finals.select(F.col("id").alias("candidate_id"), "identity_hash", "product_type", "score", F.lit(0).alias("attempts"), F.lit("VALIDATE").alias("status"),
@@ -378,8 +408,16 @@ def _(t):
     claimed = taken.select(F.concat(F.lit("email:"), text.digest(F.col("email"))).alias("key"))
     cache = t.spark.createDataFrame([], "email_hash string, status string, reason string, checked_at timestamp")
     checked = validation.checked_contacts(cand, claimed, cache, mx_facts(t), _B, as_of())
-    out = validation.validation_stage(cand, checked, _B, as_of())
-    return out.select(F.col("candidate_id").alias("id"), "outcome", "status", "attempts")
+    return validation.validation_stage(cand, checked, _B, as_of(), rules=rules)
+
+
+@query("rul18_stored_rank", f"""WITH {_FACTS}, c AS (SELECT *, split_part(email,'@',2) AS domain FROM finals),
+    v AS (SELECT c.*, {_VERDICT} AS reason, email IS NOT NULL AND c.id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus='P') AS claimed FROM c LEFT JOIN f USING (domain))
+    SELECT v.id, CASE WHEN r.pos IS NOT NULL AND (email IS NULL OR (reason='syntax_and_mx_passed' AND NOT claimed)) THEN r.rank_score ELSE 0.0 END AS rank_score
+    FROM v LEFT JOIN ranked r ON r.pos + 1 = v.id""", ctes="finals ranked")
+def _(t):
+    rules = _scored(t).select((F.col("pos") + 1).alias("candidate_id"), "rules")
+    return _staged(t, rules).select(F.col("candidate_id").alias("id"), "rank_score")
 
 
 @query("rul19_best_mailbox", """WITH m AS (SELECT c_custkey, c_nationkey % 4 AS k FROM customer) SELECT c_custkey,

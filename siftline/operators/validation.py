@@ -9,6 +9,7 @@ from siftline.functions.text import digest
 from siftline.functions.values import backoff
 from siftline.operators.keys import lookup
 from siftline.operators.pin import pinned
+from siftline.operators.ranking import rank_route
 
 FRESH_DAYS = 3
 USABLE = "DELIVERABLE_DOMAIN"
@@ -112,8 +113,12 @@ def checked_contacts(candidates: DataFrame, claimed: DataFrame, cache: DataFrame
         F.coalesce("cached_status", "status").alias("status"), F.coalesce("cached_reason", "reason").alias("reason"))
 
 
-def validation_stage(candidates: DataFrame, checked: DataFrame, book, as_of: Column, max_attempts: int = 5) -> DataFrame:
-    """RUL-18: next status, contacts, attempts and due time of every candidate, with the counter it adds to."""
+def validation_stage(candidates: DataFrame, checked: DataFrame, book, as_of: Column, max_attempts: int = 5, rules: DataFrame | None = None) -> DataFrame:
+    """RUL-18: next status, contacts, attempts and due time of every candidate, with the counter it adds to.
+
+    With ``rules`` ``(candidate_id, rules)`` the rank is stored as well: with a contact where one was validated, without one
+    where none is needed; otherwise ``rank_score`` stays what it was (0 without such a column).
+    """
     business = (book.policy.get("business_contact") or {}).get("product_type")
     company = F.col("product_type") == F.lit(business) if business else F.lit(False)
     required = company | F.lit(bool(book.policy["require_contact"]))
@@ -148,6 +153,12 @@ def validation_stage(candidates: DataFrame, checked: DataFrame, book, as_of: Col
         F.lit(None).cast("string").alias("validated_at")))
     attempts = F.when(F.col("outcome") == "retry", F.col("attempts") + 1).when(onward, F.lit(0)).otherwise(F.col("attempts"))
     due = F.when(F.col("outcome") == "retry", backoff(as_of, F.col("attempts") + 1, "minutes")).otherwise(as_of)
+    if rules is not None:
+        before = F.col("rank_score") if "rank_score" in candidates.columns else F.lit(0.0)
+        staged = pinned(staged.join(rules.select("candidate_id", F.col("rules").alias("_rules")), "candidate_id", "left"), _valid=F.col("outcome") == "contacts_validated")
+        ranked = F.when(F.col("outcome").isin("contacts_validated", "no_contact_allowed") & F.col("_rules").isNotNull(),
+                        rank_route(F.col("_rules"), F.col("_valid"), book.policy)["rank_score"])
+        staged = staged.withColumn("rank_score", F.coalesce(ranked, before)).drop("_rules", "_valid")
     return staged.withColumns({
         "status": status, "attempts": attempts.cast("int"), "available_at": due,
         "contacts": F.when(ok, strip).when(F.col("outcome") == "contact_dropped", F.slice(as_given, 1, 0)).otherwise(as_given),
@@ -157,6 +168,7 @@ def validation_stage(candidates: DataFrame, checked: DataFrame, book, as_of: Col
 def refreshed_cache(cache: DataFrame, checked: DataFrame, as_of: Column) -> DataFrame:
     """Validation cache after the stage: newly computed consumer results replace older rows."""
     fresh = (checked.filter(~F.col("claimed") & ~F.col("from_cache") & ~F.col("company"))
-             .select("email_hash", "status", "reason", as_of.alias("checked_at")).dropDuplicates(["email_hash"]))
+             .groupBy("email_hash").agg(F.min(F.struct("status", "reason")).alias("_r"))
+             .select("email_hash", "_r.status", "_r.reason", as_of.alias("checked_at")))
     kept = cache.select("email_hash", "status", "reason", "checked_at").join(fresh, "email_hash", "left_anti")
     return kept.unionByName(fresh)

@@ -55,8 +55,11 @@ def to_candidates(records: DataFrame, book, as_of, claimed: DataFrame, order: st
 
 
 def run(records: DataFrame, book, as_of, claimed: DataFrame, cache: DataFrame, mx: DataFrame, semantic: DataFrame,
-        order: str = "pos", max_attempts: int = 5) -> Funnel:
-    """Admission, rules, contacts, validation, decision and final claims for one batch of records."""
+        order: str = "pos", max_attempts: int = 5, added: DataFrame | None = None) -> Funnel:
+    """Admission, rules, contacts, validation, decision and final claims for one batch of records.
+
+    ``added`` has the keys that others claimed after ``claimed`` was read; it is looked at again before the decision.
+    """
     moment: Column = F.lit(as_of).cast("timestamp")
     keyed = with_record_keys(records)
     keyed = durable(keyed, "records")
@@ -65,14 +68,15 @@ def run(records: DataFrame, book, as_of, claimed: DataFrame, cache: DataFrame, m
     rules = candidates.select("candidate_id", "rules")
     waiting = candidates.drop("rules")
     checked = checked_contacts(waiting, claimed, cache, mx, book, moment)
-    validated = durable(validation_stage(waiting, checked, book, moment, max_attempts), "validated")
+    validated = durable(validation_stage(waiting, checked, book, moment, max_attempts, rules), "validated")
     due = validated.filter(F.col("status") == "CLASSIFY")
-    decided = durable(decide(due.drop("rank_score"), rules, semantic, book, moment), "decided")
+    decided = durable(decide(due, rules, semantic, book, moment, added=added), "decided")
     chosen = decided.filter(F.col("decision") == "FINALISE")
     business = (book.policy.get("business_contact") or {}).get("product_type")
     required = (F.col("product_type") == F.lit(business)) | F.lit(bool(book.policy["require_contact"])) if business else F.lit(
         bool(book.policy["require_contact"]))
-    won = finalise(chosen, claimed, required)
+    taken = claimed.select("key") if added is None else claimed.select("key").unionByName(added.select("key"))
+    won = finalise(chosen, taken, required)
     finals = chosen.drop("contacts").join(won, "candidate_id").withColumn(
         "validation_status", F.when(F.col("email").isNull(), "NO_EMAIL").otherwise("DELIVERABLE_DOMAIN"))
     finals = finals.withColumn("email_source_url", F.coalesce("email_source_url", "profile.profile_url"))

@@ -109,3 +109,33 @@ def test_results_do_not_depend_on_partitions(spark):
     rows = spark.createDataFrame([(i, f"s{i % 3}", t, datetime(2024, 1, 31)) for i, (_, t) in enumerate(ROWS)], "pos long, source string, text string, published_at timestamp")
     route = lambda n: sorted(map(tuple, funnel.score_and_route(rows.repartition(n), book(), "2024-02-01 00:00:00").select("pos", "ranking.route", "ranking.rank_score").collect()))
     assert route(1) == route(7)
+
+
+def test_keys_taken_meanwhile_are_seen_before_the_decision(spark):
+    from siftline.operators import decisions
+
+    first = run(spark, spark.createDataFrame([], "key string"))
+    due = first.validated.filter("status = 'CLASSIFY'")
+    assert due.filter("rank_score > 0").count() == due.count()  # stored by the validation
+    rules = first.candidates.select("candidate_id", "rules")
+    none = spark.createDataFrame([], first.decided.select("candidate_id", "semantic").schema)
+    moment = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    look = lambda added: {r.candidate_id: r for r in decisions.decide(due, rules, none, book(require_contact=True), moment, added=added).collect()}
+    before = look(spark.createDataFrame([], "key string"))
+    mailed = due.select("candidate_id", F.explode("contacts.email").alias("e")).orderBy("candidate_id").first()
+    led = due.filter(F.col("candidate_id") != mailed.candidate_id).orderBy(F.desc("candidate_id")).first()
+    from siftline.functions.text import digest
+
+    table = spark.createDataFrame([(mailed.e,)], "e string").select(F.concat(F.lit("email:"), digest(F.col("e"))).alias("key"), F.lit("2024-01-31").cast("timestamp").alias("created_at"))
+    table = table.unionByName(spark.createDataFrame([("lead:" + led.identity_hash,)], "key string").withColumn("created_at", F.lit("2024-01-31").cast("timestamp")))
+    seen = look(decisions.keys_since(table, F.lit("2024-01-30").cast("timestamp")))
+    assert (seen[mailed.candidate_id].decision, seen[mailed.candidate_id].duplicate, seen[mailed.candidate_id].contacts) == ("REJECT", "email_duplicates", [])
+    assert (seen[led.candidate_id].decision, seen[led.candidate_id].duplicate) == ("REJECT", "identity_duplicates")
+    others = [i for i in before if i not in (mailed.candidate_id, led.candidate_id) and mailed.e not in [c.email for c in before[i].contacts]]
+    assert others and all(seen[i].decision == before[i].decision != "REJECT" or before[i].decision == "REJECT" for i in others)
+    old = look(decisions.keys_since(table, F.lit("2024-02-01").cast("timestamp")))  # the snapshot had them already
+    assert {i: r.decision for i, r in old.items()} == {i: r.decision for i, r in before.items()}
+    # an address that is left decides with the rank on what is left
+    two = due.filter(F.col("candidate_id") == mailed.candidate_id).withColumn("contacts", F.concat("contacts", F.transform("contacts", lambda c: c.withField("email", F.lit("second@good.org")))))
+    left = decisions.decide(two, rules, none, book(require_contact=True), moment, added=decisions.keys_since(table, F.lit("2024-01-30").cast("timestamp"))).first()
+    assert [c.email for c in left.contacts] == ["second@good.org"] and left.duplicate is None and left.decision == before[mailed.candidate_id].decision
