@@ -304,7 +304,7 @@ _HYST = """m AS (SELECT *, CASE WHEN value >= 80 THEN true WHEN value <= 10 THEN
 
 @query("win8_hysteresis", "WITH " + _HYST + " SELECT event_id, coalesce(last_value(mark IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) AS draining FROM m")
 def _(t):
-    return timelines.hysteresis(t.log, "event_type", "ts", "value", 80, 10, chunk_seconds=86_400).select("event_id", "draining")
+    return timelines.hysteresis(t.log, "event_type", "ts", "value", 80, 10).select("event_id", "draining")
 
 
 _STREAK = """k AS (SELECT event_id, user_id, ts, event_type='error' AS bad, event_type <> 'signup' AS known FROM events), n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM k WHERE known),
@@ -315,7 +315,7 @@ _STREAK = """k AS (SELECT event_id, user_id, ts, event_type='error' AS bad, even
 @query("win9_consecutive_switch", "WITH " + _STREAK + " SELECT k.event_id, e.bad_run, coalesce(last_value(e.ev IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'cloud') AS mode FROM k LEFT JOIN e USING (event_id)")
 def _(t):
     bad = F.when(F.col("event_type") != "signup", F.col("event_type") == "error")
-    out = timelines.streak_state(t.log, "user_id", ["ts"], "ts", bad, 2, 3, chunk_seconds=86_400)
+    out = timelines.streak_state(t.log, "user_id", ["ts"], "ts", bad, 2, 3)
     return out.select("event_id", "bad_run", "mode")
 
 

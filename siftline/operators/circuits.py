@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siftline.functions.values import duration_seconds
 from siftline.operators.pin import pinned
-from siftline.operators.timelines import carry_last, running_count, with_chunk
+from siftline.operators.scans import streaks
 
 
 def with_observed_headers(log: DataFrame, headers: str = "headers") -> DataFrame:
@@ -23,18 +23,16 @@ def with_observed_headers(log: DataFrame, headers: str = "headers") -> DataFrame
 
 
 def circuit_states(calls: DataFrame, key: str, order: list[str], ts: str, ok: Column, mismatch: Column, threshold: int,
-                   cooldown_seconds: int) -> DataFrame:
+                   cooldown_seconds: int, pieces: int | None = None) -> DataFrame:
     """STR-13: failures in a row, openings and the open-until time after every call of a worker."""
     good = ok & ~mismatch
-    staged = with_chunk(calls, ts).withColumn("_good", good).withColumn("_mismatch", mismatch)
-    staged = running_count(staged, key, order, "_i")
-    staged = carry_last(staged, key, order, F.when(F.col("_good"), F.col("_i")), "_ok", initial=0)
-    staged = staged.withColumn("consecutive_failures", F.when(F.col("_good"), F.lit(0)).otherwise(F.col("_i") - F.col("_ok")))
-    opens = ~F.col("_good") & (F.col("_mismatch") | (F.col("consecutive_failures") >= threshold))
-    until = F.timestamp_micros(F.unix_micros(ts) + cooldown_seconds * 1_000_000)
-    staged = staged.withColumn("opens", opens)
-    staged = carry_last(staged, key, order, F.when(F.col("opens"), until), "open_until", initial=None)
-    return staged.drop("_good", "_mismatch", "_i", "_ok", "_chunk")
+    staged = calls.withColumn("_good", good).withColumn("_mismatch", mismatch)
+    code = F.when(F.col("_good"), 0).otherwise(1)
+    done = streaks(staged, key, order, code, threshold, forced=F.col("_mismatch"), payload=F.unix_micros(ts), pieces=pieces)
+    opens = ~F.col("_good") & (F.col("_mismatch") | (F.col("bad_run") >= threshold))
+    until = F.timestamp_micros(F.col("event_at") + cooldown_seconds * 1_000_000)
+    return done.withColumns({"consecutive_failures": F.col("bad_run"), "opens": opens, "open_until": until}).drop(
+        "_good", "_mismatch", "bad_run", "good_run", "event", "event_at")
 
 
 def worker_day(circuits: DataFrame, key: str, ts: str, ok: Column, mismatch: Column, items: Column) -> DataFrame:

@@ -1,15 +1,15 @@
-"""WIN-7..WIN-9, WIN-11, WIN-12, STR-11: ordered state over a log, split by key *and* time.
+"""WIN-7..WIN-9, WIN-11, WIN-12, STR-11: ordered state over a log.
 
-A plain window per key puts a whole series into one task.  Here a series is cut into chunks of time:
-each chunk is handled on its own, a small table of chunk summaries carries the state across, and the two
-are joined again.  A series that holds a third of the rows is thus spread over as many tasks as it has
-chunks.
+A plain window per key puts a whole series into one task.  Runs and the states that follow from them are segmented scans
+(:mod:`siftline.operators.scans`), cut by rows.  Rolling totals are windows over chunks of time, each with the rows that reach into it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from siftline.operators.scans import streaks
+
 CHUNK_SECONDS = 3600
 
 
@@ -17,30 +17,6 @@ def with_chunk(df: DataFrame, ts: str, seconds: int = CHUNK_SECONDS) -> DataFram
     return df.withColumn("_chunk", F.floor(F.unix_micros(F.col(ts)) / F.lit(seconds * 1_000_000)))
 
 
-def carry_last(df: DataFrame, key: str, order: list[str], value: Column, out: str, inclusive: bool = True,
-               initial=None) -> DataFrame:
-    """Last non-null ``value`` at or before each row.  Needs ``_chunk`` from :func:`with_chunk`."""
-    staged = df.withColumn("_v", value)
-    end = 0 if inclusive else -1
-    local = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    staged = staged.withColumn("_local", F.last("_v", ignorenulls=True).over(local))
-    summary = staged.groupBy(key, "_chunk").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order))).alias("_end"))
-    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(key, "_chunk", F.last("_end", ignorenulls=True).over(earlier).alias("_start"))
-    joined = staged.join(summary, [key, "_chunk"], "left")
-    return joined.withColumn(out, F.coalesce("_local", "_start", F.lit(initial))).drop("_v", "_local", "_start")
-
-
-def running_count(df: DataFrame, key: str, order: list[str], out: str) -> DataFrame:
-    """1-based number of each row in its series.  Needs ``_chunk``."""
-    local = Window.partitionBy(key, "_chunk").orderBy(*order)
-    sizes = df.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(key, "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    numbered = df.withColumn("_k", F.row_number().over(local)).join(sizes, [key, "_chunk"], "left")
-    return numbered.withColumn(out, F.col("_k") + F.col("_before")).drop("_k", "_before")
-
-
 def rolling_minute(log: DataFrame, key: str, ts: str, amounts: dict[str, Column], seconds: int = 60,
                    chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """WIN-7: totals over the open interval (t - seconds, t] per key.
@@ -62,46 +38,33 @@ def rolling_minute(log: DataFrame, key: str, ts: str, amounts: dict[str, Column]
 
 
 def hysteresis(samples: DataFrame, key: str, ts: str, value: str, high: float, low: float, out: str = "draining",
-               chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+               pieces: int | None = None) -> DataFrame:
     """WIN-8: on at or above ``high``, off at or below ``low``, unchanged between them."""
     if not low < high:
         raise ValueError("low threshold must be below the high one")
-    mark = F.when(F.col(value) >= high, F.lit(True)).when(F.col(value) <= low, F.lit(False))
-    return carry_last(with_chunk(samples, ts, chunk_seconds), key, [ts], mark, out, initial=False).drop("_chunk")
+    mark = F.when(F.col(value) >= high, 1).when(F.col(value) <= low, 0)
+    done = streaks(samples, key, [ts], mark, 1, 1, pieces=pieces)
+    return done.withColumn(out, F.coalesce(F.col("event") == 1, F.lit(False))).drop("bad_run", "good_run", "event", "event_at")
 
 
 def streak_state(samples: DataFrame, key: str, order: list[str], ts: str, bad: Column, to_bad: int, to_good: int,
-                 names: tuple[str, str] = ("cloud", "device"), chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+                 names: tuple[str, str] = ("cloud", "device"), pieces: int | None = None) -> DataFrame:
     """WIN-9: switch after ``to_bad`` bad samples in a row, back after ``to_good`` good ones.
 
     Samples whose ``bad`` is null are unknown: they keep the state and do not break a run.
     """
-    staged = with_chunk(samples, ts, chunk_seconds).withColumn("_bad", bad)
-    known = running_count(staged.filter(F.col("_bad").isNotNull()), key, order, "_i")
-    known = carry_last(known, key, order, F.when(F.col("_bad"), F.col("_i")), "_last_bad", initial=0)
-    known = carry_last(known, key, order, F.when(~F.col("_bad"), F.col("_i")), "_last_good", initial=0)
-    bad_run = F.when(F.col("_bad"), F.col("_i") - F.col("_last_good")).otherwise(0)
-    good_run = F.when(~F.col("_bad"), F.col("_i") - F.col("_last_bad")).otherwise(0)
-    event = F.when(bad_run >= to_bad, F.lit(names[1])).when(good_run >= to_good, F.lit(names[0]))
-    known = known.withColumn("bad_run", bad_run).withColumn("good_run", good_run).withColumn("_event", event)
-    columns = [*samples.columns, "_chunk", "bad_run", "good_run", "_event"]
-    unknown = staged.filter(F.col("_bad").isNull()).withColumns(
-        {"bad_run": F.lit(None).cast("bigint"), "good_run": F.lit(None).cast("bigint"), "_event": F.lit(None).cast("string")})
-    both = known.select(*columns).unionByName(unknown.select(*columns))
-    return carry_last(both, key, order, F.col("_event"), "mode", initial=names[0]).drop("_event", "_chunk")
-
-
-def failure_streak(runs: DataFrame, key: str, order: list[str], ts: str, failed: Column, limit: int) -> DataFrame:
+    done = streaks(samples.withColumn("_known", bad.isNotNull()), key, order, bad.cast("int"), to_bad, to_good, pieces=pieces)
+    return done.withColumns({"bad_run": F.when(F.col("_known"), F.col("bad_run")), "good_run": F.when(F.col("_known"), F.col("good_run")),
+                             "mode": F.when(F.col("event") == 1, F.lit(names[1])).otherwise(F.lit(names[0]))}).drop("_known", "event", "event_at")
+
+
+def failure_streak(runs: DataFrame, key: str, order: list[str], ts: str, failed: Column, limit: int, pieces: int | None = None) -> DataFrame:
     """WIN-11: failures in a row at each run, and whether the source is switched off by then.
 
     A source that reached the limit stays off: nothing in the log switches it on again.
     """
-    staged = with_chunk(runs, ts).withColumn("_failed", failed)
-    staged = running_count(staged, key, order, "_i")
-    staged = carry_last(staged, key, order, F.when(~F.col("_failed"), F.col("_i")), "_ok", initial=0)
-    staged = staged.withColumn("failures", F.when(F.col("_failed"), F.col("_i") - F.col("_ok")).otherwise(0))
-    staged = carry_last(staged, key, order, F.when(F.col("failures") >= limit, F.lit(True)), "disabled", initial=False)
-    return staged.drop("_failed", "_i", "_ok", "_chunk")
+    done = streaks(runs, key, order, failed.cast("int"), limit, pieces=pieces)
+    return done.withColumns({"failures": F.col("bad_run"), "disabled": F.col("event").isNotNull()}).drop("bad_run", "good_run", "event", "event_at")
 
 
 def heartbeat(beats: DataFrame, role: str, ts: str, ok: Column, as_of: Column, stall_seconds: float) -> DataFrame:

@@ -43,8 +43,8 @@ def test_switch_after_runs_in_a_row(spark):
     marks = "uhuhu" + "uuu" + "hh" + "h" + "?" + "hh" + "u?u?u"
     df = series(spark, marks)
     bad = F.when(F.col("m") != "?", F.col("m") == "u")
-    for seconds in (600, 1800, 10**6):
-        out = [r["mode"] for r in timelines.streak_state(df, "k", ["ts"], "ts", bad, 3, 3, chunk_seconds=seconds).orderBy("i").collect()]
+    for pieces in (1, 3, 16):
+        out = [r["mode"] for r in timelines.streak_state(df, "k", ["ts"], "ts", bad, 3, 3, pieces=pieces).orderBy("i").collect()]
         mode, b, g, want = "cloud", 0, 0, []
         for m in marks:
             if m != "?":
@@ -60,7 +60,7 @@ def test_hysteresis_and_rolling_totals_do_not_depend_on_chunks(spark):
     df = spark.createDataFrame(rows, "k string, i long, ts timestamp, v double")
     with pytest.raises(ValueError):
         timelines.hysteresis(df, "k", "ts", "v", 0.2, 0.2)
-    on = [{r.i: r.d for r in timelines.hysteresis(df, "k", "ts", "v", 0.8, 0.3, "d", chunk_seconds=c).collect()} for c in (500, 10**6)]
+    on = [{r.i: r.d for r in timelines.hysteresis(df, "k", "ts", "v", 0.8, 0.3, "d", pieces=c).collect()} for c in (9, 1)]
     assert on[0] == on[1]
     small = {r.i: r.n for r in timelines.rolling_minute(df, "k", "ts", {"n": F.lit(1)}, chunk_seconds=61).collect()}
     want = {i: sum(k2 == k and t - timedelta(seconds=60) < t2 <= t for k2, _, t2, _ in rows) for k, i, t, _ in rows}
@@ -74,3 +74,55 @@ def test_erasure_and_updates(spark):
     late = spark.createDataFrame([(1, "final", {"n": "2"}), (3, None, {"x": "y"})], "candidate_id long, outcome string, detail map<string,string>")
     out = {r.candidate_id: (r.outcome, r.priority, r.detail) for r in samples.update_samples(df, late).collect()}
     assert out == {1: ("final", 4, {"n": "2"}), 2: ("rejected", 0, {}), 3: ("candidate", 2, {"x": "y"})}
+
+
+def streak_fold(rows, to_bad, to_good):
+    """Plain pass over (key, order, code, forced): runs, last event and where it was."""
+    state, out = {}, {}
+    for key, i, code, forced in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1])):
+        b, g, kind, at = state.get(key, (0, 0, None, None))
+        if code == 1:
+            b, g = b + 1, 0
+            if b >= to_bad or forced:
+                kind, at = 1, i
+        elif code == 0:
+            b, g = 0, g + 1
+            if to_good and g >= to_good:
+                kind, at = 0, i
+        state[key] = out[i] = (b, g, kind, at)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_segmented_scan_equals_the_fold(spark, seed):
+    from siftline.operators.scans import streaks
+
+    rng = random.Random(seed)
+    stay = rng.choice([0.5, 0.9, 0.99])
+    rows, code = [], 0
+    for i in range(600):
+        code = code if rng.random() < stay else rng.choice([0, 1, None])
+        rows.append(("hot" if rng.random() < 0.7 else rng.choice(["a", "b", "z", None]), i, code, rng.random() < 0.03))
+    df = spark.createDataFrame(rows, "k string, i long, code int, f boolean")
+    to_bad, to_good = rng.choice([(1, 1), (3, 2), (40, None), (7, 60)])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 17)
+    try:
+        for pieces in (1, 5, 40):
+            done = streaks(df, "k", ["i"], F.col("code"), to_bad, to_good, forced=F.col("f"), payload=F.col("i"), pieces=pieces)
+            assert {r.i: (r.bad_run, r.good_run, r.event, r.event_at) for r in done.collect()} == streak_fold(rows, to_bad, to_good)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert streaks(df.limit(0), "k", ["i"], F.col("code")).count() == 0
+
+
+def test_scan_has_one_shuffle_of_rows(spark, monkeypatch):
+    from siftline.operators import scans
+
+    plans = []
+    keep = scans.durable
+    monkeypatch.setattr(scans, "durable", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), keep(df, name))[1])
+    df = series(spark, "uhuhuhhuuu")
+    out = timelines.streak_state(df, "k", ["ts"], "ts", F.col("m") == "u", 3, 3)
+    after = out._jdf.queryExecution().executedPlan().toString()
+    assert plans[0].count("Exchange") == 1 and "rangepartitioning" in plans[0] and "Window" not in plans[0] + after
+    assert after.count("Exchange hashpartitioning") == 0 and after.count("BroadcastExchange") <= 1
