@@ -272,7 +272,7 @@ def _(t):
     from siftline.operators.keys import positions
 
     rows = t.lineitem.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k")).distinct()
-    return positions(rows, "k", block=1 << 10, fan=1 << 4)
+    return positions(rows, "k")
 
 
 @query("win4_bucket_placement", "SELECT id, bucket, position, tab, row FROM placed", ctes="placed")

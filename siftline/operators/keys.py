@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from siftline.session import durable
+
 # A key is hot above this share of the rows, so there are at most 1 / HOT_SHARE hot keys: that bound
 # is what makes their broadcast safe whatever the size of the data.
 HOT_SHARE = 0.001
@@ -34,27 +36,24 @@ def first_by(df: DataFrame, keys: list[str], order: list[str], carry: list[str])
     return df.groupBy(*keys).agg(picked.alias("_first")).select(*keys, "_first.*")
 
 
-def positions(df: DataFrame, order: str, group: str | None = None, out: str = "position",
-              block: int = 1 << 18, fan: int = 1 << 12) -> DataFrame:
-    """0-based position by a unique long ``order``, per ``group`` when given (H-4, WIN-3, WIN-4).
+def positions(df: DataFrame, order: str, group: str | None = None, out: str = "position", pieces: int | None = None) -> DataFrame:
+    """0-based position by a unique ``order``, per ``group`` when given (H-4, WIN-3, WIN-4).
 
-    Rows are numbered inside blocks of the id range, and the sizes of the earlier blocks are added.  Ids
-    are unique, so a block never holds more than ``block`` rows even when one group holds everything;
-    block sizes are summed in two levels so that no window sees the whole table.
+    Rows are range-partitioned by group and order with bounds sampled from the data, so neither the gaps between ids nor a group
+    that holds everything matters, and written.  The number that a row got while it was written holds its piece and its
+    place there; what a group has in the pieces before is one row per piece and group.
     """
     g = F.coalesce(F.col(group).cast("string"), F.lit("")) if group else F.lit("")
-    staged = df.withColumn("_g", g).withColumn("_b", F.floor(F.col(order) / F.lit(block)))
-    sizes = staged.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.withColumn("_s", F.floor(F.col("_b") / F.lit(fan)))
-    inner = Window.partitionBy("_g", "_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    outer = Window.partitionBy("_g").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    supers = (sizes.groupBy("_g", "_s").agg(F.sum("_n").alias("_sn"))
-              .withColumn("_base", F.coalesce(F.sum("_sn").over(outer), F.lit(0))).drop("_sn"))
-    offsets = (sizes.withColumn("_in", F.coalesce(F.sum("_n").over(inner), F.lit(0)))
-               .join(supers, ["_g", "_s"]).select("_g", "_b", (F.col("_base") + F.col("_in")).alias("_off")))
-    local = Window.partitionBy("_g", "_b").orderBy(order)
-    numbered = staged.withColumn("_k", F.row_number().over(local) - 1).join(offsets, ["_g", "_b"])
-    return numbered.withColumn(out, (F.col("_off") + F.col("_k")).cast("long")).drop("_g", "_b", "_k", "_off")
+    staged = df.withColumn("_pos_g", g)
+    by = [F.col("_pos_g"), F.col(order)] if group else [F.col(order)]
+    dealt = staged.repartitionByRange(pieces, *by) if pieces else staged.repartitionByRange(*by)
+    numbered = durable(dealt.sortWithinPartitions(*by).withColumn("_pos_at", F.monotonically_increasing_id()), "numbered")
+    numbered = numbered.withColumn("_pos_piece", F.shiftright("_pos_at", 33))
+    held = numbered.groupBy("_pos_piece", "_pos_g").agg(F.min("_pos_at").alias("_pos_first"), F.count(F.lit(1)).alias("_pos_n"))
+    earlier = Window.partitionBy("_pos_g").orderBy("_pos_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = durable(held.select("_pos_piece", "_pos_g", "_pos_first", F.coalesce(F.sum("_pos_n").over(earlier), F.lit(0)).alias("_pos_off")), "offsets")
+    placed = numbered.join(offsets, ["_pos_piece", "_pos_g"])
+    return placed.withColumn(out, (F.col("_pos_off") + F.col("_pos_at") - F.col("_pos_first")).cast("long")).select(*[F.col(f"`{c}`") for c in df.columns], out)
 
 
 BROADCAST_ROWS = 500_000

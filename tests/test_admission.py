@@ -120,6 +120,19 @@ def test_positions_with_a_hot_group(spark):
     ids = rng.sample(range(10_000), 700)
     rows = [(i, "hot" if rng.random() < 0.6 else f"g{rng.randrange(5)}") for i in ids]
     df = spark.createDataFrame(rows, "id long, g string")
-    out = {r.id: r.position for r in keys.positions(df, "id", "g", block=50, fan=4).collect()}
+    out = {r.id: r.position for r in keys.positions(df, "id", "g", pieces=13).collect()}
     for g in {x[1] for x in rows}:
         assert [out[i] for i in sorted(x[0] for x in rows if x[1] == g)] == list(range(sum(x[1] == g for x in rows)))
+
+
+def test_positions_of_sparse_ids_are_balanced(spark, monkeypatch):
+    ids = [i * 10**9 + i * i for i in range(4000)]
+    written = []
+    keep = keys.durable
+    monkeypatch.setattr(keys, "durable", lambda df, name: (written.append(keep(df, name)), written[-1])[1])
+    df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(7).withColumn("_n", F.lit(1)).withColumn("_first", F.lit(2))
+    out = {r.id: r.position for r in keys.positions(df, "id", pieces=8).collect()}
+    assert [out[i] for i in ids] == list(range(4000))
+    sizes = [r["count"] for r in written[0].groupBy(F.shiftright("_pos_at", 33).alias("p")).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 3 * 4000 / 8
+    assert keys.positions(df.limit(0), "id").count() == 0
