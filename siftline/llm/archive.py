@@ -211,7 +211,8 @@ def read_captures(keys: DataFrame, archives: DataFrame, folder: str) -> DataFram
         if shard:
             shard.close()
 
-    return keys.select("key").distinct().repartitionByRange("key").sortWithinPartitions("key").mapInArrow(look_up, _READ)
+    # keys are tiny, but each makes a record: as many tasks read as have written
+    return keys.select("key").distinct().repartitionByRange(max(1, len(names)), "key").sortWithinPartitions("key").mapInArrow(look_up, _READ)
 
 
 def archived(pages: DataFrame) -> DataFrame:
