@@ -13,7 +13,8 @@ hashes, or the whole sequence as one where there are fewer words.  Documents are
    capped: every two members of a bucket are compared or already connected.
 4. *Verification.*  The minima are compared by their bits, in batches, inside the join that brings the members together.
    Four bits agree with chance (1 + 15 * similarity) / 16; with a uniform prior for that chance it is Beta(m+1, n-m+1)
-   after m of n agreed.  A pair is dropped as soon as the chance of a similarity of 0.75 or more falls below ``MISS``, so
+   after m of n agreed.  A pair is dropped as soon as the chance of a similarity of 0.75 or more falls below its share of ``MISS``
+   and at most that share of the pairs at 0.75 would be lost with it: all checks together lose at most ``MISS`` of these.  So
    pairs without a future never become rows.  In the last join a pair becomes a row only in the first bucket that it
    shares.  Survivors are confirmed on the full sets.
 5. *Components* over confirmed links; the smallest doc_id of a component stays.
@@ -142,11 +143,13 @@ def bounds(share: int = SHARE, miss: float = MISS, checks: tuple[int, ...] = CHE
     def at_most(m: int, trials: int, t: float) -> float:
         return sum(comb(trials, i) * t**i * (1 - t) ** (trials - i) for i in range(m + 1))
 
-    by_chance = 0.5**PLANES
+    by_chance, all_checks = 0.5**PLANES, miss
     t, out = by_chance + (1 - by_chance) * share / 100, []
     for n in checks:
+        # the last check decides what is confirmed; the earlier ones, which only save work, lose a twentieth each
+        miss = all_checks / 20 if n != checks[-1] else all_checks * (1 - (len(checks) - 1) / 20)
         m = n
-        while m and at_most(m - 1, n + 1, t) >= miss * at_most(m - 1, n + 1, by_chance):
+        while m and (at_most(m - 1, n + 1, t) >= miss * at_most(m - 1, n + 1, by_chance) or at_most(m - 1, n, t) > miss):
             m -= 1
         out.append((n, n - m))
     return out
@@ -202,7 +205,8 @@ def near_duplicates(docs: DataFrame, share: int = SHARE, miss: float = MISS) ->
 def deduplicated(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with one document per group; rows that repeat an id are one document."""
     stay = near_duplicates(docs, **settings).filter("kept").select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(F.col("_stay")), "left_semi")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    return packed.join(stay, F.col("_doc.doc_id").cast("long").eqNullSafe(F.col("_stay")), "left_semi").select("_doc.*")
 
 
 def _full_sets(texts: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:

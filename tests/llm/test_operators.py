@@ -105,6 +105,27 @@ def test_sequential_bounds_are_monotone():
     assert all(later[1] > earlier[1] and later[1] / later[0] <= earlier[1] / earlier[0] for earlier, later in zip(limits, limits[1:]))
 
 
+def test_stated_miss_is_kept():
+    """Exact chance that a pair at the stated similarity is dropped by any check."""
+    from math import comb
+
+    agree = 0.5**near_dupes.PLANES + (1 - 0.5**near_dupes.PLANES) * near_dupes.SHARE / 100
+    alive, done = {0: 1.0}, 0
+    for n, most in near_dupes.bounds():
+        step, after = n - done, {}
+        for differing, p in alive.items():
+            for d in range(step + 1):
+                if differing + d <= most:
+                    after[differing + d] = after.get(differing + d, 0.0) + p * comb(step, d) * (1 - agree) ** d * agree ** (step - d)
+        alive, done = after, n
+    assert 1 - sum(alive.values()) <= near_dupes.MISS
+
+
+def test_one_of_a_group_stays_whatever_the_columns(spark):
+    rows = spark.createDataFrame([(1, "a b c d e f g", 1, "x"), (2, "a b c d e f g", 2, "y"), (3, "other words", 3, "z")], "doc_id long, text string, _stay int, _doc string")
+    assert sorted((r.doc_id, r["_stay"], r["_doc"]) for r in near_dupes.deduplicated(rows).collect()) == [(1, 1, "x"), (3, 3, "z")]
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 130)] + [(7, j) for j in range(8, 20)] + [(50, 50)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark)).collect()}
