@@ -116,7 +116,7 @@ def _(t):
         kind = F.col("event_type")
         rows = log.select(F.concat(F.lit("u"), "user_id").alias("email_hash"), F.col("event_id").alias("seq"), "ts", F.lit("RISKY").alias("status"),
                           F.when(kind == "error", "dns_temporary").otherwise(kind).alias("reason"))
-        ingest.run_to_end(state.cached_results(rows).writeStream.format("parquet").option("path", out), checkpoint, timers=True)
+        ingest.run_to_end(state.cached_results(rows).writeStream.format("parquet").option("path", out), checkpoint, timers=t.spark)
     return t.spark.read.schema(state.CACHE_OUT).parquet(out).select("seq", "reason", "reused")
 
 

@@ -31,20 +31,20 @@ def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", fi
 IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def run_to_end(writer, checkpoint: str, timers: bool = False) -> StreamingQuery:
+def run_to_end(writer, checkpoint: str, timers: SparkSession | None = None) -> StreamingQuery:
     """Process everything there is, in limited batches, and stop.
 
-    State with timers of processing time asks for one more batch without end; with ``timers`` such empty batches are off for
-    this query, and timers fire with the batches that bring rows.
+    State with timers of processing time asks for one more batch without end.  ``timers`` names the session of such a stream:
+    empty batches are off while it starts, and timers fire with the batches that bring rows.
     """
-    spark = SparkSession.active()
-    before = spark.conf.get(IDLE)
+    before = timers.conf.get(IDLE) if timers else None
     if timers:
-        spark.conf.set(IDLE, "false")
+        timers.conf.set(IDLE, "false")
     try:
         query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
-        spark.conf.set(IDLE, before)
+        if timers:
+            timers.conf.set(IDLE, before)
     query.awaitTermination()
     return query
 

@@ -96,7 +96,7 @@ def test_state_expires_and_late_rows_are_answered(spark):
         day = spark.createDataFrame(rows, "email_hash string, seq long, t string, status string, reason string")
         day.withColumn("ts", F.to_timestamp("t")).select(*[c.split()[0] for c in schema.split(", ")]).coalesce(1).write.mode("append").parquet(path)
         stream = state.cached_results(ingest.file_stream(spark, path, schema), keep)
-        query = ingest.run_to_end(stream.writeStream.format("parquet").option("path", out), checkpoint, timers=True)
+        query = ingest.run_to_end(stream.writeStream.format("parquet").option("path", out), checkpoint, timers=spark)
         return query.lastProgress["stateOperators"][0]["numRowsTotal"]
 
     assert run([("a", 1, "2024-01-05", "x"), ("b", 2, "2024-01-05", "y"), ("t", 3, "2024-01-05", "dns_temporary")], 60) == 2
@@ -116,7 +116,7 @@ def test_hot_address_is_read_in_arrow_batches(spark):
         rows = spark.range(400).select(F.lit("a").alias("email_hash"), F.col("id").alias("seq"), F.timestamp_seconds(F.col("id")).alias("ts"), F.lit("OK").alias("status"), F.lit("r").alias("reason"))
         rows.coalesce(1).write.parquet(path)
         out = fresh_path(spark, "cached")
-        ingest.run_to_end(state.cached_results(ingest.file_stream(spark, path, rows.schema)).writeStream.format("parquet").option("path", out), fresh_path(spark, "checkpoint"), timers=True)
+        ingest.run_to_end(state.cached_results(ingest.file_stream(spark, path, rows.schema)).writeStream.format("parquet").option("path", out), fresh_path(spark, "checkpoint"), timers=spark)
         assert {(r.reused, r.n) for r in spark.read.parquet(out).groupBy("reused").agg(F.count("*").alias("n")).collect()} == {(False, 1), (True, 399)}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
