@@ -248,17 +248,16 @@ def _(t):
     return training.split(rows).select("pos", "part")
 
 
-@query("ml3_text_features")
+@query("ml3_text_features", """WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text,'')), '[\\p{L}\\p{M}\\p{N}_]{2,}') AS l FROM documents),
+    g AS (SELECT doc_id, unnest(list_concat(l, list_transform(range(1, len(l)), lambda i: l[i]||' '||l[i+1]))) AS term FROM w), c AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY 1,2),
+    v AS (SELECT term, sum(tf) AS n, 1+ln((1.0+(SELECT count(*) FROM documents))/(1.0+count(*))) AS idf FROM c GROUP BY 1 ORDER BY n DESC, term LIMIT 30000),
+    x AS (SELECT doc_id, (1+ln(tf))*idf AS u FROM c JOIN v USING (term)), y AS (SELECT doc_id, u/sqrt(sum(u*u) OVER (PARTITION BY doc_id)) AS weight FROM x)
+    SELECT doc_id AS pos, count(*) AS terms, round(sum(weight),6) AS total, round(max(weight),6) AS largest FROM y GROUP BY 1""")
 def _(t):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, Normalizer
-    from pyspark.ml.functions import vector_to_array
-
     rows = _labelled(t)
-    stages = [*training.features(), IDF(inputCol="_ltf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)]
-    out = Pipeline(stages=stages).fit(rows).transform(rows)
-    norm = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x * x)
-    return out.select("pos", F.round(norm, 6).alias("squared_norm"))
+    terms = training.vocabulary(training.term_counts(rows), rows.count())
+    return training.features(rows, terms).groupBy("pos").agg(
+        F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 6).alias("total"), F.round(F.max("weight"), 6).alias("largest"))
 
 
 def _trained(t):

@@ -1,34 +1,28 @@
-"""ML-1..ML-7: text classification with Spark ML over a labelled table."""
+"""ML-1..ML-7: text classification over a labelled table.
+
+Features are relational: a row's terms are ``(key, term, tf)``, the vocabulary is a table of at most ``size`` terms, and a score is
+a join with the vocabulary and a sum per row.  Only the fit itself takes vectors, one for each training row.  ``key`` tells
+the rows of a table apart; null and empty texts have no terms and are scored by the intercepts alone.
+"""
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, OneVsRest
-from pyspark.ml.feature import IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from siftline.operators.reports import classification_report, last_wins
+from siftline.session import durable
 
 # The supported labels, the size gates and the model settings.
 LABELS = ["HIGH_INTENT", "MEDIUM_INTENT", "LOW_INTENT", "NOT_INSURANCE", "ADVERTISEMENT", "BROKER_OR_AGENT", "NEWS", "JOB_POST"]
 MIN_ROWS, MIN_PER_LABEL, TEST_SHARE, FEATURES, SEED = 500, 10, 0.2, 30_000, 42
 
 
-class LogCounts(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Sublinear term frequency 1 + ln(tf) on sparse counts."""
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        def damp(v):
-            return SparseVector(v.size, v.indices, [1.0 + math.log(x) for x in v.values])
-
-        return dataset.withColumn("_ltf", F.udf(damp, VectorUDT())("_tf"))
-
-
 def gate(rows: DataFrame, labels: list[str], min_rows: int = MIN_ROWS, min_per_label: int = MIN_PER_LABEL) -> DataFrame:
     """ML-1: deduplicated rows per label with the verdict of each gate."""
     per = last_wins(rows).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
@@ -68,15 +62,75 @@ def split(rows: DataFrame, label: str = "label", key: str = "pos", share: float
     return at_edge.unionByName(others).drop("_h", "_b", "_n", "_before", "_test")
 
 
-def features(text: str = "text", size: int = FEATURES) -> list:
-    """ML-3: TF-IDF of words and word pairs with log term frequency, unit length."""
-    return [
-        RegexTokenizer(inputCol=text, outputCol="_w", pattern=r"(?U)\w\w+", gaps=False, toLowercase=True),
-        NGram(n=2, inputCol="_w", outputCol="_p"),
-        SQLTransformer(statement="SELECT *, concat(_w, _p) AS _g FROM __THIS__"),
-        CountVectorizer(inputCol="_g", outputCol="_tf", vocabSize=size),
-        LogCounts(),
-    ]
+@dataclass(frozen=True)
+class TextModel:
+    """A fitted model: ``terms`` is ``(term, idx, idf, coefficients)`` with one coefficient a label, at most as many rows as features."""
+
+    labels: list[str]
+    intercepts: list[float]
+    terms: DataFrame
+
+    def save(self, path: str) -> None:
+        spark = self.terms.sparkSession
+        self.terms.write.mode("errorifexists").parquet(f"{path}/terms")
+        rows = list(zip(range(len(self.labels)), self.labels, self.intercepts))
+        spark.createDataFrame(rows, "idx int, label string, intercept double").coalesce(1).write.mode("errorifexists").parquet(f"{path}/labels")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> TextModel:
+        rows = spark.read.parquet(f"{path}/labels").orderBy("idx").collect()  # one row a label
+        return TextModel([r.label for r in rows], [r.intercept for r in rows], spark.read.parquet(f"{path}/terms"))
+
+
+def term_counts(rows: DataFrame, key: str = "pos", text: str = "text") -> DataFrame:
+    """Words of two or more characters and pairs of neighbours: ``(key, term, tf)``.
+
+    Counted inside the row from its sorted terms, so nothing is shuffled.
+    """
+    s, starts = F.col("_s"), F.col("_at")
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(?U)\w\w+"), F.lit(0))
+    n = F.greatest(F.size("_w") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("_w", F.lit(1), n), F.slice("_w", F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
+    first = F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i))
+    counted = F.transform(starts, lambda p, i: F.struct(
+        F.get(s, p).alias("term"), (F.coalesce(F.get(starts, i + 1), F.size(s)) - p).alias("tf")))
+    staged = (rows.select(F.col(key), words.alias("_w"))
+              .select(key, F.sort_array(F.concat("_w", pairs)).alias("_s"))
+              .select(key, "_s", F.filter(first, lambda p: p.isNotNull()).alias("_at")))
+    return staged.select(key, F.inline(counted))
+
+
+def vocabulary(counts: DataFrame, rows: int, size: int = FEATURES) -> DataFrame:
+    """The ``size`` terms with the largest counts, ties by term: ``(term, idx, idf)`` with idf = 1 + ln((1 + rows) / (1 + df))."""
+    top = counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df")).orderBy(F.desc("n"), "term").limit(size)
+    # one task numbers at most ``size`` terms
+    idx = F.row_number().over(Window.orderBy("term")) - 1
+    return top.select("term", idx.alias("idx"), (F.log((F.lit(1.0) + rows) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
+
+
+def raw_weights(counts: DataFrame, terms: DataFrame) -> DataFrame:
+    """``counts`` with the columns of ``terms`` and ``raw`` = (1 + ln tf) * idf; terms outside the vocabulary go."""
+    # a vocabulary is at most FEATURES terms
+    return counts.join(F.broadcast(terms), "term").withColumn("raw", (F.log(F.col("tf").cast("double")) + 1) * F.col("idf"))
+
+
+def features(rows: DataFrame, terms: DataFrame, key: str = "pos", text: str = "text") -> DataFrame:
+    """ML-3: ``(key, term, idx, weight)``, the weights of a row at unit length."""
+    of_row = Window.partitionBy(key)
+    raw = raw_weights(term_counts(rows, key, text), terms)
+    return raw.select(key, "term", "idx", (F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(of_row))).alias("weight"))
+
+
+def sparse(indices: Column, values: Column, size: int) -> Column:
+    """A vector of Spark ML from two arrays, without a Python function: the stored form of a vector, read back from JSON."""
+    stored = F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values"))
+    return F.from_json(F.to_json(F.struct(stored.alias("v"))), StructType().add("v", VectorUDT()))["v"]
+
+
+def vectors(rows: DataFrame, terms: DataFrame, size: int = FEATURES, key: str = "pos", text: str = "text") -> DataFrame:
+    """``(key, features)`` of the rows that hold a term; at most ``size`` entries a row."""
+    entries = features(rows, terms, key, text).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_e"))
+    return entries.select(key, sparse(F.col("_e.idx"), F.col("_e.weight"), size).alias("features"))
 
 
 def balanced(rows: DataFrame, label: str = "label") -> DataFrame:
@@ -86,24 +140,42 @@ def balanced(rows: DataFrame, label: str = "label") -> DataFrame:
     return rows.join(F.broadcast(per.drop("_n")), label)
 
 
-def train(rows: DataFrame, size: int = FEATURES) -> PipelineModel:
-    """ML-3/ML-4: one balanced logistic regression per label over the text features."""
-    stages = [StringIndexer(inputCol="label", outputCol="_y", stringOrderType="alphabetAsc", handleInvalid="skip"), *features(size=size),
-              IDF(inputCol="_ltf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="features", p=2.0),
-              OneVsRest(classifier=LogisticRegression(maxIter=50, regParam=0.01, weightCol="weight", rawPredictionCol="_raw"), featuresCol="features", labelCol="_y",
-                        predictionCol="_yhat", weightCol="weight", rawPredictionCol="_raw", parallelism=4)]
-    return Pipeline(stages=stages).fit(balanced(rows))
+def train(rows: DataFrame, size: int = FEATURES, key: str = "pos") -> TextModel:
+    """ML-3/ML-4: one balanced logistic regression per label over the text features; rows without a label are left out."""
+    rows = rows.filter("label IS NOT NULL")
+    terms = durable(vocabulary(term_counts(rows, key), rows.count(), size), "vocabulary")
+    labelled = balanced(rows).select(key, "label", "weight").join(vectors(rows, terms, size, key), key, "left")
+    empty = sparse(F.array().cast("array<int>"), F.array().cast("array<double>"), size)
+    data = durable(labelled.withColumn("features", F.coalesce("features", empty)), "vectors")
+    index = StringIndexer(inputCol="label", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
+    one = LogisticRegression(maxIter=50, regParam=0.01, weightCol="weight")
+    fitted = OneVsRest(classifier=one, featuresCol="features", labelCol="_y", weightCol="weight", parallelism=4).fit(index.transform(data))
+    per_term = zip(*(m.coefficients.toArray().tolist() for m in fitted.models))  # size x labels numbers
+    coefficients = rows.sparkSession.createDataFrame([(i, list(c)) for i, c in enumerate(per_term)], "idx int, coefficients array<double>")
+    return TextModel(list(index.labels), [float(m.intercept) for m in fitted.models],
+                     durable(terms.join(F.broadcast(coefficients), "idx"), "terms"))
+
+
+def label_shares(model: TextModel, rows: DataFrame, key: str = "pos", text: str = "text") -> DataFrame:
+    """``(key, _p)``: the probability of every label for the rows that hold a term, from one sum per row and label.
+
+    All terms of a row lie in one partition, so the sums reach the shuffle as one row each.
+    """
+    raw = raw_weights(term_counts(rows, key, text), model.terms)
+    names = [f"_m{i}" for i in range(len(model.labels))]
+    sums = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"),
+                                *[F.sum(F.col("raw") * F.col("coefficients")[i]).alias(n) for i, n in enumerate(names)])
+    share = lambda margin: 1.0 / (1.0 + F.exp(-margin))
+    return sums.select(key, F.array(*[share(F.col(n) / F.col("_norm") + b) for n, b in zip(names, model.intercepts)]).alias("_p"))
 
 
-def score_rows(model: PipelineModel, rows: DataFrame, version: str, labels: list[str] | None = None) -> DataFrame:
+def score_rows(model: TextModel, rows: DataFrame, version: str, labels: list[str] | None = None, key: str = "pos") -> DataFrame:
     """ML-5: best label, confidence and version per row; null for labels outside the supported list."""
-    names = model.stages[0].labels
-    indexed = PipelineModel(model.stages[1:]).transform(rows)
-    margins = F.transform(vector_to_array("_raw"), lambda m: 1.0 / (1.0 + F.exp(-m)))
-    staged = indexed.withColumn("_p", margins)
+    without = F.array(*[1.0 / (1.0 + F.exp(F.lit(-b))) for b in model.intercepts])
+    staged = rows.join(label_shares(model, rows, key), key, "left").withColumn("_p", F.coalesce("_p", without))
     best = F.array_max("_p")
     total = F.aggregate("_p", F.lit(0.0), lambda a, x: a + x)
-    name = F.try_element_at(F.array(*[F.lit(n) for n in names]), F.array_position("_p", best).cast("int"))
+    name = F.try_element_at(F.array(*[F.lit(n) for n in model.labels]), F.array_position("_p", best).cast("int"))
     staged = staged.withColumn("predicted", name).withColumn("confidence", best / total).withColumn("model_version", F.lit(version))
     if labels is not None:
         fine = F.col("predicted").isin(labels)
@@ -111,6 +183,6 @@ def score_rows(model: PipelineModel, rows: DataFrame, version: str, labels: list
     return staged.select(*rows.columns, "predicted", "confidence", "model_version")
 
 
-def holdout_report(model: PipelineModel, test: DataFrame, version: str = "holdout") -> DataFrame:
+def holdout_report(model: TextModel, test: DataFrame, version: str = "holdout") -> DataFrame:
     """ML-6."""
     return classification_report(score_rows(model, test, version))
