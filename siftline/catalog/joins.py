@@ -187,21 +187,33 @@ def placed(t, shard_rows=100):
     return placement.place(t.finals, "alphabetical", shard_rows)
 
 
-_ACK = """b AS (SELECT 'b'||(position//50)||bucket AS batch_id, id, tab, row, c_nationkey FROM placed), n AS (SELECT batch_id, count(*) AS n, count(*) FILTER (c_nationkey=3) AS wrong FROM b GROUP BY 1)
-    SELECT batch_id, CASE WHEN batch_id LIKE '%H' THEN 'export_receipt_mismatch' WHEN wrong > 0 THEN 'export_placement_mismatch' ELSE 'acknowledged' END AS verdict FROM n"""
+_ACK = """b AS (SELECT 'b'||(position//50)||bucket AS batch_id, position//50 AS k, bucket, id FROM placed),
+    n AS (SELECT batch_id, any_value(k) AS k, any_value(bucket) AS bucket, count(*) FILTER (id%61=7) AS wrong, count(*) FILTER (id%59=11) AS gone FROM b GROUP BY 1)
+    SELECT batch_id, CASE WHEN k%4=3 THEN 'export_batch_not_found' WHEN bucket='A' THEN CASE WHEN k%2=1 THEN 'acknowledgement_conflict' ELSE 'replayed' END
+    WHEN bucket='H' AND k%2=0 THEN 'export_receipt_mismatch' WHEN wrong > 0 THEN 'export_placement_mismatch' WHEN gone > 0 THEN 'export_pending_data_missing' ELSE 'acknowledged' END AS verdict FROM n"""
 
 
 @query("jn12_acknowledgement", "WITH " + _ACK, ctes="placed")
 def _(t):
-    p = placed(t).withColumn("batch_id", F.concat(F.lit("b"), F.floor(F.col("position") / 50), "bucket"))
-    expected = p.select("batch_id", F.col("id").alias("lead_id"), "tab", "row", "source")
-    moved = F.when(F.col("source") == "src3", F.col("row") + 1).otherwise(F.col("row"))
-    delivered = expected.withColumn("row", moved)
-    one = F.lit("x")
-    batches = expected.groupBy("batch_id").agg(F.count(F.lit(1)).alias("count")).select(
-        "batch_id", "count", one.alias("checksum"), one.alias("spreadsheet_id"), one.alias("drive_folder_id"), F.lit("CLAIMED").alias("status"), F.lit("").alias("ack_digest"))
-    receipts = batches.select("batch_id", "checksum", F.when(F.col("batch_id").endswith("H"), "y").otherwise("x").alias("drive_checksum"), "spreadsheet_id", "drive_folder_id", one.alias("digest"))
-    return delivery.acknowledge(batches, expected, receipts, delivered, t.finals)
+    k = F.floor(F.col("position") / 50)
+    p = placed(t).withColumns({"k": k, "batch_id": F.concat(F.lit("b"), k, "bucket")})
+    expected = p.select("batch_id", F.col("id").alias("lead_id"), "tab", "row")
+    delivered = expected.withColumn("row", F.when(F.col("lead_id") % 61 == 7, F.col("row") + 1).otherwise(F.col("row")))
+    one, first = F.lit("x"), F.col("bucket") == "A"
+    per = p.groupBy("batch_id", "k", "bucket").agg(F.count(F.lit(1)).alias("count"))
+    batches = per.filter("k % 4 <> 3").select(
+        "batch_id", "count", one.alias("checksum"), one.alias("spreadsheet_id"), one.alias("drive_folder_id"),
+        F.when(first, "ACKNOWLEDGED").otherwise("CLAIMED").alias("status"), F.when(first & (F.col("k") % 2 == 1), "y").otherwise("x").alias("ack_digest"))
+    receipts = per.select("batch_id", one.alias("checksum"), F.when((F.col("bucket") == "H") & (F.col("k") % 2 == 0), "y").otherwise("x").alias("drive_checksum"),
+                          one.alias("spreadsheet_id"), one.alias("drive_folder_id"), one.alias("digest"))
+    return delivery.acknowledge(batches, expected, receipts, delivered, t.finals.filter("id % 59 <> 11"))
+
+
+@query("jn12_batch_sums", """WITH b AS (SELECT 'b'||(position//50)||bucket AS batch_id, md5(id||'|'||tab||'|'||row) AS h FROM placed)
+    SELECT batch_id, count(*) AS n, CAST(sum(CAST('0x'||substr(h,1,16) AS UBIGINT)) AS VARCHAR) AS upper, CAST(sum(CAST('0x'||substr(h,17,16) AS UBIGINT)) AS VARCHAR) AS lower FROM b GROUP BY 1""", ctes="placed")
+def _(t):
+    p = placed(t).select(F.concat(F.lit("b"), F.floor(F.col("position") / 50), "bucket").alias("batch_id"), F.col("id").alias("lead_id"), "tab", "row")
+    return delivery.batch_sums(p).select("batch_id", "n", F.col("upper").cast("string").alias("upper"), F.col("lower").cast("string").alias("lower"))
 
 
 @query("jn13_cascade", """WITH a AS (SELECT id, candidate_id FROM finals WHERE validation_status <> 'NO_EMAIL'), c AS (SELECT c_custkey AS candidate_id, c_custkey*2 AS record_id FROM customer)
@@ -231,6 +243,36 @@ def _(t):
     return recovery.coverage(items, tabs)
 
 
+# every seventh delivered row is lost, every eleventh delivered twice with other values
+_LOST = "d AS (SELECT DISTINCT tab, row, position%11=0 AS two FROM placed WHERE position%7 <> 2)"
+
+
+@query("jn14_ranges", "WITH " + _SNAP + ", " + _LOST + """, m AS (SELECT s.tab, r.row FROM (SELECT tab, unnest(range(2, n+2)) AS row FROM s) r JOIN s USING (tab) ANTI JOIN d ON d.tab=s.tab AND d.row=r.row),
+    i AS (SELECT tab, row, row - row_number() OVER (PARTITION BY tab ORDER BY row) AS g FROM m)
+    SELECT tab, 'missing' AS problem, min(row) AS first, max(row) AS last FROM i GROUP BY tab, g
+    UNION ALL SELECT d.tab, CASE WHEN d.row > s.n+1 THEN 'outside' ELSE 'conflicting' END, d.row, d.row FROM d JOIN s USING (tab) WHERE d.row > s.n+1 OR two""", ctes="placed")
+def _(t):
+    p = placed(t)
+    tabs = p.groupBy("tab").agg((F.max("row") - 1).alias("rows"))
+    tabs = tabs.withColumn("rows", F.col("rows") + F.when(F.col("tab").endswith("H_001"), 2).when(F.col("tab").endswith("M_002"), -1).otherwise(0))
+    kept = p.filter("position % 7 <> 2")
+    items = delivery.items(kept, "camp")
+    other = delivery.items(kept.filter("position % 11 = 0").withColumn("excerpt", F.lit("changed")), "camp")
+    return recovery.coverage_ranges(items.unionByName(other), tabs)
+
+
+# of three delivered files one is as it was, one was changed and one is lost
+@query("jn14_refusals", """WITH b AS (SELECT (row_number() OVER (ORDER BY id)-1)//50 AS k FROM placed)
+    SELECT 'checksum' AS reason, count(DISTINCT k) AS cases FROM b WHERE k%3=1 HAVING count(*) > 0 UNION ALL SELECT 'incomplete_coverage', count(*) FROM b WHERE k%3=2 HAVING count(*) > 0""", ctes="placed")
+def _(t):
+    p = placed(t)
+    env = delivery.envelopes(delivery.batched(delivery.items(p, "camp"), size=50), "camp", "sheet-1", "folder-1", 100)
+    changed = F.transform("items", lambda i: i.withField("values", F.transform(i["values"], lambda v, at: F.when(at == 3, F.concat(v, F.lit("!"))).otherwise(v))))
+    env = env.filter("batch_no % 3 <> 2").withColumn("items", F.when(F.col("batch_no") % 3 == 1, changed).otherwise(F.col("items")))
+    snapshot = recovery.snapshot_of(p, "sheet-1", F.current_timestamp()).select("tab", "rows", F.lit(None).cast("string").alias("problem"))
+    return recovery.refusals(env, snapshot, ("sheet-1", "folder-1", 100)).groupBy("reason").agg(F.sum("cases").alias("cases"))
+
+
 @query("jn15_pending", "SELECT 'camp:'||id AS lead_id FROM finals WHERE validation_status <> 'NO_EMAIL' AND id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus='F') AND c_nationkey <> 9", ctes="finals")
 def _(t):
     rows = t.finals.filter("validation_status <> 'NO_EMAIL'").select(F.concat(F.lit("camp:"), "id").alias("lead_id"), "source")
@@ -360,7 +402,7 @@ def _(t):
     items = delivery.items(placed(t), "camp")
     tabs = items.groupBy("tab").agg((F.max("row") - 1).alias("rows"))
     tabs = tabs.withColumn("rows", F.col("rows") + F.when(F.col("tab").endswith("H_001"), 2).when(F.col("tab").endswith("M_002"), -1).otherwise(0))
-    return recovery.missing_per_tab(recovery.coverage(items, tabs))
+    return recovery.missing_per_tab(recovery.coverage_ranges(items, tabs))
 
 
 @query("set5_rebuilt_keys", "SELECT 'email:'||sha256(email) AS key FROM finals WHERE email IS NOT NULL AND validation_status <> 'SYNTHETIC_TEST' AND c_nationkey <> 6", ctes="finals")

@@ -45,7 +45,7 @@ def envelopes(batched_items: DataFrame, campaign_id: str, spreadsheet_id: str, f
         F.count_if("qualified").alias("qualified_count"))
     checksum = F.sha2(canonical_items(F.col("items")), 256)
     batch_id = F.regexp_replace(F.left(checksum, F.lit(32)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-    return per.select(batch_id.alias("batch_id"), F.lit(campaign_id).alias("campaign_id"), checksum.alias("checksum"),
+    return per.select("batch_no", batch_id.alias("batch_id"), F.lit(campaign_id).alias("campaign_id"), checksum.alias("checksum"),
                       F.lit(spreadsheet_id).alias("spreadsheet_id"), F.lit(folder_id).alias("drive_folder_id"),
                       F.lit(shard_rows).alias("shard_rows"),
                       F.array(*[F.lit(f) for f in FIELDS]).alias("fields"), "items", "count", "qualified_count")
@@ -90,12 +90,39 @@ def row_checks(delivered: DataFrame) -> DataFrame:
     })
 
 
+_PLACEMENT = ["batch_id", "lead_id", "tab", "row"]
+
+
+def batch_sums(rows: DataFrame) -> DataFrame:
+    """Order-free digest of the placements of a batch: ``(batch_id, n, upper, lower)``.
+
+    The halves of a 128-bit hash of every placement are added up, so a batch is one small row before the shuffle, and
+    equal multisets have equal sums in any order.  Nulls count as values of their own.
+    """
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in _PLACEMENT[1:]])
+    half = lambda at: F.sum(F.conv(F.substring("_h", at, 16), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)")
+    return rows.select("batch_id", F.md5(text).alias("_h")).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"), half(1).alias("upper"), half(17).alias("lower"))
+
+
+def differing_batches(expected: DataFrame, delivered: DataFrame) -> DataFrame:
+    """Batches whose multisets of placements differ: ``(batch_id)``."""
+    both = (batch_sums(expected).withColumn("_side", F.lit(1)).unionByName(batch_sums(delivered).withColumn("_side", F.lit(-1)))
+            .groupBy("batch_id").agg(*[F.sum(F.col(c) * F.col("_side")).alias(c) for c in ("n", "upper", "lower")]))
+    return both.filter("n <> 0 OR upper <> 0 OR lower <> 0").select("batch_id")
+
+
 def placement_mismatches(expected: DataFrame, delivered: DataFrame) -> DataFrame:
-    """SET-3: placements of a batch that differ as multisets, with the side they are missing on."""
-    columns = ["batch_id", "lead_id", "tab", "row"]
-    left, right = expected.select(*columns), delivered.select(*columns)
-    return (left.exceptAll(right).withColumn("missing_in", F.lit("delivered"))
-            .unionByName(right.exceptAll(left).withColumn("missing_in", F.lit("expected"))))
+    """SET-3: placements of a batch that differ as multisets, with the side they are missing on.
+
+    Rows are compared only in batches whose sums differ.
+    """
+    off = differing_batches(expected, delivered)
+    left, right = (df.select(*_PLACEMENT).join(off, off["batch_id"].eqNullSafe(df["batch_id"]), "left_semi") for df in (expected, delivered))
+    weighed = (left.withColumn("w", F.lit(1)).unionByName(right.withColumn("w", F.lit(-1)))
+               .groupBy(*_PLACEMENT).agg(F.sum("w").alias("w")).filter("w <> 0"))
+    side = F.when(F.col("w") > 0, "delivered").otherwise("expected")
+    return weighed.select(*_PLACEMENT, F.explode(F.array_repeat(side, F.abs("w").cast("int"))).alias("missing_in"))
 
 
 def acknowledge(batches: DataFrame, expected: DataFrame, receipts: DataFrame, delivered: DataFrame, finals: DataFrame) -> DataFrame:
@@ -104,11 +131,7 @@ def acknowledge(batches: DataFrame, expected: DataFrame, receipts: DataFrame, de
     ``batches``: batch_id, checksum, spreadsheet_id, drive_folder_id, count, status, ack_digest;
     ``receipts``: batch_id, checksum, drive_checksum, spreadsheet_id, drive_folder_id, digest.
     """
-    columns = ["batch_id", "lead_id", "tab", "row"]
-    # both multisets in one aggregate: a placement weighs +1 on one side and -1 on the other
-    weighed = (expected.select(*columns, F.lit(1).alias("w")).unionByName(delivered.select(*columns, F.lit(-1).alias("w")))
-               .groupBy(*columns).agg(F.sum("w").alias("w")))
-    off = weighed.groupBy("batch_id").agg(F.bool_or(F.col("w") != 0).alias("_off"))
+    off = differing_batches(expected, delivered).withColumn("_off", F.lit(True))
     present = (expected.join(finals.select(F.col("id").alias("lead_id")), "lead_id", "left_semi")
                .groupBy("batch_id").agg(F.count(F.lit(1)).alias("_present")))
     r = receipts.select("batch_id", F.col("checksum").alias("r_checksum"), "drive_checksum",
