@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from siftline.catalog.common import book, query
 from siftline.catalog.joins import placed
@@ -94,7 +94,18 @@ def _(t):
 def _(t):
     path = fresh_path(t.spark, "index")
     captures.write_index(captures.parse_captures(_capture_lines(t)), path)
-    return captures.key_range(t.spark.read.parquet(path), "com").select("surt", "url")
+    return captures.key_range(t.spark, path, "com").select("surt", "url")
+
+
+@query("src6_directory", "WITH " + _CAP + " SELECT count(*) AS captures, min(surt) AS first, max(surt) AS last, 0 AS unsorted FROM c")
+def _(t):
+    path = fresh_path(t.spark, "index")
+    captures.write_index(captures.parse_captures(_capture_lines(t)), path, 100)
+    files = t.spark.read.parquet(f"{path}/directory")
+    # a file may begin with the last key of the one before, never below it
+    before = F.lag("last").over(Window.orderBy("first", "last"))
+    return files.withColumn("_b", before).agg(F.sum("rows").alias("captures"), F.min("first").alias("first"), F.max("last").alias("last"),
+                                              F.count_if(F.col("first") < F.col("_b")).cast("int").alias("unsorted"))
 
 
 @query("src7_labelled_csv", "SELECT md5(replace(text,chr(13),'')) AS text, 'q'||quality AS label FROM documents JOIN labels USING (doc_id)")

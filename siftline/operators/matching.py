@@ -1,8 +1,8 @@
 """RUL-1 and FLT-1: which term groups a text hits.
 
 Two physical forms with equal results: one pass of a compiled prefix-tree expression inside generated
-code (the default), or token n-grams joined with a terms table when the dictionary is too large to be
-compiled into an expression.
+code (the default), or words joined with a terms table, each term under its rarest word, when the dictionary is too large
+to be compiled into an expression.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from siftline.functions.phrases import implied, longest_phrase_pattern, phrase_p
 from siftline.functions.text import WORD
 from siftline.operators.pin import pinned
 from siftline.rules import RuleBook
+from siftline.session import durable
 
 _APOSTROPHES = str.maketrans("‘’‛ʼ", "''''")
 BROADCAST_TERMS = 200_000
@@ -73,49 +74,42 @@ def discovery_match(text: Column, book: RuleBook) -> Column:
     return hits_any(text, book.discovery_terms())
 
 
-def _word_sequence(text: Column) -> Column:
-    """The words of a text with one blank between them, whatever stands there."""
-    return F.trim(F.regexp_replace(text, rf"[^{_WORD_SIGNS}]+", " "))
+def _words(text: Column) -> Column:
+    """The distinct words of a text, whatever stands between them."""
+    return F.array_distinct(F.filter(F.split(text, rf"[^{_WORD_SIGNS}]+"), lambda w: w != ""))
 
 
-def match_by_join(df: DataFrame, terms: DataFrame, key: str, text: str = "match_text",
-                  longest: int | None = None) -> DataFrame:
+def anchors(df: DataFrame, lookup: DataFrame, text: str, small: bool) -> DataFrame:
+    """``(grp, ord, term, _word)``: every term under its word that the fewest texts hold, ``""`` for terms without a word.
+
+    Terms with a word that no text holds are left out, as they cannot occur.
+    """
+    listed = lookup.withColumn("_word", F.explode_outer(_words(F.col("term"))))
+    own = listed.select("_word").filter("_word IS NOT NULL").distinct()
+    held = (df.select(F.explode(_words(F.col(text))).alias("_word")).join(F.broadcast(own) if small else own, "_word", "left_semi")
+            .groupBy("_word").agg(F.count(F.lit(1)).alias("_n")))
+    counted = listed.join(held, "_word", "left").withColumn("_n", F.when(F.col("_word").isNull(), 0).otherwise(F.coalesce("_n", F.lit(-1))))
+    per = counted.groupBy("grp", "ord", "term").agg(F.min("_n").alias("_least"), F.min_by(F.coalesce("_word", F.lit("")), F.struct("_n", "_word")).alias("_word"))
+    return per.filter("_least >= 0").drop("_least")
+
+
+def match_by_join(df: DataFrame, terms: DataFrame, key: str, text: str = "match_text") -> DataFrame:
     """RUL-1 for dictionaries kept as a table ``(grp, ord, term)``: ``(key, matched)`` for rows with a hit.
 
-    Terms of word characters and single spaces are n-grams of a run of the text.  Other terms are looked for by their
-    word sequence, punctuation aside, and then confirmed in the text itself with word boundaries.  N-grams are distinct per row before the join, and the groups of a row are
-    combined map-side, so a term that occurs in a third of all rows adds one small row per text.
+    Every term is listed under its rarest word.  The distinct words of a text are joined with that list, and what they
+    name is confirmed in the text itself, punctuation, spacing and word boundaries included.  So the rows of a text are its
+    distinct words, however long the terms are, and a word in a third of all texts is the key of a term only if all
+    words of the term are that frequent.  ``df`` is read for the counts, the words and the confirmation.
     """
     lookup = terms.select("grp", "ord", "term").filter(F.col("term") != "").distinct()
-    lookup = lookup.withColumn("_signs", F.col("term").rlike(rf"[^{_WORD_SIGNS} ]|^ | $| {{2}}"))
-    lookup = lookup.withColumn("_gram", F.when(F.col("_signs"), _word_sequence(F.col("term"))).otherwise(F.col("term")))
-    signs, most = lookup.agg(F.max("_signs"), F.max(F.size(F.split("_gram", " ")))).first()
-    longest = most or 1 if longest is None or signs else longest
-    # a phrase must be spaced by exactly one blank in the text, as in the expression form
-    runs = F.split(F.col(text), r"[^\p{L}\p{N}_ ]+| {2,}")
-    words = F.transform(runs, lambda r: F.filter(F.split(r, " "), lambda w: w != ""))
-
-    def grams_of(run: Column, n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(run) - n + 1)
-        made = F.transform(starts, lambda i: F.array_join(F.slice(run, i, n), " "))
-        return F.when(F.size(run) >= n, made).otherwise(F.array().cast("array<string>"))
-
-    def grams(run: Column) -> Column:
-        return F.concat(*[grams_of(run, n) for n in range(1, longest + 1)])
-
     small = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-
-    def hits(runs_of_words: Column, signs: bool) -> DataFrame:
-        made = F.flatten(F.transform(runs_of_words, grams))
-        made = F.concat(made, F.array(F.lit(""))) if signs else made  # a term without any word is tried on every text
-        own = lookup.filter(F.col("_signs") == signs).drop("_signs")
-        return df.select(key, F.explode(F.array_distinct(made)).alias("_gram")).join(F.broadcast(own) if small else own, "_gram")
-
-    hit = hits(words, False).select(key, "ord", "grp")
-    if signs:
-        tried = hits(F.array(F.split(_word_sequence(F.col(text)), " ")), True).groupBy(F.col(key).alias("_key")).agg(F.collect_set(F.struct("ord", "grp", "term")).alias("_t"))
-        tried = df.select(key, text).join(tried, F.col(key).eqNullSafe(F.col("_key")))
-        exact = lambda t: F.regexp_like(F.col(text), F.concat(F.lit(f"(?<!{WORD})\\Q"), F.replace(t["term"], F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(f"\\E(?!{WORD})")))
-        hit = hit.unionByName(tried.select(key, F.explode(F.filter("_t", exact)).alias("_t")).select(key, "_t.ord", "_t.grp"))
+    listed = durable(anchors(df, lookup, text, small), "anchors")
+    # a term without any word is tried on every text
+    words = F.concat(_words(F.col(text)), F.array(F.lit("")))
+    tried = (df.select(key, F.explode(words).alias("_word")).join(F.broadcast(listed) if small else listed, "_word")
+             .groupBy(F.col(key).alias("_key")).agg(F.collect_set(F.struct("ord", "grp", "term")).alias("_t")))
+    tried = df.select(key, text).join(tried, F.col(key).eqNullSafe(F.col("_key")))
+    exact = lambda t: F.contains(F.col(text), t["term"]) & F.regexp_like(F.col(text), F.concat(F.lit(f"(?<!{WORD})\\Q"), F.replace(t["term"], F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(f"\\E(?!{WORD})")))
+    hit = tried.select(key, F.explode(F.filter("_t", exact)).alias("_t")).select(key, "_t.ord", "_t.grp")
     grouped = hit.groupBy(key).agg(F.collect_set(F.struct("ord", "grp")).alias("_g"))
     return grouped.select(key, F.transform(F.array_sort("_g"), lambda g: g["grp"]).alias("matched"))

@@ -93,9 +93,16 @@ def test_key_range_reaches_the_scan(spark):
 
     path = fresh_path(spark, "index")
     index = spark.range(100).select(F.concat(F.lit("za,"), "id").alias("surt"), F.lit("u").alias("url"))
-    captures.write_index(index, path, 4)
-    plan = plan_of(captures.key_range(spark.read.parquet(path), "za").select("surt"))
+    other = spark.range(1000).select(F.concat(F.lit("com,"), F.lpad("id", 4, "0")).alias("surt"), F.lit("u").alias("url"))
+    captures.write_index(index.unionByName(other), path, 100)
+    found = captures.key_range(spark, path, "za")
+    plan = plan_of(found.select("surt"))
     assert "GreaterThanOrEqual(surt,za,)" in plan and "LessThan(surt,za-)" in plan and "url" not in plan.split("ReadSchema")[1]
+    assert found.count() == 100 and captures.key_range(spark, path, "com").count() == 1000 and captures.key_range(spark, path, "net").count() == 0
+    files = spark.read.parquet(f"{path}/captures").inputFiles()
+    assert len(files) >= 10 and 1 <= len(found.inputFiles()) <= 3
+    captures.write_index(index.limit(0), f"{path}-empty")
+    assert captures.key_range(spark, f"{path}-empty", "za").count() == 0
 
 
 def test_positions_never_bring_all_rows_to_one_task(spark):

@@ -128,6 +128,18 @@ def test_join_form_finds_terms_with_punctuation(spark):
     assert got == {0: ["i'm a broker"], 2: ["e-mail"], 5: ["c++", "cover"], 7: ["co.za"], 8: ["???"], 9: ["a  b"], 11: ["\\\\e x"]}
 
 
+def test_a_text_is_joined_by_its_words_however_long_the_terms(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    texts = [(0, f"the {long} end"), (1, long.replace("w7 ", "w7  ")), (2, "the end of the end"), (3, "the"), (4, None), (5, "")]
+    df = spark.createDataFrame(texts, "i int, match_text string")
+    table = spark.createDataFrame([("long", 0, long), ("end", 1, "the end"), ("none", 2, "the nowhere"), ("end", 3, "end of the")], "grp string, ord int, term string")
+    got = {r.i: r.matched for r in matching.match_by_join(df, table, "i").collect()}
+    assert got == {0: ["long"], 2: ["end", "end"]}
+    listed = {r.term: r["_word"] for r in matching.anchors(df, table, "match_text", True).collect()}
+    assert listed.keys() == {long, "the end", "end of the"} and listed["the end"] == "end" and listed["end of the"] == "of"
+    assert matching.match_by_join(df.limit(0), table, "i").count() == 0 and matching.match_by_join(df, table.limit(0), "i").count() == 0
+
+
 def test_every_phrase_of_a_benchmark_text_is_looked_for(spark, tmp_path):
     import __spark_entry__ as entry
 
