@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from siftline.llm.common import Scratch, whole
 
 SCOPE = 256
+PIECE = 256  # matches that are placed together
 KINDS = ("assign", "access", "hex", "secret", "identifier", "endpoint")
 _VALUE = r"""["']?\x20*[:=]\x20*["']?"""
 # kind: pattern, group whose length counts, smallest and largest length
@@ -41,8 +42,6 @@ def spans(kind: str, text: str = "_t") -> Column:
     pattern, group, least, most = PATTERNS[kind]
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), hits.alias("hit"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"))
-    nothing = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("found"))
-
     def step(done: Column, x: Column) -> Column:
         start = done["at"] + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
@@ -51,7 +50,17 @@ def spans(kind: str, text: str = "_t") -> Column:
         span = F.struct(start.cast("bigint").alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.cast("bigint").alias("end"))
         return F.struct(end.cast("bigint").alias("at"), F.when(good, F.concat(done["found"], F.array(span))).otherwise(done["found"]).alias("found"))
 
-    return F.when(F.col(text).rlike(pattern), F.aggregate(parts, nothing, step)["found"]).otherwise(F.array().cast(_SPAN))
+    def fold(p: Column) -> Column:
+        """Folded in pieces, each from the place where the one before ends: a list grows to a piece only."""
+        def piece(done: Column, i: Column) -> Column:
+            start = F.struct(F.element_at(done, -1)["at"].alias("at"), F.array().cast(_SPAN).alias("found"))
+            return F.concat(done, F.array(F.aggregate(F.slice(p, i * PIECE + 1, F.lit(PIECE)), start, step)))
+
+        first = F.array(F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("found")))
+        pieces = F.aggregate(F.sequence(F.lit(0), ((F.size(p) - 1) / PIECE).cast("int")), first, piece)
+        return F.flatten(F.transform(pieces, lambda x: x["found"]))
+
+    return F.when(F.col(text).rlike(pattern), F.transform(F.array(parts), fold)[0]).otherwise(F.array().cast(_SPAN))
 
 
 def listed(column: str) -> Column:

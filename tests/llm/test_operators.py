@@ -184,6 +184,14 @@ def test_neighbours_ties_and_unusable_rows(spark):
     assert neighbours.nearest(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 255, 256, 257, 40_000])
+def test_many_matches_of_one_text_are_placed(spark, n):
+    text = "é ".join(f"{i:030x}" + (" token: abcdefgh" if i % 5 == 0 else "") for i in range(n))
+    row = credentials.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    want = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]{24,}", text)]
+    assert [(x.start, x.end) for x in row.base if x.kind == 2] == want and row.n_hex == n and row.n_assign == -(-n // 5)
+
+
 def test_linked_credentials(spark):
     secret = "Ab1/" * 10
     far = " w" * 400
