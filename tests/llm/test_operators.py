@@ -1,6 +1,7 @@
 """Operators for training text: brute force, round trips, held-out accuracy and the defined odd cases."""
 
 import random
+import re
 import sys
 from pathlib import Path
 
