@@ -200,12 +200,28 @@ def _(t):
     return placement.shard_index(placed(t), 100)
 
 
+_LEVEL = "CASE lang WHEN 'en' THEN 2 WHEN 'fr' THEN 1 WHEN 'de' THEN 4 ELSE 0 END"
+
+
+def captured_level():
+    lang = F.col("lang")
+    return F.when(lang == "en", 2).when(lang == "fr", 1).when(lang == "de", 4).otherwise(0)
+
+
 @query("snk8_sample_export", """SELECT doc_id, '{"lang":"'||lang||'"}' AS profile, '{"n":"'||n_chars||'"}' AS detail FROM documents""")
 def _(t):
     rows = t.documents.select("doc_id", F.struct("lang").alias("profile"), F.create_map(F.lit("n"), F.col("n_chars").cast("string")).alias("detail"))
     return tables.sample_export(rows)
 
 
+@query("snk8_listed_export", """SELECT doc_id, priority, '{"lang":"'||lang||'"}' AS profile, '{"n":"'||n_chars||'"}' AS detail FROM (SELECT *, """ + _LEVEL + """ AS priority FROM documents WHERE source='src1')
+    ORDER BY priority DESC, doc_id LIMIT 40""")
+def _(t):
+    rows = t.documents.select("doc_id", "source", captured_level().alias("priority"), F.col("doc_id").alias("captured_at"), F.struct("lang").alias("profile"),
+                              F.create_map(F.lit("n"), F.col("n_chars").cast("string")).alias("detail"))
+    return tables.sample_export(rows, "src1", 40).select("doc_id", "priority", "profile", "detail")
+
+
 @query("snk9_keyset_page", "SELECT o_orderkey AS id, 1000 AS after, (SELECT max(o_orderkey) FROM orders) AS through FROM orders WHERE o_orderkey > 1000 ORDER BY o_orderkey LIMIT 500")
 def _(t):
     page, through, _next = tables.page_after(t.orders.select(F.col("o_orderkey").alias("id")), 1000, None, 500)
@@ -223,15 +239,13 @@ def _(t):
 
 # ---- samples (H-3) ------------------------------------------------------------------------------
 
-_LEVEL = "CASE lang WHEN 'en' THEN 2 WHEN 'fr' THEN 1 WHEN 'de' THEN 4 ELSE 0 END"
 SAMPLE_SQL = f"""WITH d AS (SELECT doc_id, source, {_LEVEL} AS p FROM documents), k AS (SELECT source, doc_id, p, unnest(range(0, p+1)) AS k FROM d), r AS (SELECT *, row_number() OVER (PARTITION BY source, k ORDER BY doc_id) AS rn FROM k),
     c AS (SELECT source, k, count(*) AS c FROM r WHERE rn <= 10 GROUP BY 1,2), e AS (SELECT source, doc_id, p, row_number() OVER (PARTITION BY source, p ORDER BY doc_id DESC) AS n FROM r WHERE rn <= 10 AND k=p)
     SELECT e.source, e.doc_id, e.p AS priority FROM e JOIN c a ON a.source=e.source AND a.k=e.p LEFT JOIN c b ON b.source=e.source AND b.k=e.p+1 WHERE e.n <= a.c - coalesce(b.c,0)"""
 
 
 def captured(t):
-    lang = F.col("lang")
-    return t.documents.select("source", "doc_id", F.when(lang == "en", 2).when(lang == "fr", 1).when(lang == "de", 4).otherwise(0).alias("priority"))
+    return t.documents.select("source", "doc_id", captured_level().alias("priority"))
 
 
 @query("h3_bounded_sample", SAMPLE_SQL)
@@ -239,6 +253,27 @@ def _(t):
     return samples.bounded_sample(captured(t), 10, "doc_id")
 
 
+def _sample_ctes(rows, n):
+    return f"""k{n} AS (SELECT *, unnest(range(0, p+1)) AS k FROM {rows}), r{n} AS (SELECT *, row_number() OVER (PARTITION BY source, k ORDER BY pos) AS rn FROM k{n}),
+    c{n} AS (SELECT source, k, count(*) AS c FROM r{n} WHERE rn <= 10 GROUP BY 1,2), e{n} AS (SELECT source, doc_id, pos, p, row_number() OVER (PARTITION BY source, p ORDER BY pos DESC) AS n FROM r{n} WHERE rn <= 10 AND k=p),
+    s{n} AS (SELECT e.source, e.doc_id, e.pos, e.p FROM e{n} e JOIN c{n} a ON a.source=e.source AND a.k=e.p LEFT JOIN c{n} b ON b.source=e.source AND b.k=e.p+1 WHERE e.n <= a.c - coalesce(b.c,0))"""
+
+
+# the first half is captured, then the second half and every third record of the first half again
+@query("h3_repeated_captures", f"""WITH d AS (SELECT source, doc_id, doc_id AS pos, {_LEVEL} AS p, doc_id > (SELECT max(doc_id) FROM documents)//2 AS later FROM documents), one AS (SELECT source, doc_id, pos, p FROM d WHERE NOT later),
+    {_sample_ctes('one', 1)}, again AS (SELECT source, doc_id, pos + 1000000000 AS pos, 3 AS p FROM one WHERE doc_id%3=0),
+    two AS (SELECT s.source, s.doc_id, s.pos, CASE WHEN a.doc_id IS NULL THEN s.p ELSE greatest(s.p, a.p) END AS p FROM s1 s LEFT JOIN again a USING (doc_id)
+      UNION ALL SELECT source, doc_id, pos, p FROM d WHERE later UNION ALL SELECT * FROM again WHERE doc_id NOT IN (SELECT doc_id FROM s1)), {_sample_ctes('two', 2)}
+    SELECT source, doc_id, pos, p AS priority FROM s2""")
+def _(t):
+    rows = captured(t).withColumn("pos", F.col("doc_id"))
+    half = F.floor(F.lit(t.documents.agg(F.max("doc_id")).first()[0]) / 2)
+    early, later = rows.filter(F.col("doc_id") <= half), rows.filter(F.col("doc_id") > half)
+    again = early.filter("doc_id % 3 = 0").withColumns({"pos": F.col("pos") + 1_000_000_000, "priority": F.lit(3)})
+    held = durable(samples.bounded_sample(early, 10, record="doc_id"), "sample")
+    return samples.bounded_sample(later.unionByName(again), 10, held=held, record="doc_id")
+
+
 # ---- training -----------------------------------------------------------------------------------
 
 def _labelled(t):

@@ -10,7 +10,7 @@ LEVELS = max(PRIORITY.values())
 
 
 def bounded_sample(captures: DataFrame, cap: int, order: str = "pos", source: str = "source", level: str = "priority",
-                   held: DataFrame | None = None) -> DataFrame:
+                   held: DataFrame | None = None, record: str | None = None, latest: tuple[str, ...] = ()) -> DataFrame:
     """H-3 without a fold: the rows a full sample still holds after all captures in ``order``.
 
     With capacity N the number of held rows of level >= k is always min(N, captures of level >= k so
@@ -18,8 +18,11 @@ def bounded_sample(captures: DataFrame, cap: int, order: str = "pos", source: st
     the newest min(N, C_k) - min(N, C_k+1) entrants of level k remain, because eviction takes the oldest.
     Both are ranks with a limit, which Spark cuts map-side: a hot source never meets in one task.
 
-    ``held`` is an earlier sample of the same shape; only its rows count as already captured.
+    ``held`` is an earlier sample of the same shape; only its rows count as already captured.  With ``record``, the column
+    that names a record within its source, repeats take no place of their own (:func:`without_repeats`).
     """
+    if record:
+        captures, held = without_repeats(captures, held, record, order, source, level, latest)
     rows = captures if held is None else held.unionByName(captures.select(*held.columns))
     floors = rows.select(source, order, level, F.explode(F.sequence(F.lit(0), F.col(level))).alias("_k"))
     first = Window.partitionBy(source, "_k").orderBy(order)
@@ -35,6 +38,28 @@ def bounded_sample(captures: DataFrame, cap: int, order: str = "pos", source: st
     return rows.join(kept, [source, order], "left_semi")
 
 
+def without_repeats(captures: DataFrame, held: DataFrame | None, record: str, order: str = "pos", source: str = "source",
+                    level: str = "priority", latest: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame | None]:
+    """Captures of records that are not held, one row each, and the held rows updated by the other captures.
+
+    A row keeps its place and the columns of its first capture, takes the highest level, and the columns ``latest`` from the newest
+    capture.  Captures of one call are merged before they meet the sample; a record without an id is never a repeat.
+    """
+    ids = [source, record]
+    rest = [c for c in captures.columns if c not in (*ids, level, *latest)]
+    first, newest = F.min_by(F.struct(*rest), F.col(order)), F.max_by(F.struct(F.lit(0).alias("_"), *latest), F.col(order))
+    one = (captures.filter(F.col(record).isNotNull()).groupBy(*ids).agg(first.alias("_f"), newest.alias("_n"), F.max(level).alias(level))
+           .select(*ids, level, "_f.*", *[f"_n.{c}" for c in latest]).select(*captures.columns))
+    unnamed = captures.filter(F.col(record).isNull())
+    if held is None:
+        return one.unionByName(unnamed), None
+    on = lambda a, b: a[source].eqNullSafe(b[source]) & (a[record] == b[record])
+    again = one.select(*ids, F.struct(F.col(level).alias("level"), *latest).alias("_new"))
+    met = held.join(again, on(held, again), "left").select(*[held[c] for c in held.columns], again["_new"].alias("_new"))
+    updated = met.withColumns({level: F.greatest(level, "_new.level"), **{c: F.when(F.col("_new").isNull(), F.col(c)).otherwise(F.col(f"_new.{c}")) for c in latest}})
+    return one.join(held, on(one, held), "left_anti").unionByName(unnamed), updated.drop("_new")
+
+
 def capture_rows(records: DataFrame, outcome: Column, text_limit: int | None = None) -> DataFrame:
     rows = records.withColumn("outcome", outcome).withColumn("priority", sample_priority(F.col("outcome")))
     return rows.withColumn("text", F.left("text", F.lit(text_limit))) if text_limit else rows

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siftline.functions.text import formula_safe, quoted_cell, text_or_empty
 from siftline.functions.values import FIELDS, TAB
+from siftline.operators.samples import listing
 
 PART_ROWS = 1000
 
@@ -80,9 +81,11 @@ def report_rows(tables: list[DataFrame]) -> DataFrame:
     return rows
 
 
-def sample_export(samples: DataFrame) -> DataFrame:
-    """SNK-8: samples with nested columns as JSON text, in listing order columns."""
-    return samples.withColumn("profile", F.to_json("profile")).withColumn("detail", F.to_json("detail"))
+def sample_export(samples: DataFrame, source: str | None = None, limit: int | None = None) -> DataFrame:
+    """SNK-8: samples with nested columns as JSON text, of one source or all; with ``limit`` the first in listing order."""
+    rows = samples.filter(F.col("source") == source) if source else samples
+    rows = rows if limit is None else listing(rows, limit=limit)
+    return rows.withColumn("profile", F.to_json("profile")).withColumn("detail", F.to_json("detail"))
 
 
 def page_after(rows: DataFrame, after: int, through: int | None, limit: int, key: str = "id") -> tuple[DataFrame, int, int | None]:

@@ -51,19 +51,20 @@ def cached_results(results: DataFrame, keep_seconds: float = FRESH_DAYS * 86_400
     return rows.groupBy("email_hash").applyInPandasWithState(each, CACHE_OUT, CACHE_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def sample_stream(captures: DataFrame, path: str, cap: int, order: str = "pos", run: str = "sample", after: str | None = None):
+def sample_stream(captures: DataFrame, path: str, cap: int, order: str = "pos", run: str = "sample", after: str | None = None,
+                  record: str | None = None, latest: tuple[str, ...] = ()):
     """STR-7: writer that keeps the bounded sample of every source as a table per run and batch id.
 
     The held sample is all the memory the rule needs, so each micro-batch merges it with the new rows.  The table of
     batch n is written from that of batch n-1, which makes a repeated batch harmless.  A new checkpoint needs a new run; it goes
-    on from the last table of the run ``after``.
+    on from the last table of the run ``after``.  With ``record``, repeated captures update the row that is held.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         folder = run_folder(batch, path, run, batch_id)
         before = f"{path}/run={run}/batch_id={batch_id - 1}" if batch_id > 0 else last_table(spark, f"{path}/run={after}") if after else None
         held = spark.read.schema(batch.schema).parquet(before) if before else None
-        bounded_sample(batch, cap, order, held=held).write.mode("overwrite").parquet(f"{path}/{folder}")
+        bounded_sample(batch, cap, order, held=held, record=record, latest=latest).write.mode("overwrite").parquet(f"{path}/{folder}")
 
     return captures.writeStream.foreachBatch(each)
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftline.operators import samples, timelines
+from siftline.session import durable
 
 START = datetime(2024, 1, 1, 12)
 
@@ -22,6 +23,42 @@ def sample_fold(rows, cap):
     return sorted(p for mine in held.values() for p, _ in mine)
 
 
+def sample_fold_with_repeats(batches, cap):
+    """One source: held rows in place, captures of a batch merged by record first."""
+    held = {}
+    for batch in batches:
+        merged = {}
+        for pos, record, level, outcome in batch:
+            first = merged.setdefault(record if record is not None else ("none", pos), [pos, level, outcome])
+            first[1], first[2] = max(first[1], level), outcome
+        for record, (_, level, outcome) in merged.items():
+            if record in held and not isinstance(record, tuple):
+                held[record][1], held[record][2] = max(held[record][1], level), outcome
+        for record, row in merged.items():
+            if record in held:
+                continue
+            if len(held) >= cap:
+                weakest = min(held, key=lambda r: (held[r][1], held[r][0]))
+                if held[weakest][1] >= row[1]:
+                    continue
+                del held[weakest]
+            held[record] = list(row)
+    return sorted(tuple(r) for r in held.values())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeated_captures_update_the_row_that_is_held(spark, seed):
+    rng = random.Random(seed)
+    rows = [(pos, rng.choice([None, *range(14)]) if pos % 2 else rng.randrange(14), rng.randint(0, 4), f"o{pos}") for pos in range(60)]
+    schema = "source string, pos long, record int, priority int, outcome string"
+    batches = [rows[:20], rows[20:40], rows[40:]]
+    held = None
+    for i, batch in enumerate(batches):
+        df = spark.createDataFrame([("s", pos, record, level, outcome) for pos, record, level, outcome in batch], schema)
+        held = durable(samples.bounded_sample(df, 6, held=held, record="record", latest=("outcome",)), "held")
+        assert sorted((r.pos, r.priority, r.outcome) for r in held.collect()) == sample_fold_with_repeats(batches[:i + 1], 6)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_bounded_sample_equals_the_fold(spark, seed):
     rng = random.Random(seed)
