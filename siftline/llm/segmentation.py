@@ -473,6 +473,32 @@ def encoded(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFram
     return at_once.unionByName(_long_texts(pieces, shared, scratch))
 
 
+def decoded(parts: DataFrame, model: str = MODEL) -> DataFrame:
+    """doc_id and text from rows of doc_id, part, parts and ids, as :func:`encoded` makes them; the way back for tables.
+
+    Every part is decoded on its own, as no character crosses from one to the next, and the parts of a text are joined in order.  A
+    repeated row of a text with one part is decoded as often; texts of many parts need an id, and if each of their parts
+    is there n times, the text comes n times.  A text that lacks a part is null; null ids decode to the empty text.
+    """
+    shared = parts.sparkSession.sparkContext.broadcast(Lexicon.load(model))  # the vocabulary file: a fixed size
+    text_batches(parts.sparkSession)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, first = batch.column("ids").to_pylist(), batch.column("part").to_pylist()
+            texts = [shared.value.decode(i or [], p == 0) for i, p in zip(ids, first, strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "part", "parts")], pa.array(texts, pa.string())], names=["doc_id", "part", "parts", "text"])
+
+    rows = parts.select(*[F.col(c).cast("long").alias(c) for c in ("doc_id", "part", "parts")], F.col("ids").cast("array<int>").alias("ids"))
+    texts = rows.mapInArrow(decode, "doc_id long, part long, parts long, text string")
+    many = texts.filter("parts > 1").groupBy("doc_id", "part").agg(F.min("text").alias("text"), F.max("parts").alias("parts"), F.count(F.lit(1)).alias("n"))
+    # the group is one text
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "text"))), lambda x: x["text"]), "")
+    many = many.groupBy("doc_id").agg(F.when(F.count(F.lit(1)) == F.max("parts"), joined).alias("text"), F.min("n").cast("int").alias("n"))
+    many = many.select("doc_id", "text", F.explode(F.array_repeat(F.lit(0), F.col("n"))).alias("_")).drop("_")
+    return texts.filter("parts = 1").select("doc_id", "text").unionByName(many)
+
+
 def report(docs: DataFrame, **settings) -> DataFrame:
     """A row per part: doc_id, part, parts, n_tokens, ids, exact."""
     return encoded(docs, **settings).select("doc_id", "part", "parts", F.size("ids").cast("long").alias("n_tokens"), "ids", "exact")

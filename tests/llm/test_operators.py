@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 from siftline.llm import archive, catalog, components, credentials, line_rules, line_templates, mixture, near_dupes, neighbours, quality, segmentation, toxicity
 from siftline.llm.common import Scratch, word_hashes
+from siftline.session import durable
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, target string, _left int"
@@ -158,6 +159,66 @@ def test_chunks_give_the_sequential_path(spark, lexicon):
         assert len(own) == own[0].parts == max(1, len(text) // 32 if len(text) >= 64 else 1)
 
 
+def plain_encoding(text, scores, names, of_byte):
+    """Best path over all cuts of a text by a plain dynamic program; of equal sums the last piece that starts first."""
+    if not text:
+        return []
+    # the mark as a character of the text has no piece of its own; here it is one that no piece holds
+    symbols = "▁" + text.replace("▁", "\ud800").replace(" ", "▁")
+    longest, unknown = max(map(len, scores)), min(scores.values()) - 10
+    best, came = [0] + [None] * len(symbols), [0] * (len(symbols) + 1)
+    for j in range(1, len(symbols) + 1):
+        for i in range(max(0, j - longest), j):
+            score = scores.get(symbols[i:j], unknown if j == i + 1 else None)
+            if score is not None and (best[j] is None or best[i] + score > best[j]):
+                best[j], came[j] = best[i] + score, i
+    ids, j = [], len(symbols)
+    while j:
+        piece = symbols[came[j]:j]
+        ids[:0] = [names[piece]] if piece in names else [of_byte[b] for b in piece.replace("\ud800", "▁").encode()]
+        j = came[j]
+    return ids
+
+
+@pytest.fixture(scope="module")
+def pieces_of_file():
+    import sentencepiece
+
+    processor = sentencepiece.SentencePieceProcessor(model_file=segmentation.MODEL)
+    scores, names, of_byte = {}, {}, {}
+    for i in range(processor.get_piece_size()):
+        piece = processor.id_to_piece(i)
+        if processor.is_byte(i):
+            of_byte[int(piece[1:-1], 16)] = i
+        elif not (processor.is_control(i) or processor.is_unknown(i) or processor.is_unused(i)):
+            scores[piece], names[piece] = max(int(processor.get_score(i)), int(segmentation.FLOOR)), i
+    return scores, names, of_byte
+
+
+@pytest.mark.parametrize("chunk", [1 << 15, 64])
+def test_ids_are_those_of_a_plain_dynamic_program(spark, pieces_of_file, chunk):
+    rng = random.Random(9)
+    odd = ["", " ", "  a", "▁", "a▁ b", "漢字 é", "\n\n", "x" * 300, " " * 200, "".join(rng.choice(["the", "ing", " ", "  ", "\n", "é", "▁", "漢", "er"]) for _ in range(400))]
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
+    docs = list(enumerate(odd + texts))
+    rows = segmentation.encoded(spark.createDataFrame(docs, "doc_id long, text string"), chunk=chunk).orderBy("doc_id", "part").collect()
+    got = {k: [] for k, _ in docs}
+    for r in rows:
+        got[r.doc_id] += r.ids or []
+    assert all(got[k] == plain_encoding(t or "", *pieces_of_file) for k, t in docs)
+    assert (len(rows) > len(docs)) == (chunk == 64)
+
+
+def test_tables_of_ids_are_decoded(spark):
+    texts = [(1, "a b" * 100), (1, "a b" * 100), (2, "short"), (2, "short"), (3, ""), (4, None), (None, "no id"), (5, "漢字▁ é\n" * 60), (6, "lost part " * 30)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("parts", F.lit("x"))
+    parts = durable(segmentation.report(df, chunk=64), "parts")
+    parts = parts.filter("NOT (doc_id = 6 AND part = 1)")
+    got = sorted(((r.doc_id, r.text) for r in segmentation.decoded(parts).collect()), key=str)
+    assert got == sorted([(k, (None if k == 6 else t or "")) for k, t in texts], key=str)
+    assert segmentation.decoded(parts.limit(0)).count() == 0
+
+
 def test_neighbours_reach_recall(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = neighbours.nearest(vectors, least=1).collect()
