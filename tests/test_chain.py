@@ -105,11 +105,22 @@ def test_key_range_reaches_the_scan(spark):
     assert captures.key_range(spark, f"{path}-empty", "za").count() == 0
 
 
-def test_positions_never_bring_all_rows_to_one_task(spark):
-    """Rows are numbered per block; only the sums of whole super-blocks meet in one place."""
-    plan = plan_of(positions(spark.range(1000).withColumnRenamed("id", "k"), "k"))
-    single = plan.split("SinglePartition")
-    assert len(single) == 2 and "sum(_n" in single[1].splitlines()[1]
+def test_positions_never_bring_all_rows_to_one_task(spark, monkeypatch):
+    """Rows are numbered inside sampled ranges and written; only a row per piece meets in one place."""
+    from siftline.operators import keys
+
+    written, durable = {}, keys.durable
+
+    def kept(df, name):
+        written[name] = (plan_of(df), durable(df, name))
+        return written[name][1]
+
+    monkeypatch.setattr(keys, "durable", kept)
+    out = positions(spark.range(1000).withColumnRenamed("id", "k"), "k", pieces=8)
+    assert "SinglePartition" not in plan_of(out) and "SinglePartition" not in written["numbered"][0] and "rangepartitioning" in written["numbered"][0]
+    assert written["offsets"][1].count() == 8
+    sizes = [r["count"] for r in written["numbered"][1].groupBy(F.shiftright("_pos_at", 33)).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 300
 
 
 def test_results_do_not_depend_on_partitions(spark):
