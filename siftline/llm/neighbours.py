@@ -123,7 +123,8 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, rerank: fl
     classes = entries.join(asked.select("_same").distinct(), "_same", "left_semi").select(F.col("entry").alias("entry"), F.col("embedding").alias("embedding"))
     shards = -(-n // shard)
     blocks = max(1, -(-classes.count() // BLOCK))
-    spread = lambda df, own, n_own, other, n_other: df.withColumn(own, F.pmod(F.xxhash64("entry"), F.lit(n_own))).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
+    # both numbers are int on both sides: groups of unlike types would be hashed to unlike partitions and never meet
+    spread = lambda df, own, n_own, other, n_other: df.withColumn(own, F.pmod(F.xxhash64("entry"), F.lit(n_own)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
     indexed = spread(entries.select("entry", "embedding"), "_shard", shards, "_block", blocks)
     posed = spread(classes, "_block", blocks, "_shard", shards)
     search = _searched(pivots, -(-least // shards), rerank, k + 1)

@@ -236,6 +236,27 @@ def test_neighbours_reach_recall(spark):
     assert len(found) == (ids % 50 == 0).sum() and hits / (5 * len(found)) >= 0.9
 
 
+@pytest.mark.parametrize("clusters, noise", [(40, 0.1), (400, 0.2)])
+def test_neighbours_of_clustered_vectors_over_many_partitions(spark, clusters, noise):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(clusters, 32))
+    x = (centres[rng.integers(0, clusters, 5000)] + noise * rng.normal(size=(5000, 32))).astype(np.float32).astype(float)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), least=1).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 5000, 50):
+        score = units @ units[q]
+        score[q] = -2
+        hits += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(-score, kind="stable")[:5].tolist()))
+    assert hits / 500 >= 0.9
+
+
 def test_neighbours_ties_and_unusable_rows(spark):
     rows = [(i, [1.0, 0.0]) for i in range(0, 12)] + [(50, [0.0, 1.0]), (50, [0.0, 1.0]), (51, None), (52, [0.0, 0.0]), (53, [1.0, None]), (54, [float("nan"), 1.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1)).withColumn("entry", F.lit(2))
