@@ -241,13 +241,14 @@ def test_neighbours_of_clustered_vectors_over_many_partitions(spark, clusters, n
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(clusters, 32))
     x = (centres[rng.integers(0, clusters, 5000)] + noise * rng.normal(size=(5000, 32))).astype(np.float32).astype(float)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
         got = neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), least=1).collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     units = x / np.linalg.norm(x, axis=1, keepdims=True)
     hits = 0
     for q in range(0, 5000, 50):
