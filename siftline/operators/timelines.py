@@ -6,7 +6,7 @@ A plain window per key puts a whole series into one task.  Runs and the states t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from siftline.operators.scans import streaks
 
@@ -21,20 +21,33 @@ def rolling_minute(log: DataFrame, key: str, ts: str, amounts: dict[str, Column]
                    chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """WIN-7: totals over the open interval (t - seconds, t] per key.
 
-    Rows of the last ``seconds`` of a chunk are also sent to the next chunk as context and removed again.
+    Rows of the last ``seconds`` of a chunk are also sent to the next chunk as context and removed again.  Every row enters the
+    running total of its chunk at its time and leaves it when the interval is over, so a dense minute costs no more than a
+    sparse one.  Only amounts of floating type, whose differences are not exact, are added again for every row.
     """
     micros = F.unix_micros(F.col(ts))
     staged = with_chunk(log, ts, chunk_seconds).withColumn("_t", micros)
     for name, amount in amounts.items():
         staged = staged.withColumn(f"_a_{name}", amount)
+    exact = {n for n in amounts if not isinstance(staged.schema[f"_a_{n}"].dataType, T.FractionalType) or isinstance(staged.schema[f"_a_{n}"].dataType, T.DecimalType)}
     late = F.floor((F.col("_t") + seconds * 1_000_000 - 1) / F.lit(chunk_seconds * 1_000_000)) > F.col("_chunk")
     targets = F.when(late, F.array(F.col("_chunk"), F.col("_chunk") + 1)).otherwise(F.array("_chunk"))
     spread = staged.withColumn("_to", F.explode(targets))
     reach = Window.partitionBy(key, "_to").orderBy("_t").rangeBetween(-(seconds * 1_000_000 - 1), 0)
-    for name in amounts:
+    for name in amounts.keys() - exact:
         spread = spread.withColumn(name, F.sum(f"_a_{name}").over(reach))
+    if exact:
+        steps = F.array(F.struct(F.lit(1).alias("sign"), F.col("_t").alias("at")), F.struct(F.lit(-1).alias("sign"), (F.col("_t") + seconds * 1_000_000).alias("at")))
+        spread = spread.select("*", F.inline(steps).alias("_sign", "_at"))
+        upto = Window.partitionBy(key, "_to").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+        for name in exact:
+            # a null amount is no amount: a total is null only where the interval holds nothing else
+            held = F.sum(F.when(F.col(f"_a_{name}").isNotNull(), F.col("_sign"))).over(upto)
+            spread = spread.withColumn(name, F.when(held > 0, F.sum(F.when(F.col("_sign") > 0, F.col(f"_a_{name}")).otherwise(-F.col(f"_a_{name}"))).over(upto)))
+        spread = spread.filter("_sign = 1").drop("_sign", "_at")
     helpers = ["_t", "_chunk", "_to", *[f"_a_{n}" for n in amounts]]
-    return spread.filter(F.col("_to") == F.col("_chunk")).drop(*helpers)
+    names = [*[c for c in log.columns if c not in amounts], *amounts]
+    return spread.filter(F.col("_to") == F.col("_chunk")).drop(*helpers).select(*[F.col(f"`{c}`") for c in names])
 
 
 def hysteresis(samples: DataFrame, key: str, ts: str, value: str, high: float, low: float, out: str = "draining",

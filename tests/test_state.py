@@ -104,6 +104,22 @@ def test_hysteresis_and_rolling_totals_do_not_depend_on_chunks(spark):
     assert small == want
 
 
+def test_rolling_totals_of_a_dense_minute_are_not_added_again_for_every_row(spark):
+    log = spark.range(120_000).selectExpr("id", "'k' AS k", "timestamp_micros(1704067200000000 + id * 400) AS ts", "if(id % 3 = 0, NULL, id) AS v", "id / 2 AS half")
+    whole = {"n": F.lit(1), "total": F.col("v")}
+    out = timelines.rolling_minute(log, "k", "ts", whole)
+    # the frame that begins at an offset is what adds a minute again for each of its rows
+    assert "-59999999" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.filter("id IN (0, 1, 7, 119999)").collect():
+        seen = [v for v in range(max(0, r.id - 149_999), r.id + 1)]
+        assert r.n == len(seen) and r.total == (sum(v for v in seen if v % 3) or None)
+    # amounts whose differences are not exact, and rows that leave the interval
+    few = log.filter("id < 40").withColumn("ts", F.timestamp_micros(1704067200000000 + F.col("id") * 7_000_000))
+    for r in timelines.rolling_minute(few, "k", "ts", {**whole, "h": F.col("half")}, chunk_seconds=61).collect():
+        seen = range(max(0, r.id - 8), r.id + 1)
+        assert (r.n, r.total, r.h) == (len(seen), sum(v for v in seen if v % 3) or None, sum(v / 2 for v in seen))
+
+
 def test_erasure_and_updates(spark):
     df = spark.createDataFrame([("a", "1", 1, "candidate", 2, {"n": "1"}), ("a", "2", 2, "rejected", 0, {}), ("b", "1", 3, "candidate", 2, {})],
                                "source string, source_record_id string, candidate_id long, outcome string, priority int, detail map<string,string>")
