@@ -9,3 +9,21 @@ def test_rank_scores_of_finals_round_the_double_and_not_its_decimal(spark, tmp_p
     got = {r.candidate_id: r.rank_score for r in Tables(spark, str(tmp_path)).finals.collect()}
     # what DuckDB's round(abs(c_acctbal) / 1000, 2) gives for these balances
     assert got == {0: 8.49, 1: 9.32, 2: 8.51, 3: 8.49, 4: 0.13, 5: 0.0}
+
+
+def test_folded_texts_travel_in_small_batches(spark):
+    from pyspark.sql import functions as F
+
+    from siftline.functions.text import canonical_text
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "10000")
+        canonical_text(F.col("text"))
+        assert int(spark.conf.get(setting)) <= 1000
+        spark.conf.set(setting, "200")
+        canonical_text(F.col("text"))
+        assert spark.conf.get(setting) == "200"
+    finally:
+        spark.conf.set(setting, before)
