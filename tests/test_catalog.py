@@ -27,3 +27,13 @@ def test_folded_texts_travel_in_small_batches(spark):
         assert spark.conf.get(setting) == "200"
     finally:
         spark.conf.set(setting, before)
+
+
+def test_records_of_a_decision_are_scored_once(spark, monkeypatch):
+    from siftline.catalog import rules
+
+    scored = []
+    monkeypatch.setattr(rules, "_scored", lambda t: scored.append(1) or spark.range(3).selectExpr("id AS pos", "'long' AS text", "struct(id AS score) AS rules"))
+    rows = rules._scored_once(None)
+    assert rows.columns == ["pos", "rules"] and rows.count() == 3 and len(scored) == 1
+    assert len(rows.inputFiles()) > 0
