@@ -26,11 +26,16 @@ def _events(t):
     return _stream(t, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+# Rows of a file that one task writes and reads; whole texts take some 3 KB a row.
+PART_ROWS = 50_000
+
+
 def _parts(t, df, name: str, count: int):
-    """Rows written as several files, so a stream over them has several micro-batches."""
+    """Rows written as files of bounded size, and how many of them make a micro-batch, so a stream over them has ``count`` micro-batches."""
     path = fresh_path(t.spark, name)
-    df.repartition(count).write.parquet(path)
-    return path
+    each = max(1, -(-df.count() // (count * PART_ROWS)))
+    df.repartition(count * each).write.parquet(path)
+    return path, each
 
 
 def _in_order(t, df, order: str, name: str, count: int):
@@ -59,9 +64,9 @@ def _to_table(t, df, name: str):
 def _(t):
     rows = t.records.drop("lang")
     again = rows.withColumn("pos", F.col("pos") + F.lit(1 << 40)).withColumn("source_record_id", F.concat("source_record_id", F.lit("-again")))
-    path = _parts(t, rows.unionByName(again), "arrivals", 3)
+    path, each = _parts(t, rows.unionByName(again), "arrivals", 3)
     stored, keys = fresh_path(t.spark, "stored"), fresh_path(t.spark, "keys")
-    stream = ingest.file_stream(t.spark, path, rows.schema, files_per_batch=1)
+    stream = ingest.file_stream(t.spark, path, rows.schema, files_per_batch=each)
     _ran(t, ingest.ingest(stream, stored, keys, parts=16, segments=3), "admission")
     # a new checkpoint starts its batch ids again and reads everything again: nothing is stored twice, nothing lost
     _ran(t, ingest.ingest(stream, stored, keys, parts=16, segments=3), "admission-again")
@@ -71,8 +76,8 @@ def _(t):
 @query("str2_replay_overlap", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def _(t):
     twice = t.log.unionByName(t.log)
-    path = _parts(t, twice, "overlap", 3)
-    stream = ingest.file_stream(t.spark, path, twice.schema, files_per_batch=1)
+    path, each = _parts(t, twice, "overlap", 3)
+    stream = ingest.file_stream(t.spark, path, twice.schema, files_per_batch=each)
     return _to_table(t, ingest.deduplicated(stream, ["event_id"], "ts", "40 days"), "distinct").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -92,8 +97,8 @@ def _(t):
 
 @query("str5_daily_counters", "SELECT strftime(ts,'%Y-%m-%d') AS day, 'src'||user_id % 4 AS source, event_type AS name, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS value FROM events GROUP BY 1,2,3")
 def _(t):
-    path = _parts(t, t.log, "counted", 3)
-    stream = ingest.file_stream(t.spark, path, t.log.schema, files_per_batch=1)
+    path, each = _parts(t, t.log, "counted", 3)
+    stream = ingest.file_stream(t.spark, path, t.log.schema, files_per_batch=each)
     rows = stream.select("ts", F.concat(F.lit("src"), F.col("user_id") % 4).alias("source"), F.col("event_type").alias("name"), F.floor("value").alias("amount"))
     out = fresh_path(t.spark, "counters")
     _ran(t, ingest.write_updates(ingest.daily_counts(rows), out), "counters")
@@ -146,9 +151,9 @@ def _(t):
 @query("str10_exactly_once", "SELECT tab, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM placed GROUP BY tab", ctes="placed")
 def _(t):
     items = delivery.items(placed(t), "camp")
-    path = _parts(t, items, "items", 3)
+    path, each = _parts(t, items, "items", 3)
     out, checkpoint = fresh_path(t.spark, "delivered"), fresh_path(t.spark, "delivered-checkpoint")
-    stream = lambda: ingest.file_stream(t.spark, path, items.schema, files_per_batch=1)
+    stream = lambda: ingest.file_stream(t.spark, path, items.schema, files_per_batch=each)
     ingest.run_to_end(state.deliver_stream(stream(), out), checkpoint)
     ingest.run_to_end(state.deliver_stream(stream(), out), checkpoint)  # a restart finds nothing left to do
     ingest.run_to_end(state.deliver_stream(stream(), out, run="replay"), fresh_path(t.spark, "replayed"))  # a full replay delivers nothing again
@@ -157,7 +162,7 @@ def _(t):
 
 @query("str14_resumable_scan", "SELECT lang, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1")
 def _(t):
-    path = _parts(t, t.docs, "scan", 4)
-    stream = ingest.file_stream(t.spark, path, t.docs.schema, files_per_batch=1)
+    path, each = _parts(t, t.docs, "scan", 4)
+    stream = ingest.file_stream(t.spark, path, t.docs.schema, files_per_batch=each)
     return _to_table(t, stream, "scanned").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
 

@@ -37,3 +37,18 @@ def test_records_of_a_decision_are_scored_once(spark, monkeypatch):
     rows = rules._scored_once(None)
     assert rows.columns == ["pos", "rules"] and rows.count() == 3 and len(scored) == 1
     assert len(rows.inputFiles()) > 0
+
+
+def test_files_of_a_stream_are_bounded_and_its_micro_batches_are_not_more(spark, tmp_path, monkeypatch):
+    from siftline.catalog import streams
+    from siftline.streaming import ingest
+
+    monkeypatch.setattr(streams, "PART_ROWS", 10)
+    rows = spark.range(100)
+    path, each = streams._parts(Tables(spark, str(tmp_path)), rows, "bounded", 3)
+    held = [r.n for r in spark.read.parquet(path).selectExpr("input_file_name() AS f").groupBy("f").count().withColumnRenamed("count", "n").collect()]
+    assert sum(held) == 100 and max(held) <= 12 and each == 4
+    seen = []
+    stream = ingest.file_stream(spark, path, rows.schema, files_per_batch=each)
+    ingest.run_to_end(stream.writeStream.foreachBatch(lambda b, i: seen.append(b.count())), f"{tmp_path}/checkpoint")
+    assert len(seen) == 3 and sum(seen) == 100
