@@ -1,7 +1,8 @@
 """ML-1..ML-7: text classification over a labelled table.
 
 Features are relational: a row's terms are ``(key, term, tf)``, the vocabulary is a table of at most ``size`` terms, and a score is
-a join with the vocabulary and a sum per row.  Only the fit itself takes vectors, one for each training row.  ``key`` tells
+a join with the vocabulary and a sum per row.  Rows meet the vocabulary by 64-bit codes of the terms, and the terms themselves are
+compared where codes are equal.  Only the fit itself takes vectors, one for each training row.  ``key`` tells
 the rows of a table apart; null and empty texts have no terms and are scored by the intercepts alone.
 """
 
@@ -15,6 +16,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
+from siftline.operators.keys import BROADCAST_ROWS
 from siftline.operators.reports import classification_report, last_wins
 from siftline.session import durable
 
@@ -82,55 +84,142 @@ class TextModel:
         return TextModel([r.label for r in rows], [r.intercept for r in rows], spark.read.parquet(f"{path}/terms"))
 
 
+def _words(text: str) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(?U)\w\w+"), F.lit(0))
+
+
+def _neighbours(items: str, joined) -> Column:
+    """``joined`` of every item of an array and the next one."""
+    n = F.greatest(F.size(items) - 1, F.lit(0))
+    return F.zip_with(F.slice(items, F.lit(1), n), F.slice(items, F.lit(2), n), joined)
+
+
 def term_counts(rows: DataFrame, key: str = "pos", text: str = "text") -> DataFrame:
     """Words of two or more characters and pairs of neighbours: ``(key, term, tf)``.
 
     Counted inside the row from its sorted terms, so nothing is shuffled.
     """
     s, starts = F.col("_s"), F.col("_at")
-    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(?U)\w\w+"), F.lit(0))
-    n = F.greatest(F.size("_w") - 1, F.lit(0))
-    pairs = F.zip_with(F.slice("_w", F.lit(1), n), F.slice("_w", F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
+    pairs = _neighbours("_w", lambda a, b: F.concat(a, F.lit(" "), b))
     first = F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i))
     counted = F.transform(starts, lambda p, i: F.struct(
         F.get(s, p).alias("term"), (F.coalesce(F.get(starts, i + 1), F.size(s)) - p).alias("tf")))
-    staged = (rows.select(F.col(key), words.alias("_w"))
+    staged = (rows.select(F.col(key), _words(text).alias("_w"))
               .select(key, F.sort_array(F.concat("_w", pairs)).alias("_s"))
               .select(key, "_s", F.filter(first, lambda p: p.isNotNull()).alias("_at")))
     return staged.select(key, F.inline(counted))
 
 
-def vocabulary(counts: DataFrame, rows: int, size: int = FEATURES) -> DataFrame:
-    """The ``size`` terms with the largest counts, ties by term: ``(term, idx, idf)`` with idf = 1 + ln((1 + rows) / (1 + df))."""
-    top = counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df")).orderBy(F.desc("n"), "term").limit(size)
+def _coded(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, _w, _h)``: the words of a row and a 64-bit code of each."""
+    return rows.select(F.col(key), _words(text).alias("_w")).select(key, "_w", F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
+
+
+def term_code(term: Column) -> Column:
+    """The code of a term: that of its word, or of the codes of its two words."""
+    first, second = F.xxhash64(F.substring_index(term, " ", 1)), F.xxhash64(F.substring_index(term, " ", -1))
+    return F.when(F.contains(term, F.lit(" ")), F.xxhash64(first, second)).otherwise(first)
+
+
+def occurrences(rows: DataFrame, key: str = "pos", text: str = "text", terms: bool = True) -> DataFrame:
+    """``(key, code, term)``, a row per occurrence of a term; ``terms=False`` leaves the term out and makes no strings of pairs.
+
+    The generators are outer ones: for an inner one the optimizer infers a filter on the size of the array and moves it down as a
+    copy of the expression, so that every text would be cut twice.
+    """
+    codes = F.concat("_h", _neighbours("_h", lambda a, b: F.xxhash64(a, b)))
+    if not terms:
+        out = _coded(rows, key, text).select(key, codes.alias("_c")).select(key, F.explode_outer("_c").alias("code"))
+    else:
+        names = F.concat("_w", _neighbours("_w", lambda a, b: F.concat(a, F.lit(" "), b)))
+        pairs = _coded(rows, key, text).select(key, F.arrays_zip(codes.alias("code"), names.alias("term")).alias("_z"))
+        out = pairs.select(key, F.inline_outer("_z").alias("code", "term"))
+    return out.filter("code IS NOT NULL")
+
+
+def _most(counts: DataFrame, size: int) -> DataFrame:
+    return counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df")).orderBy(F.desc("n"), "term").limit(size)
+
+
+def _numbered(top: DataFrame, rows: int) -> DataFrame:
     # one task numbers at most ``size`` terms
     idx = F.row_number().over(Window.orderBy("term")) - 1
     return top.select("term", idx.alias("idx"), (F.log((F.lit(1.0) + rows) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
 
 
+def vocabulary(counts: DataFrame, rows: int, size: int = FEATURES) -> DataFrame:
+    """The ``size`` terms with the largest counts, ties by term: ``(term, idx, idf)`` with idf = 1 + ln((1 + rows) / (1 + df))."""
+    return _numbered(_most(counts, size), rows)
+
+
+def fitted_vocabulary(rows: DataFrame, size: int = FEATURES, key: str = "pos", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """:func:`vocabulary` of the terms of ``rows``, and counts ``(key, term, tf)`` that hold at least its terms.
+
+    Occurrences are counted by code.  A code counts at least as often as any of its terms, so terms of codes below the count of
+    rank ``size`` are outside, if the terms of the other codes, counted again by themselves, fill the vocabulary above that count.
+    If they do not (codes that clash), or if ties leave too many codes to broadcast, all terms are counted by themselves.
+    """
+    total = rows.count()
+    counted = durable(occurrences(rows, key, text, terms=False).groupBy("code").agg(F.count(F.lit(1)).alias("n")), "codes")
+    least, found = counted.orderBy(F.desc("n")).limit(size).agg(F.min("n"), F.count(F.lit(1))).first()
+    wanted = counted.filter(F.col("n") >= (least or 0)).select(F.col("code").alias("_code"))
+    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        met = occurrences(rows, key, text).join(F.broadcast(wanted), F.col("code") == F.col("_code"))
+        # most occurrences are added up in the task that holds their row
+        counts = durable(met.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")), "counts")
+        top = durable(_most(counts, size), "terms")
+        worst, kept = top.agg(F.min("n"), F.count(F.lit(1))).first()
+        if kept >= found and (found < size or worst >= least):
+            return _numbered(top, total), counts
+    counts = term_counts(rows, key, text)
+    return vocabulary(counts, total, size), counts
+
+
 def raw_weights(counts: DataFrame, terms: DataFrame) -> DataFrame:
     """``counts`` with the columns of ``terms`` and ``raw`` = (1 + ln tf) * idf; terms outside the vocabulary go."""
     # a vocabulary is at most FEATURES terms
     return counts.join(F.broadcast(terms), "term").withColumn("raw", (F.log(F.col("tf").cast("double")) + 1) * F.col("idf"))
 
 
-def features(rows: DataFrame, terms: DataFrame, key: str = "pos", text: str = "text") -> DataFrame:
+def known_counts(rows: DataFrame, terms: DataFrame, key: str = "pos", text: str = "text") -> DataFrame:
+    """``(key, term, tf)`` for the terms of ``terms`` alone.
+
+    Rows are dealt by ``key`` once, as pairs of numbers; what is computed per row and term or per row afterwards moves nothing.
+    """
+    numbers = F.broadcast(terms.select(term_code(F.col("term")).alias("_code"), F.col("term").alias("_term"), "idx"))
+    # between instead of equality: an equality would become part of the hashed key, and hash every string
+    same = (F.col("code") == F.col("_code")) & F.col("term").between(F.col("_term"), F.col("_term"))
+    met = occurrences(rows, key, text).join(numbers, same).select(key, "idx")
+    counts = met.repartition(key).groupBy(key, "idx").agg(F.count(F.lit(1)).alias("tf"))
+    return counts.join(F.broadcast(terms.select("term", "idx")), "idx").select(key, "term", "tf")
+
+
+def weighted(counts: DataFrame, terms: DataFrame, key: str = "pos") -> DataFrame:
     """ML-3: ``(key, term, idx, weight)``, the weights of a row at unit length."""
     of_row = Window.partitionBy(key)
-    raw = raw_weights(term_counts(rows, key, text), terms)
+    raw = raw_weights(counts, terms)
     return raw.select(key, "term", "idx", (F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(of_row))).alias("weight"))
 
 
+def features(rows: DataFrame, terms: DataFrame, key: str = "pos", text: str = "text") -> DataFrame:
+    """ML-3: :func:`weighted` terms of rows, which need not be those of the vocabulary."""
+    return weighted(known_counts(rows, terms, key, text), terms, key)
+
+
 def sparse(indices: Column, values: Column, size: int) -> Column:
     """A vector of Spark ML from two arrays, without a Python function: the stored form of a vector, read back from JSON."""
     stored = F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values"))
     return F.from_json(F.to_json(F.struct(stored.alias("v"))), StructType().add("v", VectorUDT()))["v"]
 
 
+def _packed(entries: DataFrame, size: int, key: str) -> DataFrame:
+    listed = entries.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_e"))
+    return listed.select(key, sparse(F.col("_e.idx"), F.col("_e.weight"), size).alias("features"))
+
+
 def vectors(rows: DataFrame, terms: DataFrame, size: int = FEATURES, key: str = "pos", text: str = "text") -> DataFrame:
     """``(key, features)`` of the rows that hold a term; at most ``size`` entries a row."""
-    entries = features(rows, terms, key, text).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_e"))
-    return entries.select(key, sparse(F.col("_e.idx"), F.col("_e.weight"), size).alias("features"))
+    return _packed(features(rows, terms, key, text), size, key)
 
 
 def balanced(rows: DataFrame, label: str = "label") -> DataFrame:
@@ -143,8 +232,9 @@ def balanced(rows: DataFrame, label: str = "label") -> DataFrame:
 def train(rows: DataFrame, size: int = FEATURES, key: str = "pos") -> TextModel:
     """ML-3/ML-4: one balanced logistic regression per label over the text features; rows without a label are left out."""
     rows = rows.filter("label IS NOT NULL")
-    terms = durable(vocabulary(term_counts(rows, key), rows.count(), size), "vocabulary")
-    labelled = balanced(rows).select(key, "label", "weight").join(vectors(rows, terms, size, key), key, "left")
+    terms, counts = fitted_vocabulary(rows, size, key)
+    terms = durable(terms, "vocabulary")
+    labelled = balanced(rows).select(key, "label", "weight").join(_packed(weighted(counts, terms, key), size, key), key, "left")
     empty = sparse(F.array().cast("array<int>"), F.array().cast("array<double>"), size)
     data = durable(labelled.withColumn("features", F.coalesce("features", empty)), "vectors")
     index = StringIndexer(inputCol="label", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
@@ -159,9 +249,9 @@ def train(rows: DataFrame, size: int = FEATURES, key: str = "pos") -> TextModel:
 def label_shares(model: TextModel, rows: DataFrame, key: str = "pos", text: str = "text") -> DataFrame:
     """``(key, _p)``: the probability of every label for the rows that hold a term, from one sum per row and label.
 
-    All terms of a row lie in one partition, so the sums reach the shuffle as one row each.
+    The terms of a row are dealt to one task by ``key``, and the sums move no further.
     """
-    raw = raw_weights(term_counts(rows, key, text), model.terms)
+    raw = raw_weights(known_counts(rows, model.terms, key, text), model.terms)
     names = [f"_m{i}" for i in range(len(model.labels))]
     sums = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"),
                                 *[F.sum(F.col("raw") * F.col("coefficients")[i]).alias(n) for i, n in enumerate(names)])

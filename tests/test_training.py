@@ -85,3 +85,28 @@ def test_scoring_runs_without_python_and_shuffles_sums(rows):
 def test_empty_table(spark, rows):
     terms = training.vocabulary(training.term_counts(rows), len(TEXTS))
     assert training.features(rows.limit(0), terms).count() == 0
+
+
+def test_texts_are_cut_once_and_the_vocabulary_is_that_of_all_terms(spark, rows, monkeypatch):
+    for terms in (True, False):
+        plan = training.occurrences(rows, terms=terms)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1
+    many = spark.createDataFrame([(i, f"common words {i % 7} of row{i % 40} again common", "a") for i in range(400)], "pos long, text string, label string")
+    for table, size in ((many, 5), (many, 60), (rows, 7), (rows, 1000), (rows.limit(0), 7)):
+        want = training.vocabulary(training.term_counts(table), table.count(), size).orderBy("idx").collect()
+        terms, counts = training.fitted_vocabulary(table, size)
+        assert terms.orderBy("idx").collect() == want
+        weights = lambda df: {(r.pos, r.term): r.weight for r in df.collect()}
+        assert weights(training.weighted(counts, terms)) == pytest.approx(weights(training.features(table, terms)))
+    # only terms that may be in the vocabulary are kept as strings
+    few = training.fitted_vocabulary(many, 5)[1].select("term").distinct().count()
+    assert few < 20 < training.term_counts(many).select("term").distinct().count()
+    # codes that clash, or too many of them, lead to the count of all terms
+    want = training.vocabulary(training.term_counts(many), 400, 5).orderBy("idx").collect()
+    monkeypatch.setattr(training, "BROADCAST_ROWS", 2)
+    assert training.fitted_vocabulary(many, 5)[0].orderBy("idx").collect() == want
+    monkeypatch.undo()
+    coded = training.occurrences
+    clash = training.F.pmod(training.F.col("code"), training.F.lit(3))
+    monkeypatch.setattr(training, "occurrences", lambda *a, **k: coded(*a, **k).withColumn("code", clash))
+    assert training.fitted_vocabulary(many, 5)[0].orderBy("idx").collect() == want
