@@ -118,7 +118,7 @@ def _competing(t):
     contact = lambda e: F.struct(e.alias("email"), F.lit("post").alias("source_url"))
     first = F.concat(F.lit("a"), F.floor("value"), F.lit("@x.example.com"))
     second = F.concat(F.lit("b"), "user_id", F.lit("@x.example.com"))
-    return work(t).join(t.log.select(F.col("event_id").alias("candidate_id"), F.array(contact(first), contact(second)).alias("contacts")), "candidate_id")
+    return work(t, F.array(contact(first), contact(second)).alias("contacts"))
 
 
 _COMPETING = """SELECT row_number() OVER (ORDER BY round(value/50,3) DESC, CAST(floor(value) AS INTEGER) DESC, ts, event_id, slot) AS pos, CASE slot WHEN 0 THEN 'a'||CAST(floor(value) AS INTEGER) ELSE 'b'||user_id END||'@x.example.com' AS a,

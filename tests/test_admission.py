@@ -64,6 +64,24 @@ def test_hot_keys_take_their_own_join(spark, monkeypatch):
     assert run(spark, rows, patience=99) == fold(rows)
 
 
+def test_rows_after_a_settled_key_are_dropped_at_once(spark, monkeypatch):
+    written = []
+    keep = admission.durable
+    monkeypatch.setattr(admission, "durable", lambda df, name: (written.append((name, df.schema)), keep(df, name))[1])
+    # everybody asks for a shared key and then for one of their own, again and again: the first turn of each decides
+    rng = random.Random(5)
+    asked = [(f"a{rng.randrange(12)}", f"u{rng.randrange(40)}") for _ in range(400)]
+    rows = [(2 * i + k, a if k == 0 else f"own-{u}", u) for i, (a, u) in enumerate(asked) for k in (0, 1)]
+    assert run(spark, rows) == fold(rows)
+    assert sum(name == "marked" for name, _ in written) <= 2
+    # claims of finals are ordered by a number, whose least is no sort
+    df = spark.createDataFrame([(1, "u", 1.0, 1, 1, [("a@x.org", "")]), (2, "u", 2.0, 1, 1, [])],
+                               "candidate_id long, identity_hash string, rank_score double, score int, created_at long, contacts array<struct<email:string,source_url:string>>")
+    assert [(r.candidate_id, r.email) for r in admission.finalise(df, spark.createDataFrame([], "key string"), F.lit(False)).collect()] == [(2, None)]
+    assert [r.email for r in admission.finalise(df, spark.createDataFrame([], "key string"), F.lit(True)).collect()] == ["a@x.org"]
+    assert {s["turn"].dataType.simpleString() for name, s in written if name == "claims"} == {"bigint"}
+
+
 def test_batches_and_permanent_keys(spark):
     def arrive(batch, claimed):
         rows = spark.createDataFrame([(i, "s", a, t, "u" + a) for i, (a, t) in enumerate(batch)], "pos long, source string, source_record_id string, text string, identity string")
