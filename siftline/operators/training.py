@@ -8,20 +8,26 @@ the rows of a table apart; null and empty texts have no terms and are scored by
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from siftline.operators.keys import BROADCAST_ROWS
+from siftline.operators.keys import BROADCAST_ROWS  # noqa: F401  (the tests set it)
 from siftline.operators.reports import classification_report, last_wins
-from siftline.session import durable
+from siftline.session import durable, text_batches
 
 # The supported labels, the size gates and the model settings.
 LABELS = ["HIGH_INTENT", "MEDIUM_INTENT", "LOW_INTENT", "NOT_INSURANCE", "ADVERTISEMENT", "BROKER_OR_AGENT", "NEWS", "JOB_POST"]
+# Buckets of terms that a task adds up, a power of two: 8 MB a task.
+BUCKETS = 1 << 20
 MIN_ROWS, MIN_PER_LABEL, TEST_SHARE, FEATURES, SEED = 500, 10, 0.2, 30_000, 42
 
 
@@ -152,33 +158,87 @@ def vocabulary(counts: DataFrame, rows: int, size: int = FEATURES) -> DataFrame:
     return _numbered(_most(counts, size), rows)
 
 
+class _Cut:
+    """The words of a batch as numbers (``words``), the row of each (``row``), the words with a neighbour behind (``at``), and term buckets."""
+
+    def __init__(self, batch: pa.RecordBatch, buckets: int):
+        lists = batch.column(1)
+        coded = lists.flatten().dictionary_encode()
+        self.names, self.words = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+        self.at = np.flatnonzero(self.row[1:] == self.row[:-1])
+        code = np.array([zlib.crc32(x.encode()) for x in self.names.to_pylist()], dtype=np.uint64)[self.words]
+        pair = code[self.at] * np.uint64(0x9E3779B97F4A7C15) + code[self.at + 1] * np.uint64(0xC2B2AE3D27D4EB4F)
+        self.of_words, self.of_pairs = ((c & np.uint64(buckets - 1)).astype(np.int64) for c in (code, pair >> np.uint64(40)))
+
+
+def _bucket_sums(buckets: int):
+    def sums(batches):
+        total = np.zeros(buckets, dtype=np.int64)
+        for batch in batches:
+            cut = _Cut(batch, buckets)
+            total += np.bincount(cut.of_words, minlength=buckets) + np.bincount(cut.of_pairs, minlength=buckets)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["bucket", "n"])
+
+    return sums
+
+
+def _counts_in(packed: bytes):
+    def counts(batches):
+        full = np.unpackbits(np.frombuffer(packed, dtype=np.uint8)).astype(bool)
+        for batch in batches:
+            cut = _Cut(batch, len(full))
+            n, some, at = len(cut.names), full[cut.of_words], cut.at[full[cut.of_pairs]]
+            # a term is the number of its word, or n and more for a pair; none is taken for another
+            term = np.concatenate([cut.words[some], n + cut.words[at] * n + cut.words[at + 1]])
+            found, tf = np.unique(np.concatenate([cut.row[some], cut.row[at]]) * (n * n + n) + term, return_counts=True)
+            row, term = found // max(n * n + n, 1), found % max(n * n + n, 1)
+            for of, pairs in ((term < n, False), (term >= n, True)):
+                first, second = np.divmod(term[of] - n, max(n, 1)) if pairs else (term[of], None)
+                names = cut.names.take(pa.array(first))
+                if pairs:
+                    names = pc.binary_join_element_wise(names, cut.names.take(pa.array(second)), " ")
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[of])), names, pa.array(tf[of])], names=[batch.schema.names[0], "term", "tf"])
+
+    return counts
+
+
 def fitted_vocabulary(rows: DataFrame, size: int = FEATURES, key: str = "pos", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """:func:`vocabulary` of the terms of ``rows``, and counts ``(key, term, tf)`` that hold at least its terms.
+    """:func:`vocabulary` of the terms of ``rows``, and counts ``(key, term, tf, idx)`` of its terms.
 
-    Occurrences are counted by code.  A code counts at least as often as any of its terms, so terms of codes below the count of
-    rank ``size`` are outside, if the terms of the other codes, counted again by themselves, fill the vocabulary above that count.
-    If they do not (codes that clash), or if ties leave too many codes to broadcast, all terms are counted by themselves.
+    Occurrences are first added up in a fixed number of buckets, which a task does by itself whatever the number of terms.  A bucket
+    counts at least as often as any of its terms, so terms of the other buckets are outside if the last term found in the fullest ones
+    counts no less than each of those.  Otherwise its count is a bound that the right last term reaches too, and all buckets from there
+    on are taken.  A text lies in one task, so its terms are counted without a shuffle.
     """
+    text_batches(rows.sparkSession)
     total = rows.count()
-    counted = durable(occurrences(rows, key, text, terms=False).groupBy("code").agg(F.count(F.lit(1)).alias("n")), "codes")
-    least, found = counted.orderBy(F.desc("n")).limit(size).agg(F.min("n"), F.count(F.lit(1))).first()
-    wanted = counted.filter(F.col("n") >= (least or 0)).select(F.col("code").alias("_code"))
-    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        met = occurrences(rows, key, text).join(F.broadcast(wanted), F.col("code") == F.col("_code"))
-        # most occurrences are added up in the task that holds their row
-        counts = durable(met.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")), "counts")
+    cut = rows.select(F.col(key), _words(text).alias("_w"))
+    buckets = durable(cut.mapInArrow(_bucket_sums(BUCKETS), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "buckets")
+    least, found = buckets.orderBy(F.desc("n")).limit(4 * size).agg(F.min("n"), F.count(F.lit(1))).first()
+    least = least if found == 4 * size else 0
+    shape = StructType([cut.schema[key], StructField("term", StringType()), StructField("tf", LongType())])
+    while True:
+        full = np.zeros(BUCKETS, dtype=bool)  # at most BUCKETS numbers pass the driver
+        full[buckets.filter(F.col("n") >= least).select("bucket").toArrow().column(0).to_numpy()] = True
+        counts = durable(cut.mapInArrow(_counts_in(np.packbits(full).tobytes()), shape), "counts")
         top = durable(_most(counts, size), "terms")
         worst, kept = top.agg(F.min("n"), F.count(F.lit(1))).first()
-        if kept >= found and (found < size or worst >= least):
-            return _numbered(top, total), counts
-    counts = term_counts(rows, key, text)
-    return vocabulary(counts, total, size), counts
+        worst = worst if kept == size else 0
+        if worst >= least:
+            break
+        least = worst
+    terms = durable(_numbered(top, total), "numbered")
+    return terms, counts.join(F.broadcast(terms.select("term", "idx")), "term")
 
 
 def raw_weights(counts: DataFrame, terms: DataFrame) -> DataFrame:
     """``counts`` with the columns of ``terms`` and ``raw`` = (1 + ln tf) * idf; terms outside the vocabulary go."""
     # a vocabulary is at most FEATURES terms
-    return counts.join(F.broadcast(terms), "term").withColumn("raw", (F.log(F.col("tf").cast("double")) + 1) * F.col("idf"))
+    by = "idx" if "idx" in counts.columns else "term"
+    both = counts.drop("term") if by == "idx" else counts
+    return both.join(F.broadcast(terms), by).withColumn("raw", (F.log(F.col("tf").cast("double")) + 1) * F.col("idf"))
 
 
 def known_counts(rows: DataFrame, terms: DataFrame, key: str = "pos", text: str = "text") -> DataFrame:
@@ -201,6 +261,16 @@ def weighted(counts: DataFrame, terms: DataFrame, key: str = "pos") -> DataFrame
     return raw.select(key, "term", "idx", (F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(of_row))).alias("weight"))
 
 
+def row_totals(counts: DataFrame, terms: DataFrame, key: str = "pos") -> DataFrame:
+    """``(key, terms, total, largest)``: number, sum and maximum of the :func:`weighted` terms of a row.
+
+    The length of a row is a factor of them all, so one sum per row does, and the terms of a row are not brought together.
+    """
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")))
+    return raw_weights(counts, terms).groupBy(key).agg(
+        F.count(F.lit(1)).alias("terms"), (F.sum("raw") / norm).alias("total"), (F.max("raw") / norm).alias("largest"))
+
+
 def features(rows: DataFrame, terms: DataFrame, key: str = "pos", text: str = "text") -> DataFrame:
     """ML-3: :func:`weighted` terms of rows, which need not be those of the vocabulary."""
     return weighted(known_counts(rows, terms, key, text), terms, key)

@@ -110,3 +110,20 @@ def test_texts_are_cut_once_and_the_vocabulary_is_that_of_all_terms(spark, rows,
     clash = training.F.pmod(training.F.col("code"), training.F.lit(3))
     monkeypatch.setattr(training, "occurrences", lambda *a, **k: coded(*a, **k).withColumn("code", clash))
     assert training.fitted_vocabulary(many, 5)[0].orderBy("idx").collect() == want
+
+
+def test_terms_are_counted_in_a_bounded_table_and_rows_move_nothing(spark, rows, monkeypatch):
+    written = []
+    keep = training.durable
+    monkeypatch.setattr(training, "durable", lambda df, name: (written.append((name, keep(df, name))), written[-1][1])[1])
+    monkeypatch.setattr(training, "BUCKETS", 64)  # so few that all of them are shared
+    many = spark.createDataFrame([(i, f"common words a{i % 7} of row{i} again été common", "a") for i in range(200)], "pos long, text string, label string")
+    want = training.vocabulary(training.term_counts(many), 200, 5).orderBy("idx").collect()
+    terms, counts = training.fitted_vocabulary(many, 5)
+    assert terms.orderBy("idx").collect() == want
+    assert {df.count() <= 64 for name, df in written if name == "buckets"} == {True}
+    weights = training.weighted(counts, terms).groupBy("pos").agg(training.F.sum("weight").alias("s"), training.F.max("weight").alias("m"))
+    totals = training.row_totals(counts, terms)
+    assert {r.pos: r.total for r in totals.collect()} == pytest.approx({r.pos: r.s for r in weights.collect()})
+    assert {r.pos: r.largest for r in totals.collect()} == pytest.approx({r.pos: r.m for r in weights.collect()})
+    assert "Window" not in totals._jdf.queryExecution().executedPlan().toString()
