@@ -1,10 +1,12 @@
 """Relational text features and scores beside plain Python."""
 
 import math
+import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
 
 from siftline.operators import training
 from siftline.session import fresh_path
@@ -127,3 +129,55 @@ def test_terms_are_counted_in_a_bounded_table_and_rows_move_nothing(spark, rows,
     assert {r.pos: r.total for r in totals.collect()} == pytest.approx({r.pos: r.s for r in weights.collect()})
     assert {r.pos: r.largest for r in totals.collect()} == pytest.approx({r.pos: r.m for r in weights.collect()})
     assert "Window" not in totals._jdf.queryExecution().executedPlan().toString()
+
+
+ODD = ["a", "b", "é", "ß", "İ", "_", "٣", "Ⅷ", "中", "́", "‍", "‿", "𝒜", "😀", "-", " ", " ", "\n", "\x00", "."]
+
+
+def test_words_are_those_of_the_engine(spark):
+    odd = random.Random(5)
+    texts = ["".join(odd.choices(ODD, k=odd.randrange(40))) for _ in range(800)] + ["", "a", "é", "𝒜", "𝒜b", "ab", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "pos long, text string")
+    table = rows.select(training._lower("text"), training._words("text").alias("w")).toArrow().combine_chunks()
+    held, want = training.word_characters(spark), table.column("w").to_pylist()
+    lowered = table.column("_t").chunk(0)
+    for at, n in ((0, len(texts)), (100, 500), (len(texts), 0)):  # parts of an array start at an offset
+        words, counts = training.cut_words(lowered.slice(at, n), held)
+        assert list(counts) == [len(w) for w in want[at:at + n]]
+        assert words.to_pylist() == [x for w in want[at:at + n] for x in w]
+
+
+def test_labels_are_fitted_side_by_side_as_mllib_fits_each(spark):
+    odd = random.Random(3)
+    texts = [(i, " ".join(odd.choices([f"w{k}" for k in range(40)] + [f"own{i % 6} été"] * 6, k=12)) if i % 11 else "", f"label{i % 6}") for i in range(240)]
+    rows = spark.createDataFrame(texts, "pos long, text string, label string").localCheckpoint()
+    context = spark.sparkContext
+    context.setJobGroup("training", "jobs of the fit")
+    try:
+        model = training.train(rows, 500)
+        jobs = len(context.statusTracker().getJobIdsForGroup("training"))
+    finally:
+        context.setJobGroup("other", "")
+    assert jobs < 130  # a fit for each of six labels has several hundred
+    terms, counts = training.fitted_vocabulary(rows, 500)
+    entries = training._packed(training.weighted(counts, terms), 500, "pos")
+    empty = training.sparse(training.F.array().cast("array<int>"), training.F.array().cast("array<double>"), 500)
+    data = training.balanced(rows).join(entries, "pos", "left").withColumn("features", training.F.coalesce("features", empty)).localCheckpoint()
+    found = {r.idx: r.coefficients for r in model.terms.collect()}
+    assert model.labels == [f"label{k}" for k in range(6)]
+    for k in (0, 4):
+        own = data.withColumn("y", (training.F.col("label") == f"label{k}").cast("double"))
+        want = LogisticRegression(maxIter=50, regParam=0.01, weightCol="weight", labelCol="y").fit(own)
+        assert model.intercepts[k] == pytest.approx(want.intercept, abs=1e-6)
+        assert [found[i][k] for i in sorted(found)] == pytest.approx(list(want.coefficients.toArray()[:len(found)]), abs=1e-6)
+    # one label has nothing to be told from; a row without a key has no terms; without rows there is no model
+    alone = training.train(rows.filter("label = 'label1'"), 500)
+    assert alone.intercepts == [float("inf")] and {tuple(r.coefficients) for r in alone.terms.collect()} == {(0.0,)}
+    with pytest.raises(ValueError):
+        training.train(rows.limit(0), 500)
+
+
+def test_features_of_equal_entries_have_no_coefficient(spark):
+    rows = spark.createDataFrame([(i, "red car", "ab"[i % 2]) for i in range(6)], "pos long, text string, label string")
+    model = training.train(rows, 50)
+    assert model.intercepts == [0.0, 0.0] and {tuple(r.coefficients) for r in model.terms.collect()} == {(0.0, 0.0)}
